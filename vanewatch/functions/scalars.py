@@ -7,23 +7,22 @@ from pyspark.sql import functions as F
 
 from vanewatch import spec
 
+
 def _col(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-def _keep_missing(x: Column, result: Column) -> Column:
-    # least/greatest skip NULL and rank NaN above all numbers; both must pass through a clip.
-    return F.when(x.isNull() | F.isnan(x), x).otherwise(result)
+# least/greatest skip NULL, and NaN compares above all numbers; both must pass through a clip.
 
 
 def clip_upper(x: Column | str, hi: float) -> Column:
     x = _col(x).cast("double")
-    return _keep_missing(x, F.least(x, F.lit(float(hi))))
+    return F.when((x > hi) & ~F.isnan(x), F.lit(float(hi))).otherwise(x)
 
 
 def clip_between(x: Column | str, lo: float, hi: float) -> Column:
     x = _col(x).cast("double")
-    return _keep_missing(x, F.greatest(F.lit(float(lo)), F.least(x, F.lit(float(hi)))))
+    return F.when(x < lo, F.lit(float(lo))).when((x > hi) & ~F.isnan(x), F.lit(float(hi))).otherwise(x)
 
 
 def minmax(x: Column, lo: Column, hi: Column, clamped: bool = False) -> Column:

@@ -7,23 +7,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from vanewatch.functions.scalars import minmax
+
 
 def sensor_row(sensors: Sequence[str]) -> Column:
     """One reading as ARRAY<FLOAT>; NULL sensors stay in place."""
     return F.array(*[F.col(s).cast("float") for s in sensors])
 
 
-def sensor_row_from_map(mapping: Column | str, sensors: Sequence[str], absent: float = 0.0) -> Column:
-    """Fixed-order vector from a sensor map: an absent key gives ``absent``, a JSON null gives NaN."""
+def sensor_value(mapping: Column | str, sensor: str, absent: float = 0.0) -> Column:
+    """Reading as FLOAT: an absent key gives ``absent``, a JSON null gives NaN."""
     mapping = F.col(mapping) if isinstance(mapping, str) else mapping
-    return F.array(
-        *[
-            F.when(F.map_contains_key(mapping, s), F.coalesce(mapping[s], F.lit(float("nan"))))
-            .otherwise(F.lit(absent))
-            .cast("float")
-            for s in sensors
-        ]
-    )
+    found = F.coalesce(mapping[sensor], F.lit(float("nan")))
+    return F.when(F.map_contains_key(mapping, sensor), found).otherwise(F.lit(absent)).cast("float")
+
+
+def sensor_row_from_map(mapping: Column | str, sensors: Sequence[str], absent: float = 0.0) -> Column:
+    """Fixed-order vector from a sensor map."""
+    return F.array(*[sensor_value(mapping, s, absent) for s in sensors])
 
 
 def pad_front(rows: Column, window: int, width: int) -> Column:
@@ -46,3 +47,13 @@ def array_mean(values: Column) -> Column:
 def array_stddev_pop(values: Column) -> Column:
     mean = array_mean(values)
     return F.sqrt(array_mean(F.transform(values, lambda v: (v - mean) * (v - mean))))
+
+
+def normalized_vector(mapping: Column | str, limits: dict[str, tuple[float, float]]) -> Column:
+    """Sensor map to a float32 vector scaled into [0, 1]; absent sensors count as raw zero."""
+
+    def scaled(sensor: str, lo: float, hi: float) -> Column:
+        low, high = (F.lit(float(v)).cast("float") for v in (lo, hi))
+        return minmax(sensor_value(mapping, sensor), low, high, clamped=True).cast("float")
+
+    return F.array(*[scaled(s, lo, hi) for s, (lo, hi) in limits.items()])

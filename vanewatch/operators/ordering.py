@@ -10,7 +10,9 @@ third of all rows, so keys with more than ``rows_per_slice`` rows are cut along
 3. one summary row per (large key, slice) is accumulated over the earlier slices and carried back
    to the rows of each slice. This table has the same bound.
 
-Results equal those of the plain window for any slice size.
+Results equal those of the plain window for any slice size. Steps 1 and 3 read the key, order and
+value columns again, so the input should be a stored table; write the result of an expensive plan
+first (``session.materialized``).
 """
 
 from __future__ import annotations

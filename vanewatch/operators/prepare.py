@@ -65,12 +65,13 @@ def minmax_apply(
     df: DataFrame, params: DataFrame, sensors: Sequence[str], clamped: bool = False
 ) -> DataFrame:
     """Scale sensors by the limits in ``params``, read once as a scalar subquery."""
-    limits = params.agg(
-        F.map_from_entries(F.collect_list(F.struct("sensor", F.struct("mn", "mx").alias("l")))).alias("m")
-    ).scalar()
-    return df.withColumns(
-        {s: minmax(F.col(s).cast("double"), limits[s]["mn"], limits[s]["mx"], clamped) for s in sensors}
-    )
+    def of(s: str, field: str) -> Column:
+        return F.max(F.when(F.col("sensor") == s, F.col(field))).alias(f"{field}__{s}")
+
+    limits = params.agg(F.struct(*[of(s, f) for s in sensors for f in ("mn", "mx")])).scalar()
+    low, high = "_limits.mn__{}".format, "_limits.mx__{}".format
+    scaled = {s: minmax(F.col(s).cast("double"), F.col(low(s)), F.col(high(s)), clamped) for s in sensors}
+    return df.withColumn("_limits", limits).withColumns(scaled).drop("_limits")
 
 
 def minmax_apply_constants(
@@ -165,9 +166,10 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
         F.when(F.col("a") == F.col("b"), F.col("a") - 0.5).otherwise(F.col("a")).alias("lo"),
         F.when(F.col("a") == F.col("b"), F.col("b") + 0.5).otherwise(F.col("b")).alias("hi"),
     )
-    lo, hi = span.select("lo").scalar(), span.select("hi").scalar()
+    lo, hi = F.col("_span.lo"), F.col("_span.hi")
     place = F.least(F.floor((x - lo) * bins / (hi - lo)), F.lit(bins - 1))
-    counts = df.where(x.isNotNull()).groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    ranged = df.where(x.isNotNull()).withColumn("_span", span.select(F.struct("lo", "hi")).scalar())
+    counts = ranged.groupBy(place.cast("int").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     width = (F.col("hi") - F.col("lo")) / bins
     spine = span.select("lo", "hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     return spine.join(counts, "bin", "left").select(

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewatch.functions import scalars
-from vanewatch.functions.vectors import array_mean, array_stddev_pop, dot, sensor_row_from_map
+from vanewatch.functions.vectors import array_mean, array_stddev_pop, dot, sensor_value
 from vanewatch.operators.quality import missing_keys, window_fits
 from vanewatch.spec import CLIP, WINDOW
 
@@ -118,11 +118,12 @@ def raw_windows(
     sensors = list(limits)
 
     def scaled(reading: Column) -> Column:
-        raw = sensor_row_from_map(reading, sensors)
         return F.array(
             *[
-                scalars.minmax(raw[i].cast("double"), F.lit(float(lo)), F.lit(float(hi))).cast("float")
-                for i, (lo, hi) in enumerate(limits.values())
+                scalars.minmax(
+                    sensor_value(reading, s).cast("double"), F.lit(float(lo)), F.lit(float(hi))
+                ).cast("float")
+                for s, (lo, hi) in limits.items()
             ]
         )
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vanewatch.functions.vectors import pad_front
 from vanewatch.operators.ordering import Before, last_per_key, running, with_ordinal
+from vanewatch.session import materialized
 from vanewatch.spec import ROWS_PER_SLICE, WINDOW
 
 
@@ -107,8 +108,11 @@ def arrival_frames(
     out: str = "features",
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
-    """Batch twin of the rolling stream window: drop late rows, then slide over the rest."""
-    kept = accepted(df, entity, arrival, ordinal, rows_per_slice)
+    """Batch twin of the rolling stream window: drop late rows, then slide over the rest.
+
+    The accepted rows are written once, because numbering them reads them more than once.
+    """
+    kept = materialized(accepted(df, entity, arrival, ordinal, rows_per_slice), "accepted")
     return sliding_frames(kept, entity, [ordinal], row, window, out, rows_per_slice=rows_per_slice)
 
 

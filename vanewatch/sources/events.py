@@ -48,27 +48,34 @@ def events_from_lines(
     )
 
 
-def parsed(messages: DataFrame) -> DataFrame:
-    """Add ``event``, and ``valid``: every required field is there.
+def valid_event(value: Column | str) -> Column:
+    """The parsed event in an array of one, or an empty array when a required field is missing.
 
-    Broken text parses to a struct of NULLs, so the fields are tested and not the struct.
+    Broken text parses to a struct of NULLs, so the fields are tested and not the struct. Inside
+    one array expression the text is parsed once, however many fields are used later.
     """
-    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
-    fields = ("engine_id", "cycle", "event_time_ms", "sensors")
-    valid = F.lit(True)
-    for name in fields:
-        valid = valid & F.col("event")[name].isNotNull()
-    return messages.withColumn("event", event).withColumn("valid", F.coalesce(valid, F.lit(False)))
+    value = F.col(value) if isinstance(value, str) else value
+    event = F.from_json(value.cast("string"), EVENT_SCHEMA)
+
+    def complete(e: Column) -> Column:
+        return (
+            e["engine_id"].isNotNull()
+            & e["cycle"].isNotNull()
+            & e["event_time_ms"].isNotNull()
+            & e["sensors"].isNotNull()
+        )
+
+    return F.filter(F.array(event), complete)
 
 
 def decode(messages: DataFrame) -> DataFrame:
     """Valid events as columns, next to the other columns of the message."""
     keep = [c for c in messages.columns if c not in ("key", "value")]
-    return parsed(messages).where("valid").select(*keep, "event.*")
+    return messages.select(*keep, F.inline(valid_event("value")))
 
 
 def dead_letters(messages: DataFrame) -> DataFrame:
-    return parsed(messages).where(~F.col("valid")).drop("event", "valid")
+    return messages.where(F.size(valid_event("value")) == 0)
 
 
 def with_vector(
