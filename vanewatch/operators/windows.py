@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanewatch.functions.vectors import pad_front
@@ -116,6 +116,10 @@ def arrival_frames(
     return sliding_frames(kept, entity, [ordinal], row, window, out, rows_per_slice=rows_per_slice)
 
 
+def _by_place(a: Column, b: Column) -> Column:
+    return a["p"] - b["p"]
+
+
 def last_readings(
     log: DataFrame, entity: str, arrival: Sequence[str], columns: Sequence[str], n: int = WINDOW
 ) -> DataFrame:
@@ -124,7 +128,7 @@ def last_readings(
     entry = F.struct((-F.col("_back")).alias("p"), F.struct(*columns).alias("r"))
     return (
         back.groupBy(entity)
-        .agg(F.transform(F.sort_array(F.collect_list(entry)), lambda x: x["r"]).alias("readings"))
+        .agg(F.transform(F.array_sort(F.collect_list(entry), _by_place), lambda x: x["r"]).alias("readings"))
         .withColumn("buffered", F.size("readings").cast("bigint"))
         .withColumn("ready", F.col("buffered") >= n)
     )
