@@ -13,12 +13,17 @@ MAIN_RULES = ("column_count", "numeric", "monotonic_cycle")
 RUL_RULES = ("column_count", "numeric", "non_negative")
 
 
-def file_name(path: Column) -> Column:
+def file_name(path: Column | str = "file") -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def is_rul_file(path: Column) -> Column:
-    return F.contains(F.upper(file_name(path)), F.lit("RUL"))
+def folder_name(path: Column | str = "file") -> Column:
+    """Name of a data set that was landed as a folder of part files."""
+    return F.element_at(F.split(path, "/"), -2)
+
+
+def is_rul_name(name: Column) -> Column:
+    return F.contains(F.upper(name), F.lit("RUL"))
 
 
 def _bad_tokens() -> Column:
@@ -26,17 +31,17 @@ def _bad_tokens() -> Column:
 
 
 def cycle_inversions(lines: DataFrame, unit: Column, cycle: Column) -> DataFrame:
-    """Per file, how often a cycle is smaller than the one before it in line order.
+    """Per data set, how often a cycle is smaller than the one before it in line order.
 
     Neighbours inside a block of a file are compared in windows that a block bounds; the seam
-    between blocks is checked on one row per (file, unit, block).
+    between blocks is checked on one row per (data set, unit, block).
     """
-    in_block = Window.partitionBy("file", "_unit", "block").orderBy("row")
-    seams = Window.partitionBy("file", "_unit").orderBy("block")
-    rows = lines.select("file", "block", "row", unit.alias("_unit"), cycle.alias("_cycle")).withColumn(
-        "_previous", F.lag("_cycle").over(in_block)
-    )
-    blocks = rows.groupBy("file", "_unit", "block").agg(
+    in_block = Window.partitionBy("name", "_unit", "file", "block").orderBy("row")
+    seams = Window.partitionBy("name", "_unit").orderBy("file", "block")
+    rows = lines.select(
+        "name", "file", "block", "row", unit.alias("_unit"), cycle.alias("_cycle")
+    ).withColumn("_previous", F.lag("_cycle").over(in_block))
+    blocks = rows.groupBy("name", "_unit", "file", "block").agg(
         F.count_if(F.col("_previous") > F.col("_cycle")).alias("_inside"),
         F.min_by("_cycle", "row").alias("_first"),
         F.max_by("_cycle", "row").alias("_last"),
@@ -44,26 +49,26 @@ def cycle_inversions(lines: DataFrame, unit: Column, cycle: Column) -> DataFrame
     crossed = F.coalesce((F.lag("_last").over(seams) > F.col("_first")).cast("int"), F.lit(0))
     return (
         blocks.withColumn("_crossed", crossed)
-        .groupBy("file")
+        .groupBy("name")
         .agg(F.sum(F.col("_inside") + F.col("_crossed")).alias("monotonic_cycle"))
     )
 
 
 def validate_main(lines: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """One row per file and rule: violations in telemetry lines (file, block, row, tokens)."""
-    shape = lines.groupBy("file").agg(
+    """One row per data set and rule: violations in lines (name, file, block, row, tokens)."""
+    shape = lines.groupBy("name").agg(
         F.count_if(F.size("tokens") != len(columns)).alias("column_count"),
         F.sum(_bad_tokens()).alias("numeric"),
     )
     unit = F.get("tokens", F.lit(columns.index("unit")))
     cycle = F.get("tokens", F.lit(columns.index("cycle"))).try_cast("double")
-    counts = shape.join(cycle_inversions(lines, unit, cycle), "file")
+    counts = shape.join(cycle_inversions(lines, unit, cycle), "name")
     return _report(counts, MAIN_RULES)
 
 
 def validate_rul(lines: DataFrame) -> DataFrame:
     value = F.get("tokens", F.lit(0)).try_cast("double")
-    counts = lines.groupBy("file").agg(
+    counts = lines.groupBy("name").agg(
         F.count_if(F.size("tokens") != 1).alias("column_count"),
         F.sum(_bad_tokens()).alias("numeric"),
         F.count_if(value < 0).alias("non_negative"),
@@ -72,25 +77,26 @@ def validate_rul(lines: DataFrame) -> DataFrame:
 
 
 def _report(counts: DataFrame, rules: Sequence[str]) -> DataFrame:
-    long = counts.unpivot("file", [F.col(r).cast("bigint").alias(r) for r in rules], "rule", "violations")
+    long = counts.unpivot("name", [F.col(r).cast("bigint").alias(r) for r in rules], "rule", "violations")
     return long.withColumn("passed", F.col("violations") == 0)
 
 
-def validate_files(lines: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """Route each file by its name to the rules for telemetry or for true remaining life."""
-    rul = is_rul_file(F.col("file"))
-    return validate_main(lines.where(~rul), columns).unionByName(validate_rul(lines.where(rul)))
+def validate_files(
+    lines: DataFrame, columns: Sequence[str] = RAW_COLUMNS, name: Column | None = None
+) -> DataFrame:
+    """Route each data set by its name to the rules for telemetry or for true remaining life."""
+    named = lines.withColumn("name", file_name() if name is None else name)
+    rul = is_rul_name(F.col("name"))
+    return validate_main(named.where(~rul), columns).unionByName(validate_rul(named.where(rul)))
 
 
 def validation_status(report: DataFrame) -> DataFrame:
     """One row: ``passed`` with the file names, or ``failed`` with the first failure."""
-    failure = F.concat(
-        file_name(F.col("file")), F.lit(": "), "rule", F.lit(" has "), "violations", F.lit(" violations")
-    )
+    failure = F.concat("name", F.lit(": "), "rule", F.lit(" has "), "violations", F.lit(" violations"))
     one = report.agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(F.when(~F.col("passed"), F.struct("file", "rule", failure.alias("text")))).alias("bad"),
-        F.array_sort(F.collect_set(file_name(F.col("file")))).alias("files"),
+        F.min(F.when(~F.col("passed"), F.struct("name", "rule", failure.alias("text")))).alias("bad"),
+        F.array_sort(F.collect_set("name")).alias("files"),
     )
     failed = (F.col("n") == 0) | F.col("bad").isNotNull()
     return one.select(

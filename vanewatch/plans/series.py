@@ -577,11 +577,10 @@ REPORT = (
 
 @query(
     "validation_report",
-    sql("select *, violations = 0 as passed from q", "t", d=_FAULTS, o=_ORDER, q=REPORT),
+    sql("select file as name, rule, violations, violations = 0 as passed from q", "t", d=_FAULTS, o=_ORDER, q=REPORT),
 )
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    report = quality.validate_files(damaged_lines(spark, sf_dir))
-    return report.withColumn("file", quality.file_name(F.col("file")))
+    return quality.validate_files(damaged_lines(spark, sf_dir))
 
 
 @query(
