@@ -26,7 +26,7 @@ from vanewatch.plans.testviews import messages, sql
 from vanewatch.session import fresh_dir, materialized
 from vanewatch.spec import ROWS_PER_SLICE
 from vanewatch.streaming.alerts import opened_alerts
-from vanewatch.streaming.jobs import online_view, score_fleet, store_features
+from vanewatch.streaming.jobs import offline_table, online_view, score_fleet, store_features
 from vanewatch.streaming.rolling import normalized_events, rolling_features
 
 STREAM_WINDOW = 10
@@ -35,25 +35,20 @@ STREAM_TTL = 3 * 86_400
 
 
 def _in_two_steps(
-    spark: SparkSession, rows: DataFrame, split_at: float, run: Callable[[DataFrame], None], name: str
+    spark: SparkSession, rows: DataFrame, run: Callable[[DataFrame], None], name: str
 ) -> None:
-    """Land the rows up to an arrival number, run the stream, land the rest, run it again.
+    """Land the first half of the arrivals, run the stream, land the rest, run it again.
 
     The second run continues from the state and offsets of the first.
     """
     stored = materialized(rows, f"{name}-source")
     landing = fresh_dir(spark, name)
-    middle = F.col("arrival") <= split_at
+    middle = F.col("arrival") <= stored.agg(F.avg("arrival")).scalar()
     for part in (stored.where(middle), stored.where(~middle)):
         part.write.mode("append").parquet(landing)
         run(spark.readStream.schema(stored.schema).parquet(landing))
 
 
-def _middle(rows: DataFrame) -> float:
-    lo, hi = rows.agg(F.min("arrival"), F.max("arrival")).first()
-    return (lo + hi) / 2
-
-
 def run_feature_stream(spark: SparkSession, sf_dir: str, root: str) -> None:
     sent = messages(spark, sf_dir)
 
@@ -68,7 +63,7 @@ def run_feature_stream(spark: SparkSession, sf_dir: str, root: str) -> None:
             written_at=F.timestamp_millis("event_time"),
         ).awaitTermination()
 
-    _in_two_steps(spark, sent, _middle(sent), run, "messages")
+    _in_two_steps(spark, sent, run, "messages")
 
 
 @query("stream_features", sql(FRAME_FACTS.format(n=STREAM_WINDOW), "m", c=CLAMPED, a=ACCEPTED))
@@ -76,7 +71,7 @@ def stream_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Offline table written by the stream: every window, each exactly once."""
     root = fresh_dir(spark, "features")
     run_feature_stream(spark, sf_dir, root)
-    table = spark.read.option("basePath", f"{root}/offline").parquet(f"{root}/offline")
+    table = offline_table(spark, f"{root}/offline")
     return table.select(
         "engine_id", F.col("cycle").cast("bigint").alias("cycle"), "event_time", *flat_facts("features", STREAM_WINDOW)
     )
@@ -152,7 +147,7 @@ def stream_alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
             .awaitTermination()
         )
 
-    _in_two_steps(spark, log, _middle(log), run, "alert-log")
+    _in_two_steps(spark, log, run, "alert-log")
     return spark.read.parquet(f"{root}/opened")
 
 

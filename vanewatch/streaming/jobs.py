@@ -16,6 +16,7 @@ from vanewatch.operators.fleet import at_least
 from vanewatch.operators.ordering import latest_per_key
 from vanewatch.operators.store import latest_features
 from vanewatch.spec import TTL_SECONDS
+from vanewatch.streaming.rolling import FEATURE_SCHEMA
 
 CHECKPOINT_SECONDS = 60
 
@@ -70,6 +71,12 @@ def online_log(spark: SparkSession, online: str) -> DataFrame:
     return spark.read.option("basePath", online).parquet(online)
 
 
+def offline_table(spark: SparkSession, offline: str) -> DataFrame:
+    """All stored feature vectors with their partition columns as text."""
+    schema = f"{FEATURE_SCHEMA}, batch BIGINT, date STRING, hour STRING"
+    return spark.read.schema(schema).option("basePath", offline).parquet(offline)
+
+
 def online_view(spark: SparkSession, online: str, as_of: Column, ttl: int = TTL_SECONDS) -> DataFrame:
     return latest_features(online_log(spark, online), as_of, order=("written_at", "cycle"), ttl=ttl)
 
