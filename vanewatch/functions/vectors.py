@@ -52,8 +52,12 @@ def array_stddev_pop(values: Column) -> Column:
 def normalized_vector(mapping: Column | str, limits: dict[str, tuple[float, float]]) -> Column:
     """Sensor map to a float32 vector scaled into [0, 1]; absent sensors count as raw zero."""
 
-    def scaled(sensor: str, lo: float, hi: float) -> Column:
-        low, high = (F.lit(float(v)).cast("float") for v in (lo, hi))
-        return minmax(sensor_value(mapping, sensor), low, high, clamped=True).cast("float")
-
-    return F.array(*[scaled(s, lo, hi) for s, (lo, hi) in limits.items()])
+    raw = sensor_row_from_map(mapping, list(limits))
+    bounds = F.array(
+        *[
+            F.struct(F.lit(float(lo)).cast("float").alias("lo"), F.lit(float(hi)).cast("float").alias("hi"))
+            for lo, hi in limits.values()
+        ]
+    )
+    # a lambda binds each reading once, where plain expressions would repeat its lookup
+    return F.zip_with(raw, bounds, lambda x, b: minmax(x, b["lo"], b["hi"], clamped=True).cast("float"))

@@ -34,8 +34,11 @@ def prediction_records(
 
     The band follows the unrounded risk unless ``band_on_rounded``.
     """
+    # The score may be costly. As generator output it is computed once per row, and a later filter
+    # on the band is not pushed below it with copies of the whole expression.
+    df = df.select("*", F.inline(F.array(F.struct(F.col(y).cast("double").alias("_score")))))
     # a NaN score counts as no life left; NULL stays NULL
-    value = F.col(y).cast("double")
+    value = F.col("_score")
     floor = F.when(F.isnan(value), F.lit(0.0)).otherwise(F.greatest(value * F.lit(float(clip)), F.lit(0.0)))
     rul = F.when(value.isNotNull(), floor)
     risk = scalars.risk(rul, clip)

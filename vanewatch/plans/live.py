@@ -61,6 +61,7 @@ def run_feature_stream(spark: SparkSession, sf_dir: str, root: str) -> None:
             f"{root}/checkpoint",
             every=None,
             written_at=F.timestamp_millis("event_time"),
+            files_per_hour=1,  # a replay of many days
         ).awaitTermination()
 
     _in_two_steps(spark, sent, run, "messages")

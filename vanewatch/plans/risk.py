@@ -443,9 +443,16 @@ def store_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.latest_features(feature_log(spark, sf_dir), ntz(AS_OF), ttl=TTL)
 
 
+def writes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Key and time of each write to the feature log."""
+    return events(spark, sf_dir).select(
+        F.concat(F.lit("ENG-"), "user_id").alias("engine_id"), F.col("ts").alias("written_at")
+    )
+
+
 @query("store_active", sql("select distinct engine_id from live", "e", **_STORE))
 def store_active(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return store.active_engines(feature_log(spark, sf_dir), ntz(AS_OF), ttl=TTL)
+    return store.active_engines(writes(spark, sf_dir), ntz(AS_OF), ttl=TTL)
 
 
 @query(
@@ -527,15 +534,15 @@ def push_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def engine_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     risky = predictions(spark, sf_dir).where(F.col("risk_level").isin("HIGH", "CRITICAL"))
-    last = ordering.latest_per_key(risky, ["engine_id"], ["ts", "event_id"])
-    active = store.active_engines(feature_log(spark, sf_dir), ntz(AS_OF), ttl=TTL)
-    status = store.engine_status(active, push_buffer(spark, sf_dir), last.select("engine_id", "risk_level"))
+    last = ordering.latest_per_key(risky, ["engine_id"], ["ts", "event_id"], ["risk_level"])
+    active = store.active_engines(writes(spark, sf_dir), ntz(AS_OF), ttl=TTL)
+    status = store.engine_status(active, push_buffer(spark, sf_dir), last)
     return status.select("engine_id", "source", "ready", F.col("last_prediction.risk_level").alias("last_level"))
 
 
 @query("engine_union", sql("select engine_id from live union select engine_id from b", "e", **_STORE, b=_BUFFER))
 def engine_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    active = store.active_engines(feature_log(spark, sf_dir), ntz(AS_OF), ttl=TTL)
+    active = store.active_engines(writes(spark, sf_dir), ntz(AS_OF), ttl=TTL)
     return store.known_engines(active, push_buffer(spark, sf_dir))
 
 

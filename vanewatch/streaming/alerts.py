@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from vanewatch.streaming.rolling import in_arrival_order
+
 ALERT_SCHEMA = "engine_id STRING, arrival BIGINT, risk_level STRING, failure_risk DOUBLE"
 
 
@@ -19,7 +21,7 @@ def opened_alerts(log: DataFrame) -> DataFrame:
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(frames)).sort_values("arrival", kind="stable")
+        batch = in_arrival_order(frames)
         is_open = state.get[0] if state.exists else False
         acks = batch["is_ack"].to_numpy(dtype=bool)
         epoch = np.cumsum(acks) - acks  # acknowledgements before the row

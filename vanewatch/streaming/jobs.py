@@ -41,8 +41,13 @@ def store_features(
     checkpoint: str,
     every: str | None = f"{CHECKPOINT_SECONDS} seconds",
     written_at: Column | None = None,
+    files_per_hour: int = 8,
 ) -> StreamingQuery:
-    """Latest vector per engine to the online log, then all vectors to the offline table by hour."""
+    """Latest vector per engine to the online log, then all vectors to the offline table by hour.
+
+    ``files_per_hour`` tasks write the rows of one hour in one micro-batch, whichever engines
+    they come from.
+    """
     event_time = F.timestamp_millis("event_time")
 
     def write(batch: DataFrame, batch_id: int) -> None:
@@ -56,6 +61,7 @@ def store_features(
                     stamped.drop("written_at")
                     .withColumn("date", F.date_format(event_time, "yyyy-MM-dd"))
                     .withColumn("hour", F.date_format(event_time, "HH"))
+                    .repartition("date", "hour", F.pmod(F.hash("engine_id", "cycle"), F.lit(files_per_hour)))
                     .write.mode("overwrite")
                     .partitionBy("date", "hour")
                     .parquet(f"{offline}/batch={batch_id}")

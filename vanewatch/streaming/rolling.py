@@ -20,6 +20,15 @@ _STATE_SCHEMA = "last_cycle INT, rows ARRAY<FLOAT>"
 _ROWS_PER_FRAME = 2_000
 
 
+def in_arrival_order(frames: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """The readings of one key in one micro-batch, oldest first."""
+    parts = list(frames)
+    batch = parts[0] if len(parts) == 1 else pd.concat(parts)
+    if batch["arrival"].is_monotonic_increasing:
+        return batch
+    return batch.sort_values("arrival", kind="stable")
+
+
 def normalized_events(messages: DataFrame, limits: dict[str, tuple[float, float]]) -> DataFrame:
     """Stateless part: decode, drop broken messages, scale. Works on streams and on tables."""
     return decode(messages).withColumn("vector", normalized_vector("sensors", limits)).drop("sensors")
@@ -35,7 +44,7 @@ def rolling_features(events: DataFrame, n_sensors: int, window: int = WINDOW) ->
     """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(frames)).sort_values("arrival", kind="stable")
+        batch = in_arrival_order(frames)
         last, rows = state.get if state.exists else (None, [])
         held = np.asarray(rows, dtype=np.float32).reshape(-1, n_sensors)
 
@@ -46,7 +55,7 @@ def rolling_features(events: DataFrame, n_sensors: int, window: int = WINDOW) ->
         if not keep.any():
             return
         batch, cycles = batch[keep], cycles[keep]
-        fresh = np.array(batch["vector"].tolist(), dtype=np.float32).reshape(-1, n_sensors)
+        fresh = np.stack(batch["vector"].to_numpy()).astype(np.float32, copy=False)
         series = np.concatenate([held, fresh])
         state.update((int(cycles[-1]), series[-window:].ravel().tolist()))
 
