@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from vanewatch.functions.kolmogorov import ks_p_value
 from vanewatch.operators.ordering import Before, running
 from vanewatch.operators.prepare import missing_columns
+from vanewatch.session import materialized
 from vanewatch.spec import (
     DRIFT_CRITICAL_SHARE,
     DRIFT_MIN_ROWS,
@@ -55,14 +56,14 @@ def ks_report(
 ) -> DataFrame:
     """Two-sample KS statistic, p-value and drift flag per common sensor.
 
-    Rows are first counted per distinct value, so equal readings meet before the shuffle; the
-    cumulative counts then run over slices of the value range. Sensors with an empty side are
-    left out.
+    Rows are first counted per distinct value, so equal readings meet before the shuffle. The
+    counts are written once, and the cumulative counts run over slices of the value range.
+    Sensors with an empty side are left out.
     """
     available = common_sensors(reference, current, sensors)
     if not available:
         return reference.sparkSession.createDataFrame([], _REPORT)
-    counts = _value_counts(reference, current, available)
+    counts = materialized(_value_counts(reference, current, available), "value-counts")
     totals = counts.groupBy("sensor").agg(F.sum("r").alias("n"), F.sum("c").alias("m"))
     cumulative = running(
         counts, ["sensor"], ["value"], {"r0": Before("sum", "r"), "c0": Before("sum", "c")}, rows_per_slice

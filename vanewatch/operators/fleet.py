@@ -90,18 +90,16 @@ def deduplicated_alerts(
     """Alerts that open while the engine has no open one; an acknowledgement closes it.
 
     The acknowledgements before a row number the epochs of an engine. The first alert row of an
-    epoch opens an alert, and it is acknowledged when a later epoch exists. ``order`` is the order
-    of the log, with unique values.
+    epoch opens an alert, and the acknowledgement that ends the epoch closes it. ``order`` is the
+    order of the log, with unique values; ``log`` should be a stored table.
     """
     acks = F.when(F.col(is_ack), F.lit(1)).otherwise(F.lit(0))
     epochs = running(log, [key], order, {"epoch": Before("sum", acks)}, rows_per_slice)
     rest = [c for c in log.columns if c not in (key, is_alert, is_ack)]
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("_first")
-    total = log.groupBy(key).agg(F.count_if(F.col(is_ack)).alias("_acks"))
-    opened = epochs.where(F.col(is_alert)).groupBy(key, "epoch").agg(first)
-    return opened.join(total, key).select(
-        key,
-        F.col("epoch").cast("bigint").alias("epoch"),
-        *[F.col("_first")[c].alias(c) for c in rest],
-        (F.col("epoch") < F.col("_acks")).alias("acknowledged"),
+    place = F.when(F.col(is_alert), F.struct(*order))
+    return (
+        epochs.groupBy(key, F.col("epoch").cast("bigint").alias("epoch"))
+        .agg(F.min_by(F.struct(*rest), place).alias("_first"), F.bool_or(is_ack).alias("acknowledged"))
+        .where(F.col("_first").isNotNull())
+        .select(key, "epoch", "_first.*", "acknowledged")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanewatch.operators.ordering import Before, running
+from vanewatch.session import materialized
 from vanewatch.spec import ROWS_PER_SLICE
 
 # After time-bucketing, a series has one row per time step. Windows over such rows are bounded by
@@ -129,11 +130,12 @@ def exact_quantiles(
     rows_per_slice: int = ROWS_PER_SLICE,
 ) -> DataFrame:
     """Interpolated quantiles without gathering a group: count equal values, then find the ranks."""
-    counts = (
+    counted = (
         log.where(F.col(value).isNotNull())
         .groupBy(*groups, F.col(value).cast("double").alias("_v"))
         .agg(F.count(F.lit(1)).alias("_c"))
     )
+    counts = materialized(counted, "value-counts")
     ranked = running(counts, groups, ["_v"], {"_before": Before("sum", "_c")}, rows_per_slice)
     size = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
     joined = ranked.join(size, list(groups)) if groups else ranked.withColumn("_n", size.scalar())

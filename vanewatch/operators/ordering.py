@@ -39,47 +39,45 @@ class Before:
     column: str | Column | None = None
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    kind = df.schema[name].dataType
+def _as_number(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.TimestampNTZType):
         # from the calendar fields, so that no time-zone rule can break the order
-        day = F.unix_date(F.to_date(name)).cast("double")
-        return day * 86400 + F.hour(name) * 3600 + F.minute(name) * 60 + F.second(name)
+        day = F.unix_date(F.to_date(value)).cast("double")
+        return day * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
     if isinstance(kind, T.TimestampType):
-        return F.unix_micros(name).cast("double")
+        return F.unix_micros(value).cast("double")
     if isinstance(kind, T.DateType):
-        return F.unix_date(name).cast("double")
+        return F.unix_date(value).cast("double")
     if isinstance(kind, T.NumericType):
-        return F.col(name).cast("double")
-    raise TypeError(f"cannot slice along {name}: {kind.simpleString()} is not ordered like a number")
+        return value.cast("double")
+    raise TypeError(f"cannot slice along {kind.simpleString()}: it is not ordered like a number")
 
 
 def slice_large_keys(
     df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add ``_slice`` (BIGINT) and ``_hot`` (is this a cut key)."""
-    x = _as_number(df, order)
+    kind = df.schema[order].dataType
+    x, lo, hi = (_as_number(F.col(c), kind) for c in (order, "_lo", "_hi"))
     hot = (
         df.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_n"),
-            F.min(x).alias("_lo"),
-            F.max(x).alias("_hi"),
+        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
+        .where(F.col("_n") > rows_per_slice)
+        .select(
+            *keys,
+            lo.alias("_from"),
+            (hi - lo).alias("_span"),
+            F.ceil(F.col("_n") / rows_per_slice).alias("_parts"),
         )
-        .where((F.col("_n") > rows_per_slice) & (F.col("_hi") > F.col("_lo")))
-        .withColumn("_parts", F.ceil(F.col("_n") / rows_per_slice))
+        .where(F.col("_span") > 0)
     )
-    place = F.floor((x - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * F.col("_parts"))
+    place = F.floor((x - F.col("_from")) / F.col("_span") * F.col("_parts"))
+    in_range = F.coalesce(F.least(place, F.col("_parts") - 1), F.lit(0))
     return (
         df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(_HOT, F.col("_n").isNotNull())
-        .withColumn(
-            SLICE,
-            F.when(F.col(_HOT), F.coalesce(F.least(place, F.col("_parts") - 1), F.lit(0)))
-            .otherwise(0)
-            .cast("bigint"),
-        )
-        .drop("_n", "_lo", "_hi", "_parts")
+        .withColumn(_HOT, F.col("_parts").isNotNull())
+        .withColumn(SLICE, F.when(F.col(_HOT), in_range).otherwise(0).cast("bigint"))
+        .drop("_from", "_span", "_parts")
     )
 
 

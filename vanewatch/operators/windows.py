@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from vanewatch.functions.vectors import pad_front
 from vanewatch.operators.ordering import Before, last_per_key, running, with_ordinal
 from vanewatch.session import materialized
-from vanewatch.spec import ROWS_PER_SLICE, WINDOW
+from vanewatch.spec import ROWS_PER_CHUNK, ROWS_PER_SLICE, WINDOW
 
 
 def sliding_frames(
@@ -22,6 +22,7 @@ def sliding_frames(
     out: str = "features",
     contiguous: bool = False,
     rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """For each row with ``window - 1`` rows before it: the array of those rows and itself.
 
@@ -30,7 +31,7 @@ def sliding_frames(
     chunks of a fixed size, and the last ``window - 1`` rows of a chunk are also sent to the
     next. So a task never holds more than one chunk of an entity, however long its history.
     """
-    size = max(rows_per_slice, window)
+    size = max(min(rows_per_chunk, rows_per_slice), window)
     if contiguous:
         numbered = df.withColumn("_seq", F.col(order[0]).cast("bigint"))
     else:

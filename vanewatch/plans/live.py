@@ -24,7 +24,6 @@ from vanewatch.plans.series import (
 )
 from vanewatch.plans.testviews import messages, sql
 from vanewatch.session import fresh_dir, materialized
-from vanewatch.spec import ROWS_PER_SLICE
 from vanewatch.streaming.alerts import opened_alerts
 from vanewatch.streaming.jobs import offline_table, online_view, score_fleet, store_features
 from vanewatch.streaming.rolling import normalized_events, rolling_features
@@ -158,9 +157,7 @@ def stream_alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training and validation windows, written once because the solver reads them many times."""
     rows = scaled_rows(spark, sf_dir).join(labelled(spark, sf_dir).select("unit", "cycle", "rul"), ["unit", "cycle"])
-    frames = windows.sliding_frames(
-        rows, "unit", ["cycle"], "row", contiguous=True, rows_per_slice=ROWS_PER_SLICE
-    )
+    frames = windows.sliding_frames(rows, "unit", ["cycle"], "row", contiguous=True)
     stored = materialized(frames.drop("row"), "gold")
     return prepare.train_validation(stored)
 

@@ -11,6 +11,7 @@ from vanewatch.operators import evaluation, fleet, ordering, prepare, quality, s
 from vanewatch.plans.registry import query
 from vanewatch.plans.series import RUL, WIDTH, labelled, rounded, sql_histogram
 from vanewatch.plans.testviews import AS_OF, events, ntz, predictions, sql, stamp, telemetry
+from vanewatch.session import materialized
 from vanewatch.spec import KEEP_SENSORS, WINDOW
 
 # --- scoring -------------------------------------------------------------------------------------
@@ -368,7 +369,7 @@ def alert_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def opened(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fleet.deduplicated_alerts(alert_log(spark, sf_dir), ["ts", "event_id"])
+    return fleet.deduplicated_alerts(materialized(alert_log(spark, sf_dir), "alerts"), ["ts", "event_id"])
 
 
 @query(

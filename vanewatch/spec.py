@@ -1,11 +1,4 @@
-"""Names and settings of a telemetry series.
-
-Every operator takes column names and limits as arguments; ``Spec`` bundles the usual ones.
-"""
-
-from __future__ import annotations
-
-from dataclasses import dataclass, field
+"""Names and default settings of a telemetry series; operators take all of them as arguments."""
 
 # --- fixed values -----------------------------------------------------------------------------
 # Layout of the raw text files, the sensors that carry signal, and the limits of the risk model.
@@ -60,18 +53,5 @@ DRIFT_MIN_ROWS = 100
 
 # A key with more rows than this is cut into several slices (see operators.ordering).
 ROWS_PER_SLICE = 1_000_000
-
-
-@dataclass(frozen=True)
-class Spec:
-    entity: str = "unit"
-    ordinal: str = "cycle"
-    sensors: tuple[str, ...] = field(default=KEEP_SENSORS)
-    label: str = "RUL"
-    window: int = WINDOW
-    clip: float = CLIP
-    rows_per_slice: int = ROWS_PER_SLICE
-
-    @property
-    def width(self) -> int:
-        return self.window * len(self.sensors)
+# Sliding windows multiply their rows, so one task gets fewer of them at a time.
+ROWS_PER_CHUNK = 100_000
