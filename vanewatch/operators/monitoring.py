@@ -138,7 +138,10 @@ def exact_quantiles(
     counts = materialized(counted, "value-counts")
     ranked = running(counts, groups, ["_v"], {"_before": Before("sum", "_c")}, rows_per_slice)
     size = counts.groupBy(*groups).agg(F.sum("_c").alias("_n"))
-    joined = ranked.join(size, list(groups)) if groups else ranked.withColumn("_n", size.scalar())
+    if groups:
+        joined = ranked.join(materialized(size, "group-sizes"), list(groups))
+    else:
+        joined = ranked.withColumn("_n", size.scalar())
     reached = F.col("_before") + F.col("_c")
 
     def at(rank: Column) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from vanewatch.functions.scalars import clip_upper, minmax
 from vanewatch.operators.ordering import running, with_ordinal, Before
+from vanewatch.session import materialized
 from vanewatch.spec import (
     CLIP,
     DROP_COLUMNS,
@@ -102,11 +103,13 @@ def add_rul(
 ) -> DataFrame:
     """Cycles left until the last one of the unit, at most ``clip``.
 
-    A partial aggregate and a join: Spark broadcasts the lifetimes when they measure small, and
-    splits a hot unit when it has to shuffle. No unit has to fit into one window task.
+    A partial aggregate and a join instead of a window, so that no unit has to fit into one task.
+    The lifetimes are written first: with their true size known, Spark broadcasts them and leaves
+    the rows where they are, or, with too many units for that, shuffles and splits hot units.
     """
+    ends = materialized(lifetimes(df, entity, ordinal), "lifetimes")
     left = F.col("max_cycle") - F.col(ordinal)
-    return df.join(lifetimes(df, entity, ordinal), entity).withColumn(out, clip_upper(left, clip))
+    return df.join(ends, entity).withColumn(out, clip_upper(left, clip))
 
 
 def attach_positional(
@@ -132,8 +135,8 @@ def attach_positional(
 
 
 def join_final_rul(df: DataFrame, final: DataFrame, entity: str = "unit") -> DataFrame:
-    """Every row of a unit gets the unit's final, unclipped value."""
-    return df.join(final, entity, "left")
+    """Every row of a unit gets the unit's final, unclipped value; ``final`` has a row per unit."""
+    return df.join(materialized(final, "final"), entity, "left")
 
 
 def last_values(df: DataFrame, entity: str, ordinal: str, columns: Sequence[str]) -> DataFrame:
@@ -206,5 +209,6 @@ def split_units(
 
 def train_validation(df: DataFrame, entity: str = "unit", **settings) -> tuple[DataFrame, DataFrame]:
     """Rows of the training and of the validation units; no unit is in both."""
-    validation = split_units(df, entity, **settings).where("is_validation").select(entity)
+    chosen = split_units(df, entity, **settings).where("is_validation").select(entity)
+    validation = materialized(chosen, "validation-units")
     return df.join(validation, entity, "left_anti"), df.join(validation, entity, "left_semi")

@@ -8,6 +8,7 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vanewatch.functions.vectors import sensor_row
 from vanewatch.operators import prepare, scoring, training, windows
 from vanewatch.operators.fleet import at_least
 from vanewatch.plans.registry import query
@@ -22,8 +23,9 @@ from vanewatch.plans.series import (
     labelled,
     rounded,
 )
-from vanewatch.plans.testviews import messages, sql
+from vanewatch.plans.testviews import messages, sql, telemetry
 from vanewatch.session import fresh_dir, materialized
+from vanewatch.spec import KEEP_SENSORS
 from vanewatch.streaming.alerts import opened_alerts
 from vanewatch.streaming.jobs import offline_table, online_view, score_fleet, store_features
 from vanewatch.streaming.rolling import normalized_events, rolling_features
@@ -156,7 +158,10 @@ def stream_alert_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training and validation windows, written once because the solver reads them many times."""
-    rows = scaled_rows(spark, sf_dir).join(labelled(spark, sf_dir).select("unit", "cycle", "rul"), ["unit", "cycle"])
+    rows = labelled(spark, sf_dir)
+    params = prepare.minmax_fit(telemetry(spark, sf_dir), KEEP_SENSORS)
+    scaled = prepare.minmax_apply(rows.select("unit", "cycle", "rul", *KEEP_SENSORS), params, KEEP_SENSORS)
+    rows = scaled.select("unit", "cycle", "rul", sensor_row(KEEP_SENSORS).alias("row"))
     frames = windows.sliding_frames(rows, "unit", ["cycle"], "row", contiguous=True)
     stored = materialized(frames.drop("row"), "gold")
     return prepare.train_validation(stored)
