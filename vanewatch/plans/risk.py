@@ -51,7 +51,7 @@ def scaled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Score of every sliding window of the fleet."""
     frames = windows.sliding_frames(scaled_rows(spark, sf_dir), "unit", ["cycle"], "row", contiguous=True)
-    y = scoring.linear_score(F.flatten("features"), WEIGHTS)
+    y = scoring.batch_score("features", WEIGHTS)
     return frames.select("unit", "cycle", F.round(y, 6).alias("y"))
 
 
@@ -60,7 +60,7 @@ def fleet_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     last = windows.last_frames(scaled_rows(spark, sf_dir), "unit", ["cycle"], "row", WIDTH)
     return last.select(
         F.concat(F.lit("ENG-"), "unit").alias("engine_id"),
-        scoring.linear_score(F.flatten("features"), WEIGHTS).alias("y"),
+        scoring.batch_score("features", WEIGHTS).alias("y"),
     )
 
 
