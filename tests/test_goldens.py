@@ -235,6 +235,29 @@ def test_histogram_quantile_edges(spark):
     assert monitoring.histogram_quantile(monitoring.histogram_buckets(empty, "x", bounds), 0.5).first()[0] is None
 
 
+def test_quantile_from_histogram_counters(spark):
+    """Two servers with counters per bound; one restarts in between."""
+    rows = []
+    for server, counts in (("a", [(0, 0), (6, 10), (12, 20)]), ("b", [(50, 90), (52, 95), (1, 5)])):
+        for t, (low, high) in enumerate(counts):
+            rows += [(server, t, 0.1, low), (server, t, math.inf, high)]
+    df = spark.createDataFrame(rows, "server string, t int, le double, value int")
+    growth = monitoring.bucket_growth(df, [], ["server"], ["t"])
+    assert {r.le: r.cumulative for r in growth.collect()} == {0.1: 12 + 2 + 1, math.inf: 20 + 5 + 5}
+    assert monitoring.histogram_quantile(growth, 0.25).first()[0] == pytest.approx(0.1 * 7.5 / 15)
+
+
+def test_scaling_by_constants_and_compaction(spark, tmp_path):
+    df = spark.createDataFrame([(5.0, 3.0), (-1.0, 3.0), (99.0, 4.0)], "s2 double, s3 double")
+    got = prepare.minmax_apply_constants(df, {"s2": (0.0, 10.0), "s3": (3.0, 3.0)}).collect()
+    assert [tuple(r) for r in got] == [(0.5, 0.0), (0.0, 0.0), (1.0, 1.0)]
+    log = spark.createDataFrame([("a", 1, 1, 7), ("a", 1, 2, 8), ("b", 5, 3, 9)], "engine_id string, written_at int, arrival int, v int")
+    store.compact(log, str(tmp_path / "v1"))
+    assert {r.engine_id: r.v for r in spark.read.parquet(str(tmp_path / "v1")).collect()} == {"a": 8, "b": 9}
+    with pytest.raises(Exception, match="already exists"):
+        store.compact(log, str(tmp_path / "v1"))
+
+
 @pytest.mark.parametrize("size", [3, 1000])
 def test_exact_quantiles(spark, size):
     values = [float((i * 7) % 23) for i in range(40)]

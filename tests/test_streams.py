@@ -7,11 +7,11 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vanewatch.operators import windows
+from vanewatch.operators import drift, windows
 from vanewatch.sources import events, kafka
 from vanewatch.spec import KEEP_SENSORS
 from vanewatch.streaming.alerts import opened_alerts
-from vanewatch.streaming.jobs import offline_table, online_view, store_features
+from vanewatch.streaming.jobs import monitor_drift, offline_table, online_view, store_features
 from vanewatch.streaming.rolling import normalized_events, rolling_features
 
 LIMITS = {s: (0.0, 40.0) for s in KEEP_SENSORS}
@@ -127,6 +127,22 @@ def test_alert_stream_over_restarts(spark, tmp_path):
     assert got == [(e, i) for e in ("E1", "E2") for i in (0, 3, 7, 9)]
 
 
+def test_drift_is_checked_per_micro_batch(spark, tmp_path):
+    reference = spark.range(300).select(F.col("id").cast("double").alias("s2"))
+    levels = []
+
+    def check(batch):
+        return drift.ks_report(reference, batch), drift.check_drift(reference, batch)
+
+    for shift in (0, 200):
+        reference.select(F.col("s2") + shift).toDF("s2").write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema("s2 double").parquet(f"{tmp_path}/in")
+        monitor_drift(
+            stream, check, lambda _, summary, batch: levels.append((batch, summary.first().alert_level)), f"{tmp_path}/cp", None
+        ).awaitTermination()
+    assert levels == [(0, "OK"), (1, "CRITICAL")]
+
+
 def test_kafka_options():
     options = kafka.reader_options("h:1", group="g", max_per_trigger=200)
     assert options == {

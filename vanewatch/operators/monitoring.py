@@ -58,6 +58,28 @@ def counter_rate(
     )
 
 
+def busy_percent(rates: DataFrame, by: Sequence[str] = ("instance",), rate: str = "rate") -> DataFrame:
+    """CPU use from the rate of idle seconds per core: 100 minus the average idle share."""
+    return rates.groupBy(*by).agg((100.0 - F.avg(rate) * 100.0).alias("percent"))
+
+
+def bucket_growth(
+    samples: DataFrame,
+    groups: Sequence[str],
+    series: Sequence[str],
+    order: Sequence[str],
+    value: str = "value",
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """Histogram counters with resets to buckets for ``histogram_quantile``.
+
+    ``series`` names one counter next to its bound ``le``; growth is added up per group and bound.
+    """
+    grown = counter_increase(samples, [*series, "le"], order, value, rows_per_slice=rows_per_slice)
+    total = F.coalesce(F.sum("increase"), F.lit(0)).alias("cumulative")
+    return grown.groupBy(*groups, "le").agg(total)
+
+
 def throughput(log: DataFrame, ts: str, seconds: int, labels: Sequence[str] = ()) -> DataFrame:
     """Log rows per second in each window, by label."""
     return log.groupBy(time_bucket(ts, f"{seconds} seconds").alias("window_start"), *labels).agg(

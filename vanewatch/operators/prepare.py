@@ -123,7 +123,8 @@ def attach_positional(
 
     Raises while running when the counts differ.
     """
-    ranked = with_ordinal(units.select(entity).distinct(), [], [entity], position, rows_per_slice)
+    known = materialized(units.select(entity).distinct(), "units")
+    ranked = with_ordinal(known, [], [entity], position, rows_per_slice)
     listed = values.withColumn("_listed", F.lit(True))
     both = ranked.join(listed, position, "full")
     mismatch = F.col(entity).isNull() | F.col("_listed").isNull()
@@ -196,8 +197,7 @@ def split_units(
     """(unit, is_validation): the ``ceil(share * n)`` units with the smallest hash."""
     digest = F.md5(F.concat_ws(":", F.col(entity).cast("string"), F.lit(str(seed))))
     units = (
-        df.select(entity)
-        .distinct()
+        materialized(df.select(entity).distinct(), "units")
         .withColumn("_digest", digest)
         # leading hex digits as a number: same order as the digest, and evenly spread
         .withColumn("_lead", F.conv(F.substring("_digest", 1, 12), 16, 10).cast("bigint"))

@@ -30,64 +30,71 @@ def _bad_tokens() -> Column:
     return F.size(F.filter("tokens", lambda t: t.try_cast("double").isNull()))
 
 
-def cycle_inversions(lines: DataFrame, unit: Column, cycle: Column) -> DataFrame:
-    """Per data set, how often a cycle is smaller than the one before it in line order.
+def validate_files(
+    lines: DataFrame, columns: Sequence[str] = RAW_COLUMNS, name: Column | None = None
+) -> DataFrame:
+    """One row per data set and rule: violations in raw lines (file, block, row, tokens).
 
-    Neighbours inside a block of a file are compared in windows that a block bounds; the seam
-    between blocks is checked on one row per (data set, unit, block).
+    Data sets whose name contains RUL hold one value of remaining life per line, the others
+    telemetry. A cycle may not be smaller than the one before it of the same unit in line order:
+    neighbours inside a block of a file are compared in windows that the block bounds, and the
+    seam between blocks on one row per (data set, unit, block). All rules share one scan and one
+    shuffle of a few narrow columns.
     """
-    in_block = Window.partitionBy("name", "_unit", "file", "block").orderBy("row")
-    seams = Window.partitionBy("name", "_unit").orderBy("file", "block")
-    rows = lines.select(
-        "name", "file", "block", "row", unit.alias("_unit"), cycle.alias("_cycle")
-    ).withColumn("_previous", F.lag("_cycle").over(in_block))
-    blocks = rows.groupBy("name", "_unit", "file", "block").agg(
-        F.count_if(F.col("_previous") > F.col("_cycle")).alias("_inside"),
-        F.min_by("_cycle", "row").alias("_first"),
-        F.max_by("_cycle", "row").alias("_last"),
+
+    def token(i: int) -> Column:
+        return F.get("tokens", F.lit(i))
+
+    rul = F.col("_rul")
+    rows = (
+        lines.withColumn("name", file_name() if name is None else name)
+        .withColumn("_rul", is_rul_name(F.col("name")))
+        .select(
+            "name",
+            "_rul",
+            "file",
+            "block",
+            "row",
+            F.when(~rul, token(columns.index("unit"))).alias("_unit"),
+            F.when(~rul, token(columns.index("cycle")).try_cast("double")).alias("_cycle"),
+            (F.size("tokens") != F.when(rul, 1).otherwise(len(columns))).alias("_shape"),
+            _bad_tokens().alias("_words"),
+            (rul & (token(0).try_cast("double") < 0)).alias("_negative"),
+        )
+    )
+    in_block = Window.partitionBy("name", "_rul", "_unit", "file", "block").orderBy("row")
+    seams = Window.partitionBy("name", "_rul", "_unit").orderBy("file", "block")
+    blocks = (
+        rows.withColumn("_previous", F.lag("_cycle").over(in_block))
+        .groupBy("name", "_rul", "_unit", "file", "block")
+        .agg(
+            F.count_if("_shape").alias("_shape"),
+            F.sum("_words").alias("_words"),
+            F.count_if("_negative").alias("_negative"),
+            F.count_if(F.col("_previous") > F.col("_cycle")).alias("_inside"),
+            F.min_by("_cycle", "row").alias("_first"),
+            F.max_by("_cycle", "row").alias("_last"),
+        )
     )
     crossed = F.coalesce((F.lag("_last").over(seams) > F.col("_first")).cast("int"), F.lit(0))
-    return (
+    counts = (
         blocks.withColumn("_crossed", crossed)
-        .groupBy("name")
-        .agg(F.sum(F.col("_inside") + F.col("_crossed")).alias("monotonic_cycle"))
-    )
-
-
-def validate_main(lines: DataFrame, columns: Sequence[str] = RAW_COLUMNS) -> DataFrame:
-    """One row per data set and rule: violations in lines (name, file, block, row, tokens)."""
-    shape = lines.groupBy("name").agg(
-        F.count_if(F.size("tokens") != len(columns)).alias("column_count"),
-        F.sum(_bad_tokens()).alias("numeric"),
+        .groupBy("name", "_rul")
+        .agg(
+            F.sum("_shape").alias("column_count"),
+            F.sum("_words").alias("numeric"),
+            F.sum(F.col("_inside") + F.col("_crossed")).alias("monotonic_cycle"),
+            F.sum("_negative").alias("non_negative"),
+        )
     )
-    unit = F.get("tokens", F.lit(columns.index("unit")))
-    cycle = F.get("tokens", F.lit(columns.index("cycle"))).try_cast("double")
-    counts = shape.join(cycle_inversions(lines, unit, cycle), "name")
-    return _report(counts, MAIN_RULES)
-
-
-def validate_rul(lines: DataFrame) -> DataFrame:
-    value = F.get("tokens", F.lit(0)).try_cast("double")
-    counts = lines.groupBy("name").agg(
-        F.count_if(F.size("tokens") != 1).alias("column_count"),
-        F.sum(_bad_tokens()).alias("numeric"),
-        F.count_if(value < 0).alias("non_negative"),
+    rules = F.when(rul, F.array(*map(F.lit, RUL_RULES))).otherwise(F.array(*map(F.lit, MAIN_RULES)))
+    names = dict.fromkeys(MAIN_RULES + RUL_RULES)
+    return (
+        counts.withColumn("_rules", rules)
+        .unpivot(["name", "_rules"], [F.col(r).cast("bigint").alias(r) for r in names], "rule", "violations")
+        .where(F.array_contains("_rules", F.col("rule")))
+        .select("name", "rule", "violations", (F.col("violations") == 0).alias("passed"))
     )
-    return _report(counts, RUL_RULES)
-
-
-def _report(counts: DataFrame, rules: Sequence[str]) -> DataFrame:
-    long = counts.unpivot("name", [F.col(r).cast("bigint").alias(r) for r in rules], "rule", "violations")
-    return long.withColumn("passed", F.col("violations") == 0)
-
-
-def validate_files(
-    lines: DataFrame, columns: Sequence[str] = RAW_COLUMNS, name: Column | None = None
-) -> DataFrame:
-    """Route each data set by its name to the rules for telemetry or for true remaining life."""
-    named = lines.withColumn("name", file_name() if name is None else name)
-    rul = is_rul_name(F.col("name"))
-    return validate_main(named.where(~rul), columns).unionByName(validate_rul(named.where(rul)))
 
 
 def validation_status(report: DataFrame) -> DataFrame:

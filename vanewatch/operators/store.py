@@ -74,6 +74,11 @@ def telemetry_snapshot(view: DataFrame, key: str = "engine_id", window: int = WI
     )
 
 
+def telemetry_head(snapshot: DataFrame, n: int = 20, key: str = "engine_id") -> DataFrame:
+    """First rows of the telemetry list in id order."""
+    return snapshot.orderBy(key).limit(n)
+
+
 def known_engines(store: DataFrame, buffer: DataFrame, key: str = "engine_id") -> DataFrame:
     return store.select(key).union(buffer.select(key)).distinct()
 

@@ -464,6 +464,15 @@ def telemetry_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.telemetry_snapshot(store_view(spark, sf_dir))
 
 
+@query(
+    "telemetry_head",
+    sql("select engine_id, cycle, event_time_ms from l order by engine_id limit 20", "e", **_STORE, l=_LATEST),
+)
+def telemetry_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = store.telemetry_head(store.telemetry_snapshot(store_view(spark, sf_dir)))
+    return rows.select("engine_id", "cycle", "event_time_ms")
+
+
 @query("stored_vector_check", sql("select engine_id, cycle from l where k >= 10", "e", **_STORE, l=_LATEST))
 def stored_vector_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.usable_features(store_view(spark, sf_dir), 1, WIDTH).select("engine_id", "cycle")

@@ -144,6 +144,23 @@ def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(_stamped(rates), "rate")
 
 
+@query(
+    "busy_percent",
+    sql(
+        "select event_type as instance, round(100 - avg(rate) * 100, 6) as percent, 100 - avg(rate) * 100 > 85 as firing from "
+        f"(select event_type, {_HOUR} as h, coalesce(sum(inc), 0) / 3600.0::double as rate from i group by 1, 2) group by 1",
+        "e",
+        i=_INCREASE,
+    ),
+)
+def busy_percent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k as idle seconds."""
+    samples = events(spark, sf_dir).select(F.col("event_type").alias("instance"), "ts", "event_id", "k")
+    rates = monitoring.counter_rate(samples, ["instance"], ["ts", "event_id"], "k", HOUR)
+    busy = monitoring.busy_percent(rates)
+    return rounded(busy.withColumn("firing", F.col("percent") > 85.0), "percent")
+
+
 @query(
     "sum_by_label",
     sql(
