@@ -206,7 +206,7 @@ def test_drift_guards(spark, tmp_path):
     report = drift.ks_report(wide, moved)
     when = F.lit("2024-05-01 10:00:00").cast("timestamp")
     drift.append_report(report, summary, when, str(tmp_path / "reports"))
-    drift.append_report(drift.ks_report(wide, wide), drift.check_drift(wide, wide), when, str(tmp_path / "reports"))
+    drift.append_report(*drift.report_and_summary(wide, wide), when, str(tmp_path / "reports"))
     assert spark.read.parquet(str(tmp_path / "reports")).count() == 2
 
 

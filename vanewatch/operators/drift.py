@@ -109,20 +109,24 @@ def drift_summary(report: DataFrame, available: Sequence[str], missing: Sequence
     )
 
 
-def check_drift(
+def report_and_summary(
     reference: DataFrame,
     current: DataFrame,
     sensors: Sequence[str] = KEEP_SENSORS,
     min_rows: int = DRIFT_MIN_ROWS,
     rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Drift summary, or no row when the current sample has fewer than ``min_rows`` rows."""
+) -> tuple[DataFrame, DataFrame]:
+    """Rows per sensor, and one summary row; no summary below ``min_rows`` current rows."""
     report = ks_report(reference, current, sensors, rows_per_slice)
-    result = drift_summary(
+    summary = drift_summary(
         report, common_sensors(reference, current, sensors), missing_sensors(reference, current, sensors)
     )
     enough = current.agg(F.count(F.lit(1)) >= min_rows).scalar()
-    return result.where(enough)
+    return report, summary.where(enough)
+
+
+def check_drift(reference: DataFrame, current: DataFrame, sensors: Sequence[str] = KEEP_SENSORS, **settings) -> DataFrame:
+    return report_and_summary(reference, current, sensors, **settings)[1]
 
 
 def check_recent(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from vanewatch.operators.ordering import latest_per_key
 from vanewatch.operators.quality import stored_vector_fits
-from vanewatch.spec import TTL_SECONDS, WINDOW
+from vanewatch.spec import BUFFER_SOURCE, STORE_SOURCE, TTL_SECONDS, WINDOW
 
 
 def live(log: DataFrame, as_of: Column, written: str = "written_at", ttl: int = TTL_SECONDS) -> DataFrame:
@@ -105,7 +105,7 @@ def engine_status(
     in_store = F.coalesce("in_store", F.lit(False))
     return merged.select(
         key,
-        F.when(in_store, "redis_stream").otherwise("push_buffer").alias("source"),
+        F.when(in_store, STORE_SOURCE).otherwise(BUFFER_SOURCE).alias("source"),
         (in_store | (F.coalesce("buffered", F.lit(0)) >= window)).alias("ready"),
         "last_prediction",
     )

@@ -15,6 +15,8 @@ TEST_SHARE = 0.2
 SPLIT_SEED = 42
 TTL_SECONDS = 3600
 ENGINE_PREFIX = "ENG-"
+STORE_SOURCE = "redis_stream"  # where an engine's features come from
+BUFFER_SOURCE = "push_buffer"
 
 RISK_LEVELS = ("LOW", "MEDIUM", "HIGH", "CRITICAL")  # position = rank
 RISK_FLOORS = {"CRITICAL": 0.8, "HIGH": 0.6, "MEDIUM": 0.3}
