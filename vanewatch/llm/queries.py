@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import rules
+from vanewatch.llm import chunks, mixing, rules, urls
 from vanewatch.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,3 +28,58 @@ def query(name: str, sql: str | None = None):
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = rules.quality_verdicts(table(spark, sf_dir, "documents"))
     return verdicts.select("doc_id", *rules.BASE, "base_failed", "kept", "class_distance", "word_distance")
+
+
+@query(
+    "op10_exact_dedup",
+    r"""
+    with d as (
+      select doc_id, coalesce(text, '') as t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', '', 'g') as plain
+      from documents
+    ), g as (
+      select doc_id, sha256(plain) as text_sha256,
+             first_value(doc_id) over w as keep_id, row_number() over w as place,
+             count(*) over (partition by plain) as group_size
+      from d
+      window w as (partition by plain order by length(t) desc, doc_id nulls last)
+    )
+    select doc_id, keep_id, group_size, place = 1 as kept, text_sha256 from g
+    """,
+)
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = chunks.exact_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op1_mixing")
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mixture(table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, most=2.0)
+    return found.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
+
+
+@query(
+    "op4_url_filters",
+    r"""
+    with p as (
+      select page_id,
+             coalesce(translate(regexp_extract(url, '://([^/?#]*)', 1),
+                                'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') as host,
+             coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path
+      from pages
+    ), r(verdict, rule) as (
+      values ('block', 'net/'), ('allow', 'example.net/en/'), ('block', 'example.com/de/'), ('allow', 'org/fr/')
+    ), s as (
+      select verdict, rule, split_part(rule, '/', 1) as rule_host, substr(rule, strpos(rule, '/')) as rule_path from r
+    )
+    select page_id, host, path, arg_max(rule, length(rule)) as rule,
+           coalesce(arg_max(verdict, length(rule)), 'allow') as verdict
+    from p left join s
+      on (host = rule_host or ends_with(host, '.' || rule_host)) and starts_with(path, rule_path)
+    group by page_id, host, path
+    """,
+)
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judged_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
