@@ -4,12 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, mixing, rules, urls
+from vanewatch.llm import chunks, mixing, packing, rules, tokens, urls
 from vanewatch.llm.frames import table
 
+#: Vocabulary file of the token queries; a file with the same name must lie on every executor.
+VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -83,3 +87,14 @@ URL_RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example
 )
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judged_urls(table(spark, sf_dir, "pages"), urls.rule_table(spark, URL_RULES))
+
+
+@query("op7_token_counts")
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.counted_tokens(table(spark, sf_dir, "documents"), VOCABULARY, limit=2048)
+
+
+@query("op5_packing")
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return packing.packed(docs, VOCABULARY, capacity=4096, end_id=1, keep_ids=False)
