@@ -8,8 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, mixing, packing, rules, tokens, urls
+from vanewatch.llm import chunks, classifier, language, mixing, packing, rules, tokens, urls
 from vanewatch.llm.frames import table
+from vanewatch.llm.sampling import crc_bucket
 
 #: Vocabulary file of the token queries; a file with the same name must lie on every executor.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -98,3 +99,21 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.packed(docs, VOCABULARY, capacity=4096, end_id=1, keep_ids=False)
+
+
+@query("op2_language_id")
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_bucket(F.col("doc_id"), 4) == 2, F.lit(False))
+    model = language.learn(docs.where(~held_out))
+    return language.identified(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op6_quality_classifier")
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
+    labels = table(spark, sf_dir, "labels").where(~held_out).select("doc_id", F.col("quality").alias("label"))
+    scores = classifier.scored(docs, classifier.learn(docs, labels))
+    predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
+    return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
