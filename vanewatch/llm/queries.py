@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, classifier, language, mixing, packing, rules, tokens, urls
+from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, rules, tokens, urls
 from vanewatch.llm.frames import table
 from vanewatch.llm.sampling import crc_bucket
 
@@ -117,3 +117,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scores = classifier.scored(docs, classifier.learn(docs, labels))
     predicted = F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted")
     return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
+@query("op9_ngram_jaccard")
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90)
