@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, rules, tokens, urls
+from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, repeats, rules, tokens, urls
 from vanewatch.llm.frames import table
 from vanewatch.llm.sampling import crc_bucket
 
@@ -122,3 +122,9 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_jaccard")
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+@query("op3_suffix_dedup")
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
