@@ -1,14 +1,16 @@
 """From raw documents to packed sequences: filter, de-duplicate, mix, pack.
 
 Each stage is a function of (spark, docs, sf_dir); its result is written as Parquet and read again as
-the documents of the next stage. All stages but the last return the columns of ``documents``.
+the documents of the next stage. All stages but the last return the columns of ``documents``; the mix
+repeats a document as often as it is taken.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vanewatch.llm import rules
+from vanewatch.llm import chunks, jaccard, mixing, packing, rules
+from vanewatch.llm.queries import VOCABULARY
 from vanewatch.session import materialized
 
 
@@ -17,11 +19,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return rules.keep_good(docs)
 
 
+def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space one stays."""
+    return chunks.keep_one(docs)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents joined by links (five-word shingles, similarity 0.8 or more) one stays."""
+    return jaccard.keep_one(docs, size=5, percent=80)
+
+
+def mixing_to_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them: not at all, once or twice."""
+    return mixing.mixed(docs, weights=(5, 2, 1), share=1.5, most=2.0)
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Where each piece of each document lies in sequences of 4096 tokens."""
+    return packing.packed(docs, VOCABULARY, capacity=4096, end_id=1, keep_ids=False)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
+    ("exact_dedup", exact_dedup),
+    ("near_dedup", near_dedup),
+    ("mixing", mixing_to_weights),
+    ("packing", best_fit_packing),
 ]
 
-#: The later stages have no SQL form.
+#: Near-duplicates, mixing and packing have no SQL form.
 ORACLE_SQL = None
 
 
