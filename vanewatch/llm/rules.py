@@ -254,4 +254,6 @@ def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """The documents that the rules keep, with all their columns."""
     refs = materialized(references(with_histograms(_texts(docs))), "references")
     df = _with_verdict(with_repeats(with_histograms(_texts(docs))), refs, limits)
-    return df.where(F.col("kept")).select(*unboxed(df, docs.columns))
+    # a generator: else the filter would be pushed down with copies of all the expressions above
+    df = df.select("_row", F.explode(F.array("kept")).alias("_kept")).where("_kept")
+    return df.select(*unboxed(df, docs.columns))
