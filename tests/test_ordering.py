@@ -61,12 +61,25 @@ def test_running_over_timestamps_and_without_keys(spark):
 
 def test_slices_cut_only_large_keys_and_follow_the_order(spark):
     df = spark.createDataFrame(rows(), "k int, t bigint, i int, v int")
-    got = slice_large_keys(df, ["k"], "t", 100)
+    got = slice_large_keys(df, ["k"], ["t", "i"], 100)
     assert got.where("k <> 0").agg(F.max("_slice")).first()[0] == 0
-    big = [r._slice for r in got.where("k = 0").orderBy("t").collect()]
+    big = [r._slice for r in got.where("k = 0").orderBy("t", "i").collect()]
     assert big == sorted(big) and max(big) >= 2
 
 
+@pytest.mark.parametrize("odd", [[], [1e9], [float("nan")], [float("inf")], None, [None] * 3000])
+def test_slices_are_even_whatever_the_values_are(spark, odd):
+    """An outlier, NaN, infinity, nulls, or one value for all rows do not put a key back into one slice."""
+    values = [float(i) for i in range(10_000)] if odd is not None else [7.0] * 10_000
+    data = [(0, v, i) for i, v in enumerate(values + (odd or []))] + [(None, 1.0, -1)]
+    df = spark.createDataFrame(data, "k int, t double, i int").repartition(6)
+    sliced = slice_large_keys(df, ["k"], ["t", "i"], 1000)
+    assert max(r["count"] for r in sliced.groupBy("k", "_slice").count().collect()) < 2000
+    got = {r.i: r.c for r in with_ordinal(df, ["k"], ["t", "i"], "c", 1000).collect()}
+    order = sorted((r for r in data if r[0] == 0), key=lambda r: (r[1] is not None, r[1] != r[1], r[1] or 0, r[2]))
+    assert [got[r[2]] for r in order] == list(range(1, len(order) + 1)) and got[-1] == 1
+
+
 def test_ordinal_last_and_latest(spark):
     df = spark.createDataFrame(rows(), "k int, t bigint, i int, v int")
     ordinal = with_ordinal(df, ["k"], ["t", "i"], "c", 20)

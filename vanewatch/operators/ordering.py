@@ -1,18 +1,20 @@
 """Ordered work inside a key without putting a whole key into one task.
 
 A plain ``Window.partitionBy(key)`` sends all rows of a key to one task. One machine may hold a
-third of all rows, so keys with more than ``rows_per_slice`` rows are cut along the order column:
-
-1. one aggregate finds the large keys with their row count and range. There can be at most
-   ``total rows / rows_per_slice`` of them, so this table is safe to broadcast;
-2. a row of a large key gets slice ``0..n``, increasing with the order column; any other row gets
-   slice 0. Windows then run over (key, slice);
-3. one summary row per (large key, slice) is accumulated over the earlier slices and carried back
-   to the rows of each slice. This table has the same bound.
-
-Results equal those of the plain window for any slice size. Steps 1 and 3 read the key, order and
-value columns again, so the input should be a stored table; write the result of an expensive plan
-first (``session.materialized``).
+third of all rows, so keys with more than ``rows_per_slice`` rows are cut along their order:
+
+1. one aggregate counts the rows of each key. Without a large key, that is all: plain windows follow;
+2. rows of large keys are range-partitioned by key and the whole order, so that slices hold about
+   equally many rows whatever the values are: outliers, NaN, infinities and ties in the first order
+   column do not put rows together. The cut rows are written once. A row's slice is its range
+   partition; any other row gets slice 0. Windows then run over (key, slice);
+3. one summary row per slice of a large key is accumulated over the earlier slices and carried back
+   to the rows of each slice. There are about ``2 * rows / rows_per_slice`` of these; they are
+   written too, so that Spark chooses the join by their size.
+
+Results equal those of the plain window for any slice size. Steps 1 and 2 read the key and order
+columns again, so the input should be a stored table; write the result of an expensive plan first
+(``session.materialized``).
 """
 
 from __future__ import annotations
@@ -22,8 +24,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from vanewatch.session import materialized
 from vanewatch.spec import ROWS_PER_SLICE
 
 SLICE = "_slice"
@@ -39,46 +41,21 @@ class Before:
     column: str | Column | None = None
 
 
-def _as_number(value: Column, kind: T.DataType) -> Column:
-    if isinstance(kind, T.TimestampNTZType):
-        # from the calendar fields, so that no time-zone rule can break the order
-        day = F.unix_date(F.to_date(value)).cast("double")
-        return day * 86400 + F.hour(value) * 3600 + F.minute(value) * 60 + F.second(value)
-    if isinstance(kind, T.TimestampType):
-        return F.unix_micros(value).cast("double")
-    if isinstance(kind, T.DateType):
-        return F.unix_date(value).cast("double")
-    if isinstance(kind, T.NumericType):
-        return value.cast("double")
-    raise TypeError(f"cannot slice along {kind.simpleString()}: it is not ordered like a number")
-
-
 def slice_large_keys(
-    df: DataFrame, keys: Sequence[str], order: str, rows_per_slice: int = ROWS_PER_SLICE
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
-    """Add ``_slice`` (BIGINT) and ``_hot`` (is this a cut key)."""
-    kind = df.schema[order].dataType
-    x, lo, hi = (_as_number(F.col(c), kind) for c in (order, "_lo", "_hi"))
-    hot = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(order).alias("_lo"), F.max(order).alias("_hi"))
-        .where(F.col("_n") > rows_per_slice)
-        .select(
-            *keys,
-            lo.alias("_from"),
-            (hi - lo).alias("_span"),
-            F.ceil(F.col("_n") / rows_per_slice).alias("_parts"),
-        )
-        .where(F.col("_span") > 0)
-    )
-    place = F.floor((x - F.col("_from")) / F.col("_span") * F.col("_parts"))
-    in_range = F.coalesce(F.least(place, F.col("_parts") - 1), F.lit(0))
-    return (
-        df.join(F.broadcast(hot), list(keys), "left")
-        .withColumn(_HOT, F.col("_parts").isNotNull())
-        .withColumn(SLICE, F.when(F.col(_HOT), in_range).otherwise(0).cast("bigint"))
-        .drop("_from", "_span", "_parts")
-    )
+    """Add ``_slice`` (BIGINT, ascending with the order inside a key) and ``_hot`` (is this a cut key)."""
+    large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_slice)
+    large = materialized(large, "large-keys")
+    total = large.agg(F.sum("_n")).first()[0]
+    if not total:
+        return df.withColumns({_HOT: F.lit(False), SLICE: F.lit(0).cast("bigint")})
+    same = [df[k].eqNullSafe(large[k]) for k in keys]
+    parts = -(-2 * total // rows_per_slice)
+    cut = df.join(large, same, "left_semi").repartitionByRange(parts, *keys, *order)
+    cut = cut.withColumns({_HOT: F.lit(True), SLICE: F.spark_partition_id().cast("bigint")})
+    rest = df.join(large, same, "left_anti").withColumns({_HOT: F.lit(False), SLICE: F.lit(0).cast("bigint")})
+    return materialized(cut, "slices").unionByName(rest)
 
 
 def running(
@@ -90,14 +67,14 @@ def running(
 ) -> DataFrame:
     """Add columns computed over all earlier rows of the key; one shuffle for all of them.
 
-    ``order`` must be a total order inside a key; its first column is the one sliced along.
+    ``order`` must be a total order inside a key.
     """
     keys = list(keys)
     if not keys:
         whole = running(df.withColumn(_ALL, F.lit(1)), [_ALL], order, outputs, rows_per_slice)
         return whole.drop(_ALL)
 
-    sliced = slice_large_keys(df, keys, order[0], rows_per_slice)
+    sliced = slice_large_keys(df, keys, order, rows_per_slice)
     rows = Window.partitionBy(*keys, SLICE).orderBy(*order)
     earlier = rows.rowsBetween(Window.unboundedPreceding, -1)
     slices = Window.partitionBy(*keys).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
@@ -132,19 +109,13 @@ def running(
         else:
             raise ValueError(f"unknown kind {spec.kind}")
 
-    carry_in = (
-        sliced.where(F.col(_HOT))
-        .groupBy(*keys, SLICE)
-        .agg(*summaries)
-        .select(*keys, SLICE, *carried)
-        .where(F.col(SLICE) > 0)
-    )
-    return (
-        sliced.withColumns(local)
-        .join(F.broadcast(carry_in), [*keys, SLICE], "left")
-        .withColumns(combined)
-        .select(*df.columns, *outputs)
+    carry_in = materialized(
+        sliced.where(F.col(_HOT)).groupBy(*keys, SLICE).agg(*summaries).select(*keys, SLICE, *carried), "carried"
     )
+    placed = sliced.withColumns(local)
+    same = [placed[k].eqNullSafe(carry_in[k]) for k in (*keys, SLICE)]
+    joined = placed.join(carry_in, same, "left").drop(*[carry_in[k] for k in (*keys, SLICE)])
+    return joined.withColumns(combined).select(*df.columns, *outputs)
 
 
 def with_ordinal(
