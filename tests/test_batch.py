@@ -75,9 +75,8 @@ def test_all_stages(spark, files, tmp_path):
     metrics = spark.read.json(job.at("evaluation/metrics")).first()
     assert 0 < metrics.rmse < 70
     history = tables.read_history(spark, job.at("history"))
-    assert history.count() == 1
-    epochs = spark.read.json(job.at("history"))
-    assert epochs.count() == 1
+    loss = history.first().history["loss"]
+    assert len(loss) > 1 and loss[-1] <= loss[0]
     limits = spark.read.json(job.at("scaler/config")).first()
     assert limits.sensors == list(KEEP_SENSORS) and limits.n_sensors == 11 and len(limits.data_min) == 11
     assert spark.read.parquet(job.at("evaluation/gate")).first().promote

@@ -17,11 +17,6 @@ def file_name(path: Column | str = "file") -> Column:
     return F.element_at(F.split(path, "/"), -1)
 
 
-def folder_name(path: Column | str = "file") -> Column:
-    """Name of a data set that was landed as a folder of part files."""
-    return F.element_at(F.split(path, "/"), -2)
-
-
 def is_rul_name(name: Column) -> Column:
     return F.contains(F.upper(name), F.lit("RUL"))
 

@@ -34,8 +34,15 @@ def training_rows(windows: DataFrame, features: str, label: str, clip: float = C
 
 
 def fit_linear(train: DataFrame, epochs: int = 100, l2: float = L2) -> LinearRegressionModel:
+    """Iterative fit: the history has one loss per iteration, at most ``epochs`` of them."""
     return LinearRegression(
-        featuresCol="vector", labelCol="y", weightCol="weight", predictionCol="y_pred", maxIter=epochs, regParam=l2
+        featuresCol="vector",
+        labelCol="y",
+        weightCol="weight",
+        predictionCol="y_pred",
+        maxIter=epochs,
+        regParam=l2,
+        solver="l-bfgs",
     ).fit(train)
 
 

@@ -10,6 +10,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -37,15 +38,18 @@ class Job:
         return f"{self.out.rstrip('/')}/{name}"
 
 
+RAW_FILES = ("train", "test", "RUL")
+
+
 def ingest(spark: SparkSession, job: Job) -> None:
     """Land each raw file once; a landed one is left alone."""
-    for source, name in ((job.train, "train"), (job.test, "test"), (job.rul, "RUL")):
+    for source, name in zip((job.train, job.test, job.rul), RAW_FILES, strict=True):
         text.land(spark, source, job.at(f"bronze/{name}"))
 
 
 def validate(spark: SparkSession, job: Job) -> None:
-    lines = text.read_lines(spark, job.at("bronze/*"))
-    report = quality.validate_files(lines, name=quality.folder_name())
+    parts = [text.read_landed(spark, job.at(f"bronze/{n}")).withColumn("name", F.lit(n)) for n in RAW_FILES]
+    report = quality.validate_files(reduce(DataFrame.unionByName, parts), name=F.col("name"))
     tables.write_table(report, job.at("validation/report"))
     status = quality.validation_status(spark.read.parquet(job.at("validation/report")))
     status.coalesce(1).write.mode("overwrite").json(job.at("validation/status"))
@@ -58,7 +62,7 @@ def transform(spark: SparkSession, job: Job) -> None:
     """Bronze text to the scaled, labelled silver tables, and the scaler limits."""
 
     def rows(name: str) -> DataFrame:
-        lines = text.read_lines(spark, job.at(f"bronze/{name}"))
+        lines = text.read_landed(spark, job.at(f"bronze/{name}"))
         return prepare.drop_unused(text.telemetry_rows(lines).select(*RAW_COLUMNS), DROP_COLUMNS)
 
     train, test = rows("train"), rows("test")
@@ -68,7 +72,7 @@ def transform(spark: SparkSession, job: Job) -> None:
     params = tables.read_scaler(spark, job.at("scaler"))
     labelled = prepare.add_rul(prepare.minmax_apply(train, params, KEEP_SENSORS), clip=job.clip)
     tables.write_table(labelled.drop("max_cycle"), job.at("silver/train"))
-    final = prepare.attach_positional(text.read_rul(spark, job.at("bronze/RUL")), test)
+    final = prepare.attach_positional(text.rul_rows(text.read_landed(spark, job.at("bronze/RUL"))), test)
     scaled = prepare.minmax_apply(test, params, KEEP_SENSORS)
     tables.write_table(prepare.join_final_rul(scaled, final.drop("pos")), job.at("silver/test"))
 
@@ -103,7 +107,8 @@ def _rows(spark: SparkSession, job: Job, split: str) -> DataFrame:
 def train(spark: SparkSession, job: Job) -> None:
     model = training.fit_linear(_rows(spark, job, "train"), job.epochs)
     model.write().overwrite().save(job.at("model"))
-    training.training_history(model, spark).coalesce(1).write.mode("overwrite").json(job.at("history"))
+    history = training.training_history(model, spark).select(F.to_json("history").alias("value"))
+    history.coalesce(1).write.mode("overwrite").text(job.at("history"))
     measured = training.validation_rmse(model, _rows(spark, job, "validation"))
     tables.write_table(measured, job.at("training_metrics"))
 

@@ -251,6 +251,18 @@ def rul_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return text.read_rul(spark, path)
 
 
+@query("landed_rul_files", sql("select pos, rul as RUL from v", "e", v=FINAL))
+def landed_rul_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The list in files of unequal size, landed: the order of lines holds over files and copies."""
+    path = fresh_dir(spark, "landing")
+    lines = final_values(spark, sf_dir)
+    lines = materialized(lines.select("pos", F.col("k").cast("int").cast("string").alias("value")), "lines")
+    for name, low, high in (("a", 0, 3), ("b", 3, 53), ("c", 53, 1 << 60)):
+        part = lines.where((F.col("pos") > low) & (F.col("pos") <= high)).orderBy("pos")
+        part.select("value").coalesce(1).write.text(f"{path}/source/{name}")
+    return text.rul_rows(text.land(spark, f"{path}/source/*", f"{path}/landed"))
+
+
 @query(
     "group_split",
     sql(

@@ -71,13 +71,25 @@ def numbered_lines(lines: DataFrame, out: str = "pos") -> DataFrame:
     )
 
 
-def read_rul(spark: SparkSession, path: str) -> DataFrame:
+def rul_rows(lines: DataFrame) -> DataFrame:
     """True remaining life, one integer per line: ``pos`` (from 1, in line order) and ``RUL``."""
-    lines = numbered_lines(read_lines(spark, path))
-    return lines.select("pos", number(F.get("tokens", F.lit(0)), "int").alias("RUL"))
+    return numbered_lines(lines).select("pos", number(F.get("tokens", F.lit(0)), "int").alias("RUL"))
+
+
+def read_rul(spark: SparkSession, path: str) -> DataFrame:
+    return rul_rows(read_lines(spark, path))
 
 
 def land(spark: SparkSession, source: str, target: str) -> DataFrame:
-    """Copy raw lines into the landing folder unless it already has them, and read them there."""
-    spark.read.text(source).write.mode("ignore").text(target)
-    return read_lines(spark, target)
+    """Copy raw lines into the landing folder unless it already has them, and read them there.
+
+    Every line is stored with its file, block and row, so the order of lines outlives the copy however
+    the files were packed into tasks.
+    """
+    read_lines(spark, source).write.mode("ignore").parquet(target)
+    return read_landed(spark, target)
+
+
+def read_landed(spark: SparkSession, path: str) -> DataFrame:
+    """Landed lines with ``file, block, row, tokens``."""
+    return spark.read.parquet(path)
