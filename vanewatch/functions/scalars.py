@@ -51,8 +51,9 @@ def risk(rul: Column | str, clip: float = spec.CLIP) -> Column:
 
 
 def risk_band(score: Column | str) -> Column:
+    """The band of a risk; NULL for a missing one."""
     score = _col(score)
-    chain = F
+    chain = F.when(score.isNull(), F.lit(None).cast("string"))
     for level, floor in spec.RISK_FLOORS.items():
         chain = chain.when(score >= floor, level)
     return chain.otherwise(spec.RISK_LEVELS[0])

@@ -51,7 +51,7 @@ def sliding_frames(
     )
     return (
         copies.withColumn(out, F.collect_list(row).over(frame))
-        .where((F.col("_chunk") == F.col("_home")) & (F.col("_seq") >= window))
+        .where((F.col("_chunk") == F.col("_home")) & (F.col("_seq") >= window) & (F.size(out) == window))
         .select(*df.columns, out)
     )
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vanewatch.functions import scalars
@@ -55,6 +55,21 @@ def linear_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return frames.select("unit", "cycle", F.round(y, 6).alias("y"))
 
 
+@query(
+    "mixed_window_scores",
+    sql(
+        "select unit, cycle, case when n = 30 then round(y, 6) end as y, n = 30 as has_band from s",
+        "t", limits=LIMITS_SQL, rs=ROW_SUM, s=SCORES,
+    ),
+)
+def mixed_window_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows still growing beside full ones: those that are too short have no score and no band."""
+    last = Window.partitionBy("unit").orderBy("cycle").rowsBetween(-29, 0)
+    frames = scaled_rows(spark, sf_dir).withColumn("features", F.collect_list("row").over(last))
+    y = frames.select("unit", "cycle", F.round(scoring.batch_score("features", WEIGHTS), 6).alias("y"))
+    return y.withColumn("has_band", scalars.risk_band(1.0 - F.col("y")).isNotNull())
+
+
 def fleet_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Newest window of each engine with its score."""
     last = windows.last_frames(scaled_rows(spark, sf_dir), "unit", ["cycle"], "row", WIDTH)
