@@ -127,20 +127,28 @@ def test_alert_stream_over_restarts(spark, tmp_path):
     assert got == [(e, i) for e in ("E1", "E2") for i in (0, 3, 7, 9)]
 
 
-def test_drift_is_checked_per_micro_batch(spark, tmp_path):
+def test_drift_is_checked_over_the_recent_range(spark, tmp_path):
+    """Three micro-batches of 60 rows: the guard of 100 rows holds for all recent rows together."""
     reference = spark.range(300).select(F.col("id").cast("double").alias("s2"))
-    levels = []
+    seen = []
 
-    def check(batch):
-        return drift.report_and_summary(reference, batch)
+    def note(report, summary, batch):
+        level = summary.first()
+        seen.append((batch, report.first().n_current, level and level.alert_level))
 
-    for shift in (0, 200):
-        reference.select(F.col("s2") + shift).toDF("s2").write.mode("append").parquet(f"{tmp_path}/in")
+    for k in range(3):
+        rows = reference.where(F.col("s2") < 60).select((F.col("s2") + 250 + k).alias("s2"))
+        rows.write.mode("append").parquet(f"{tmp_path}/in")
         stream = spark.readStream.schema("s2 double").parquet(f"{tmp_path}/in")
         monitor_drift(
-            stream, check, lambda _, summary, batch: levels.append((batch, summary.first().alert_level)), f"{tmp_path}/cp", None
+            stream,
+            lambda: spark.read.schema("s2 double").parquet(f"{tmp_path}/in"),
+            lambda recent: drift.report_and_summary(reference, recent),
+            note,
+            f"{tmp_path}/cp",
+            None,
         ).awaitTermination()
-    assert levels == [(0, "OK"), (1, "CRITICAL")]
+    assert seen == [(0, 60, None), (1, 120, "CRITICAL"), (2, 180, "CRITICAL")]
 
 
 def test_kafka_options():

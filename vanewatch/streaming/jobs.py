@@ -111,19 +111,20 @@ def score_fleet(
 
 
 def monitor_drift(
-    readings: DataFrame,
+    ticks: DataFrame,
+    recent: Callable[[], DataFrame],
     check: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
     append: Callable[[DataFrame, DataFrame, int], None],
     checkpoint: str,
     every: str | None = "1 hour",
 ) -> StreamingQuery:
-    """Check each micro-batch of new readings; ``check`` returns the report and its summary."""
+    """At each micro-batch of ``ticks`` check all ``recent`` readings, however few of them are new.
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            append(*check(batch), batch_id)
-        finally:
-            batch.unpersist()
+    ``recent`` reads a time range of the stored readings; ``check`` returns the report and its summary,
+    and guards against too few readings over that whole range.
+    """
+
+    def write(_: DataFrame, batch_id: int) -> None:
+        append(*check(recent()), batch_id)
 
-    return _started(readings, write, checkpoint, every)
+    return _started(ticks, write, checkpoint, every)
