@@ -1,6 +1,7 @@
 """Rolling windows and alerts as streams, against loops and against their batch twins."""
 
 import json
+import os
 import random
 
 import numpy as np
@@ -8,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vanewatch.operators import drift, windows
+from vanewatch.session import work_dir
 from vanewatch.sources import events, kafka
 from vanewatch.spec import KEEP_SENSORS
 from vanewatch.streaming.alerts import opened_alerts
@@ -130,7 +132,7 @@ def test_alert_stream_over_restarts(spark, tmp_path):
 def test_drift_is_checked_over_the_recent_range(spark, tmp_path):
     """Three micro-batches of 60 rows: the guard of 100 rows holds for all recent rows together."""
     reference = spark.range(300).select(F.col("id").cast("double").alias("s2"))
-    seen = []
+    seen, before = [], set(os.listdir(work_dir(spark)))
 
     def note(report, summary, batch):
         level = summary.first()
@@ -149,6 +151,7 @@ def test_drift_is_checked_over_the_recent_range(spark, tmp_path):
             None,
         ).awaitTermination()
     assert seen == [(0, 60, None), (1, 120, "CRITICAL"), (2, 180, "CRITICAL")]
+    assert set(os.listdir(work_dir(spark))) == before
 
 
 def test_kafka_options():

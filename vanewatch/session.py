@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,8 +50,34 @@ def work_dir(spark: SparkSession) -> str:
     return _local_work_dir()
 
 
+_scopes = threading.local()
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
-    return f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    for scope in getattr(_scopes, "open", ()):
+        scope.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Remove the intermediate tables that were made inside, once their results have been used.
+
+    Queries are lazy: write or collect what is wanted before the scope ends. Without a scope the
+    tables stay in the work folder until its owner clears it.
+    """
+    scopes = _scopes.__dict__.setdefault("open", [])
+    made: list[str] = []
+    scopes.append(made)
+    try:
+        yield
+    finally:
+        scopes.pop()
+        jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+        for path in made:
+            target = jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(conf).delete(target, True)
 
 
 def materialized(df: DataFrame, name: str = "step") -> DataFrame:

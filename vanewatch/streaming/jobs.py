@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from vanewatch.operators.fleet import at_least
 from vanewatch.operators.ordering import latest_per_key
 from vanewatch.operators.store import latest_features
+from vanewatch.session import scratch
 from vanewatch.spec import TTL_SECONDS
 from vanewatch.streaming.rolling import FEATURE_SCHEMA
 
@@ -121,10 +122,12 @@ def monitor_drift(
     """At each micro-batch of ``ticks`` check all ``recent`` readings, however few of them are new.
 
     ``recent`` reads a time range of the stored readings; ``check`` returns the report and its summary,
-    and guards against too few readings over that whole range.
+    and guards against too few readings over that whole range. Intermediate tables of a tick are removed
+    after it.
     """
 
-    def write(_: DataFrame, batch_id: int) -> None:
-        append(*check(recent()), batch_id)
+    def write(tick: DataFrame, batch_id: int) -> None:
+        with scratch(tick.sparkSession):
+            append(*check(recent()), batch_id)
 
     return _started(ticks, write, checkpoint, every)
