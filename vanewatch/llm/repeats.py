@@ -145,6 +145,7 @@ def _send_hashes(length: int, parts: int):
             order = np.argsort(slot, kind="stable")
             own, slot = own[order], slot[order]
             cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else slot
+            ends = np.append(cuts[1:], len(own)) if len(slot) else slot
             spans = blocks.spans(own)
             columns = (
                 (blocks.anchor[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32),
@@ -155,7 +156,7 @@ def _send_hashes(length: int, parts: int):
                 (spans % _SPAN).astype(np.uint16),
             )
             bodies, slots = [], []
-            for a, b in zip(cuts, np.append(cuts[1:], len(own)), strict=True):
+            for a, b in zip(cuts, ends, strict=True):
                 bodies.append(b"".join(c[a:b].tobytes() for c in columns))
                 slots.append(int(slot[a]))
             if len(rest):
