@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, repeats, rules, tokens, urls
+from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, repeats, rules, tokens, twins, urls
 from vanewatch.llm.frames import table
 from vanewatch.llm.sampling import crc_bucket
 
@@ -29,10 +29,10 @@ def query(name: str, sql: str | None = None):
     return add
 
 
-@query("op8_quality_rules")
+@query("op8_quality_rules", twins.QUALITY_RULES)
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     verdicts = rules.quality_verdicts(table(spark, sf_dir, "documents"))
-    return verdicts.select("doc_id", *rules.BASE, "base_failed", "kept", "class_distance", "word_distance")
+    return verdicts.select("doc_id", *rules.BASE, "base_failed", "kept")
 
 
 @query(
@@ -119,12 +119,12 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", held_out.alias("held_out"), "score", predicted)
 
 
-@query("op9_ngram_jaccard")
+@query("op9_ngram_jaccard", twins.NGRAM_JACCARD)
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_components(table(spark, sf_dir, "documents"), size=3, percent=90)
 
 
-@query("op3_suffix_dedup")
+@query("op3_suffix_dedup", twins.SUFFIX_DEDUP)
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
