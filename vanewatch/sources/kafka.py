@@ -6,10 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOPIC = "telemetry.raw"
+#: Messages of one micro-batch, over all partitions.
+MAX_PER_TRIGGER = 500_000
 
 
 def reader_options(
-    servers: str, topic: str = TOPIC, group: str | None = None, max_per_trigger: int | None = None
+    servers: str, topic: str = TOPIC, group: str | None = None, max_per_trigger: int | None = MAX_PER_TRIGGER
 ) -> dict[str, str]:
     options = {
         "kafka.bootstrap.servers": servers,
