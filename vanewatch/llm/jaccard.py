@@ -1,18 +1,18 @@
 """Near-duplicate join of documents by the Jaccard similarity of word shingles.
 
-1. A count sketch of all shingles (fixed size, summed over all documents) orders shingles from rare to
-   frequent. Documents with equal shingle sets form one class.
-2. A class of n shingles that links to another shares one of its n - ceil(t n) + 1 rarest shingles with
-   it. Classes that share such a shingle meet in the block of the least of them.
+1. Documents with equal shingle sets form one class.
+2. Sets that link differ in few shingles, d at most for their size. Hashes are cut into d + 1 ranges, so
+   in one range at least linked sets are equal: classes with an equal range meet in the block of the least
+   of them. Sizes are dealt into bands of one d each; a class close below a band takes part in it too.
 3. Inside a block links are found by T-occurrence search (DivideSkip) on its inverted lists: the short
    lists of a query are heap-merged, the long ones binary-probed for what the merge found, and classes
    with the overlap that the threshold needs are linked. A class is only searched for while some link
    could still join two parts. Blocks with very many shingles are dealt over parts; then only classes
    that are not yet joined to the block's least one meet the other parts.
 4. Links form components. Every pair above the threshold is found or already joined; no partner,
-   candidate or list is capped.
+   candidate or list is capped. Common shingles and passages make no meetings: ranges span a whole text.
 
-Shingles are compared by 64-bit hashes, sets by 128-bit sums of all of them. Null, empty and blank
+Shingles are compared by hashes (48 bits inside a block), whole sets by 64-bit sums of all of them. Null, empty and blank
 texts have no shingles and are linked with nothing; a text shorter than a shingle is one shingle. Rows
 with equal texts are linked; null ids take part but are never a component's smallest id. An empty table
 gives an empty result.
@@ -26,7 +26,6 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,8 +35,8 @@ from vanewatch.llm.components import components
 from vanewatch.llm.frames import boxed, in_pieces, unboxed
 from vanewatch.session import materialized
 
-#: Cells of the count sketch, and rows that carry it.
-CELLS, SLICES = 1 << 20, 16
+#: Sizes of a band: up to so many times the threshold's ratio.
+BAND = 4
 #: Bits of the map of classes that meet others.
 BITS = 1 << 23
 #: Shingles of one part of a block (32 MB of hashes).
@@ -88,127 +87,111 @@ def short(word: np.ndarray) -> np.ndarray:
     return value
 
 
-def set_key(row: np.ndarray) -> bytes:
-    return hashlib.blake2b(row.tobytes(), digest_size=16).digest()
+def set_key(row: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(row.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
-def rarest(row: np.ndarray, cells: np.ndarray, percent: int) -> np.ndarray:
-    """The shingles of which a linked set must share one: the first by sketch count, then hash."""
-    n = len(row) - -(-len(row) * percent // 100) + 1
-    count = cells[(row >> np.uint64(44)).astype(np.int64)]
-    return row[np.lexsort((row, count))[:n]]
+def stored(row: np.ndarray) -> bytes:
+    """A sorted set in six bytes a hash."""
+    row = row >> np.uint64(16)
+    return (row >> np.uint64(32)).astype("<u2").tobytes() + row.astype("<u4").tobytes()
 
 
-def sketch(docs: DataFrame, size: int) -> np.ndarray:
-    """Shingle counts of all documents by the top bits of the hash; a table of fixed size."""
-    width = CELLS // SLICES
+def restored(body: bytes) -> np.ndarray:
+    n = len(body) // 6
+    high, low = np.frombuffer(body, "<u2", n), np.frombuffer(body, "<u4", n, 2 * n)
+    return high.astype(np.uint64) << np.uint64(32) | low
 
-    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(CELLS, np.int64)
-        for _, texts in in_pieces(batches, "text"):
-            for row in shingle_sets(texts, size):
-                np.add.at(cells, (row >> np.uint64(44)).astype(np.int64), 1)
-        parts = np.minimum(cells, 0xFFFFFFFF).astype("<u4").reshape(SLICES, width)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "cells"]
-        )
-
-    def add(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
-        total = np.zeros(width, np.int64)
-        for cells in table["cells"]:
-            total += np.frombuffer(cells, "<u4")
-        return pd.DataFrame({"part": [key[0]], "cells": [total.astype("<i8").tobytes()]})
-
-    partial = docs.select("text").mapInArrow(count, "part int, cells binary")
-    rows = partial.groupBy("part").applyInPandas(add, "part int, cells binary").collect()  # CELLS numbers
-    cells = np.zeros((SLICES, width), np.int64)
-    for row in rows:
-        cells[row["part"]] = np.frombuffer(row["cells"], "<i8")
-    return cells.reshape(-1)
+
+def ranges_of(row: np.ndarray, percent: int) -> np.ndarray:
+    """Keys of a set's hash ranges, in its own band of sizes and in the next if a larger set there may link."""
+    n, width = len(row), BAND * np.log(100 / percent)
+    band = int(np.floor(np.log(n) / width + 1e-9))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(ta.mix(row))])
+    found = []
+    for k in (band, band + 1):
+        low, high = np.exp(k * width), np.exp((k + 1) * width)
+        if n < low * percent / 100 - 1e-6:
+            continue
+        count = int(2 * high * (100 - percent) / (100 + percent) + 1e-6) + 1
+        edge = np.searchsorted((row >> np.uint64(32)) * np.uint64(count) >> np.uint64(32), np.arange(count + 1))
+        place = ta.mix(np.arange(count, dtype=np.uint64) + np.uint64((k + 1) << 40))
+        found.append(ta.mix(sums[edge[1:]] - sums[edge[:-1]] + place))
+    return np.concatenate(found)
 
 
 def signatures(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFrame:
-    """Stored rows: id, text_key, n_shingles, key of the set (null if empty), rarest shingles."""
+    """Stored rows: id, text_key, n_shingles, key of the set (null if empty), keys of its ranges."""
     kind = dict(docs.dtypes)[id_column]
-    cells = docs.sparkSession.sparkContext.broadcast(sketch(docs, size))
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in in_pieces(batches, "text"):
             rows = shingle_sets(texts, size)
             keys = [set_key(r) if len(r) else None for r in rows]
-            rare = [rarest(r, cells.value, percent).astype(np.int64) if len(r) else [] for r in rows]
+            found = [ranges_of(r, percent).astype(np.int64) if len(r) else [] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(2), pa.array([len(r) for r in rows], pa.int64()), pa.array(keys, pa.binary()),
-                    pa.array(rare, pa.list_(pa.int64())),
+                    batch.column(0), batch.column(2), pa.array([len(r) for r in rows], pa.int64()), pa.array(keys, pa.int64()),
+                    pa.array(found, pa.list_(pa.int64())),
                 ],
-                ["id", "text_key", "n_shingles", "key", "rare"],
+                ["id", "text_key", "n_shingles", "key", "ranges"],
             )
 
     text_key = F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
     thin = docs.select(F.col(id_column).alias("id"), F.col("text").alias("text"), text_key)
-    schema = f"id {kind}, text_key string, n_shingles long, key binary, rare array<bigint>"
+    schema = f"id {kind}, text_key string, n_shingles long, key long, ranges array<bigint>"
     return materialized(thin.mapInArrow(sign, schema), "signatures")
 
 
 def meetings(signed: DataFrame) -> DataFrame:
-    """Stored rows (hub, key, n): classes that share a rare shingle, under the least class that has it."""
-    classes = signed.where("key is not null").groupBy("key").agg(
-        F.first("n_shingles").alias("n"), F.first("rare").alias("rare")
+    """Stored rows (hub, key, n): classes with an equal range, under the least class that has it.
+
+    Ranges are dealt out once, for the search of those that several classes have and for the classes.
+    """
+    rows = signed.where("key is not null").select(
+        F.explode("ranges").alias("range"), "key", F.col("n_shingles").cast("int").alias("n")
     )
-    rare = materialized(classes.select("key", "n", F.explode("rare").alias("shingle")), "rare")
-    hubs = rare.groupBy("shingle").agg(F.min("key").alias("hub"), F.max("key").alias("last"))
-    hubs = hubs.where("hub <> last").select("shingle", "hub")
-    met = rare.join(hubs, "shingle").select("hub", "key", "n").distinct()
-    return materialized(met, "meetings")
+    dealt = rows.repartition("range")
+    hubs = dealt.groupBy("range").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
+    met = dealt.join(hubs.select("range", "hub"), "range")
+    return materialized(met.select("hub", "key", "n").distinct(), "meetings")
 
 
-def _bit(key: bytes) -> int:
-    return int.from_bytes(key[:4], "little") % BITS
+def class_map(met: DataFrame) -> bytes:
+    """A bit for the remainder of each class that meets others; a table of BITS bits."""
+    place = F.pmod("key", F.lit(BITS)) + 1
+    rows = met.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits")
+    )
+    found = bytearray(BITS // 8)
+    for row in rows.collect():  # 4 KB each, BITS in all
+        at = (row["bucket"] - 1) * 4096
+        found[at : at + 4096] = row["bits"]
+    return bytes(found)
 
 
 def sets_of(docs: DataFrame, met: DataFrame, size: int) -> DataFrame:
-    """Stored rows (key, shingles) of the classes that meet others; a bit map skips most other texts."""
+    """Rows (key, shingles) of the classes that meet others; the map skips most other texts.
 
-    def mark(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.zeros(BITS // 8, np.uint8)
-        for batch in batches:
-            for key in batch.column(0).to_pylist():
-                at = _bit(key)
-                bits[at >> 3] |= 1 << (at & 7)
-        if bits.any():
-            yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([bits.tobytes()])], ["one", "bits"])
-
-    def join(table: pd.DataFrame) -> pd.DataFrame:
-        bits = np.zeros(BITS // 8, np.uint8)
-        for row in table["bits"]:
-            bits |= np.frombuffer(row, np.uint8)
-        return pd.DataFrame({"one": [0], "bits": [bits.tobytes()]})
-
-    marked = met.select("key").mapInArrow(mark, "one int, bits binary")
-    # BITS bits from each task, in two rounds
-    for slots in (16, 1):
-        slot = F.pmod(F.xxhash64("bits"), F.lit(slots))
-        marked = marked.groupBy(slot).applyInPandas(join, "one int, bits binary")
-    row = marked.first()
-    wanted = docs.sparkSession.sparkContext.broadcast(row["bits"] if row else bytes(BITS // 8))
+    A class comes once from each task that has it.
+    """
+    wanted = docs.sparkSession.sparkContext.broadcast(class_map(met))
 
     def collect(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(wanted.value, np.uint8)
+        bits, seen = np.frombuffer(wanted.value, np.uint8), set()
         for _, texts in in_pieces(batches, "text"):
-            found = {}
+            keys, sets = [], []
             for row in shingle_sets(texts, size):
                 if len(row):
                     key = set_key(row)
-                    at = _bit(key)
-                    if bits[at >> 3] >> (at & 7) & 1:
-                        found[key] = row.tobytes()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(list(found), pa.binary()), pa.array(list(found.values()), pa.binary())], ["key", "shingles"]
-            )
+                    at = key % BITS
+                    if bits[at >> 3] >> (at & 7) & 1 and key not in seen:
+                        seen.add(key)
+                        keys.append(key)
+                        sets.append(stored(row))
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.binary())], ["key", "shingles"])
 
-    rows = docs.select("text").mapInArrow(collect, "key binary, shingles binary")
-    return materialized(rows.groupBy("key").agg(F.first("shingles").alias("shingles")), "sets")
+    return docs.select("text").mapInArrow(collect, "key long, shingles binary")
 
 
 class Block:
@@ -277,30 +260,28 @@ class Block:
 def _links(percent: int):
     """Rows (block, key, shingles), equal blocks together, to links (a, b) of the joined classes."""
 
-    def solve(keys: list[bytes], sets: list[np.ndarray]) -> tuple[list[bytes], list[bytes]]:
-        order = sorted(range(len(keys)), key=keys.__getitem__)
-        part = Block([sets[i] for i in order], percent).join_all() if len(keys) > 1 else np.zeros(1, np.int64)
-        pairs = [(keys[order[i]], keys[order[p]]) for i, p in enumerate(part.tolist()) if i != p]
-        return [a for a, _ in pairs], [b for _, b in pairs]
+    def solve(sets: dict[int, bytes]) -> list[tuple[int, int]]:
+        if len(sets) < 2:
+            return []
+        keys = sorted(sets)
+        part = Block([restored(sets[k]) for k in keys], percent).join_all()
+        return [(keys[i], keys[p]) for i, p in enumerate(part.tolist()) if i != p]
+
+    def batch_of(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+        columns = [pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)]
+        return pa.RecordBatch.from_arrays(columns, ["a", "b"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, keys, sets, a, b = None, [], [], [], []
+        block, sets, pairs = None, {}, []
         for batch in batches:
             for name, key, shingles in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if name != block and keys:
-                    more = solve(keys, sets)
-                    a += more[0]
-                    b += more[1]
-                    keys, sets = [], []
-                block = name
-                keys.append(key)
-                sets.append(np.frombuffer(shingles, np.uint64))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-                a, b = [], []
-        if keys:
-            a, b = solve(keys, sets)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+                if name != block:
+                    pairs += solve(sets)
+                    block, sets = name, {}
+                sets[key] = shingles
+            yield batch_of(pairs)
+            pairs = []
+        yield batch_of(solve(sets))
 
     return run
 
@@ -309,7 +290,7 @@ def _solved(dealt: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links of rows (block, key): sets are joined on, blocks brought together and solved one by one."""
     rows = dealt.join(sets, "key").select("block", "key", "shingles")
     rows = rows.repartition("block").sortWithinPartitions("block")
-    return materialized(rows.mapInArrow(_links(percent), "a binary, b binary"), "block-links")
+    return materialized(rows.mapInArrow(_links(percent), "a long, b long"), "block-links")
 
 
 def links(docs: DataFrame, met: DataFrame, size: int, percent: int, part: int = PART) -> DataFrame:
@@ -317,31 +298,26 @@ def links(docs: DataFrame, met: DataFrame, size: int, percent: int, part: int =
     sets = sets_of(docs, met, size)
     parts = met.groupBy("hub").agg(F.ceil(F.sum("n") / F.lit(part)).alias("parts"))
     dealt = met.join(parts, "hub").withColumn("part", F.pmod(F.xxhash64("key"), F.col("parts")))
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
     # the least class is in every part of its block
-    ends = dealt.select("hub", "parts").distinct().where("parts > 1")
-    copies = ends.select(
-        F.col("hub"), F.col("hub").alias("key"), F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("part")
-    )
-    block = F.concat(F.col("hub"), F.col("part").cast("string").cast("binary")).alias("block")
-    inside = dealt.select("hub", "key", "part").unionByName(copies).distinct().select(block, "key")
-    found = _solved(inside, sets, percent)
+    copies = parts.where("parts > 1").select("hub", F.col("hub").alias("key"), every.alias("part"))
+    inside = dealt.select("hub", "key", "part").unionByName(copies).distinct()
+    found = _solved(inside.select(F.concat_ws(":", "hub", "part").alias("block"), "key"), sets, percent)
     split = materialized(dealt.where("parts > 1").select("hub", "key", "parts", "part"), "split")
     if split.isEmpty():
         return found
-    joined = components(found)
-    root = F.coalesce(F.col("root"), F.col("key"))
-    placed = split.join(joined, split["key"] == joined["node"], "left").select("hub", "key", "parts", "part", root.alias("root"))
+    joined = materialized(components(found), "joined")
+    placed = split.join(joined.withColumnRenamed("node", "key"), "key", "left")
     own = joined.select(F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-    placed = placed.join(own, "hub", "left").withColumn("hub_root", F.coalesce("hub_root", "hub"))
-    outside = placed.where("root <> hub_root").select("hub", "key", "parts", "part")
-    # those outside, dealt over the same parts, meet every part of the block once
-    visits = outside.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    cell = F.concat(
-        F.col("hub"), F.col("part").cast("string").cast("binary"), F.lit(b"|"), F.col("other").cast("string").cast("binary")
-    )
+    placed = placed.join(own, "hub", "left")
+    outside = placed.where(F.coalesce("root", "key") != F.coalesce("hub_root", "hub"))
+    outside = materialized(outside.select("hub", "key", "parts", "part"), "outside")
+    # a part's classes outside meet every part of the block once
+    visits = outside.withColumn("other", every)
     meets = outside.select("hub", "part").distinct()
     rest = split.select("hub", "key", F.col("part").alias("other")).join(meets, "hub")
-    across = visits.select(cell.alias("block"), "key").unionByName(rest.select(cell.alias("block"), "key")).distinct()
+    across = visits.select("hub", "part", "other", "key").unionByName(rest.select("hub", "part", "other", "key")).distinct()
+    across = across.select(F.concat_ws(":", "hub", "part", "other").alias("block"), "key")
     return found.unionByName(_solved(across, sets, percent))
 
 
