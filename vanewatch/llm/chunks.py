@@ -66,7 +66,8 @@ def exact_groups(docs: DataFrame, bits: int = 64) -> DataFrame:
     )
     groups = rows.groupBy(*same).agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("group_size"))
     groups = groups.select(*same, "best.place", F.col("best.doc_id").alias("keep_id"), "group_size")
-    groups = groups.withColumnRenamed("place", "best_place")
+    # stored, so that both sides of the join are plain shuffles, of which Spark can split hot parts
+    groups = materialized(groups.withColumnRenamed("place", "best_place"), "groups")
     joined = rows.select("doc_id", "text_key", "text_sha256", "place", *same).join(groups, same)
     return joined.select(
         "doc_id", "text_key", "keep_id", "group_size",
