@@ -417,6 +417,8 @@ def without_repeats(
         more = materialized(blocks.mapInArrow(_match_blocks(length), FOUND), "found")
         spans = spans.unionByName(more.select("uid", "span"))
     first = sizes.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first < last")
+    # stored, so that both sides of the join are plain shuffles, of which Spark can split hot parts
+    first = materialized(first, "first")
     copies = sizes.join(first, "key").where("uid > first").select("uid", F.lit(_WHOLE).cast("bigint").alias("span"))
     gone = spans.unionByName(copies).groupBy("uid").agg(F.collect_list("span").alias("gone"))
     gone = gone.withColumnRenamed("uid", "_uid")
