@@ -335,7 +335,8 @@ def linked_components(
 ) -> DataFrame:
     """One row per document: id, n_shingles, component_id (smallest id of the component)."""
     rows = rooted(docs, size, percent, id_column, part)
-    least = rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least"))
+    # stored, so that both sides of the join are plain shuffles, of which Spark can split hot parts
+    least = materialized(rows.where("root is not null").groupBy("root").agg(F.min("id").alias("least")), "least")
     return rows.join(least, "root", "left").select(
         F.col("id").alias(id_column), "n_shingles",
         F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"),
