@@ -42,6 +42,12 @@ HEADLINE = (
     "latency_quantiles",
     "sustained_alert",
     "stream_features",
+    "rul_regressor_metrics",
+    "forest_confidence",
+    "stream_fleet_alerts",
+    "stream_alert_dedupe",
+    "raw_text_scan",
+    "dead_letters",
 )
 
 
