@@ -12,7 +12,10 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 SETTINGS = {
+    # keyed state on disk: it grows with the fleet
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -22,7 +25,6 @@ SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
 }
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def build_session(name: str = "vanewatch", master: str | None = None, **conf: str) -> SparkSession:
