@@ -1,16 +1,20 @@
 """Near-duplicate join of documents by the Jaccard similarity of word shingles.
 
 1. Documents with equal shingle sets form one class.
-2. Sets that link differ in few shingles, d at most for their size. Hashes are cut into d + 1 ranges, so
-   in one range at least linked sets are equal: classes with an equal range meet in the block of the least
-   of them. Sizes are dealt into bands of one d each; a class close below a band takes part in it too.
+2. Classes that may link meet in the block of the least of them. For thresholds from NARROW on: sets that
+   link differ in few shingles, d at most for their size. Hashes are cut into d + 1 ranges, so in one range
+   at least linked sets are equal, and classes with an equal range meet. Sizes are dealt into bands of one
+   d each; a class close below a band takes part in it too. Below NARROW such ranges would hold too few
+   shingles to tell texts apart; there, a set of n shingles shares one of its n - ceil(t n) + 1 rarest with
+   a set that it links to, and classes of like size with an equal one meet. Rare is what a count sketch of
+   all shingles says (a table of fixed size, summed over all documents); any order would give all links.
 3. Inside a block links are found by T-occurrence search (DivideSkip) on its inverted lists: the short
    lists of a query are heap-merged, the long ones binary-probed for what the merge found, and classes
    with the overlap that the threshold needs are linked. A class is only searched for while some link
    could still join two parts. Blocks with very many shingles are dealt over parts; then only classes
    that are not yet joined to the block's least one meet the other parts.
 4. Links form components. Every pair above the threshold is found or already joined; no partner,
-   candidate or list is capped. Common shingles and passages make no meetings: ranges span a whole text.
+   candidate or list is capped.
 
 Shingles are compared by hashes (48 bits inside a block), whole sets by 64-bit sums of all of them. Null, empty and blank
 texts have no shingles and are linked with nothing; a text shorter than a shingle is one shingle. Rows
@@ -26,6 +30,7 @@ from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +40,10 @@ from vanewatch.llm.components import components
 from vanewatch.llm.frames import boxed, in_pieces, unboxed
 from vanewatch.session import materialized
 
+#: From this threshold on classes meet by ranges, below by rare shingles.
+NARROW = 85
+#: Cells of the count sketch, and rows that carry it.
+CELLS, SLICES = 1 << 22, 16
 #: Sizes of a band: up to so many times the threshold's ratio.
 BAND = 4
 #: Bits of the map of classes that meet others.
@@ -120,40 +129,91 @@ def ranges_of(row: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found)
 
 
+def rarest(row: np.ndarray, cells: np.ndarray, percent: int) -> np.ndarray:
+    """The shingles of which a linked set must share one: the first by sketch count, then hash."""
+    n = len(row) - -(-len(row) * percent // 100) + 1
+    count = cells[(row >> np.uint64(42)).astype(np.int64)]
+    return row[np.lexsort((row, count))[:n]]
+
+
+def sketch(docs: DataFrame, size: int) -> np.ndarray:
+    """Shingle counts of all documents by the top bits of the hash; a table of fixed size."""
+    width = CELLS // SLICES
+
+    def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells = np.zeros(CELLS, np.int32)
+        for _, texts in in_pieces(batches, "text"):
+            for row in shingle_sets(texts, size):
+                np.add.at(cells, (row >> np.uint64(42)).astype(np.int64), 1)
+        # a task's counts stop at 255: the order stays one order, and frequent shingles stay last
+        parts = np.minimum(cells, 255).astype(np.uint8).reshape(SLICES, width)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(range(SLICES), pa.int32()), pa.array([p.tobytes() for p in parts], pa.binary())], ["part", "cells"]
+        )
+
+    def add(key: tuple, table: pd.DataFrame) -> pd.DataFrame:
+        total = np.zeros(width, np.int64)
+        for cells in table["cells"]:
+            total += np.frombuffer(cells, np.uint8)
+        return pd.DataFrame({"part": [key[0]], "cells": [total.astype("<u4").tobytes()]})
+
+    partial = docs.select("text").mapInArrow(count, "part int, cells binary")
+    rows = partial.groupBy("part").applyInPandas(add, "part int, cells binary").collect()  # CELLS numbers
+    cells = np.zeros((SLICES, width), np.uint32)
+    for row in rows:
+        cells[row["part"]] = np.frombuffer(row["cells"], "<u4")
+    return cells.reshape(-1)
+
+
 def signatures(docs: DataFrame, size: int, percent: int, id_column: str) -> DataFrame:
-    """Stored rows: id, text_key, n_shingles, key of the set (null if empty), keys of its ranges."""
+    """Stored rows: id, text_key, n_shingles, key of the set (null if empty), places where it meets others."""
     kind = dict(docs.dtypes)[id_column]
+    cells = None if percent >= NARROW else docs.sparkSession.sparkContext.broadcast(sketch(docs, size))
+
+    def places(row: np.ndarray) -> np.ndarray:
+        found = ranges_of(row, percent) if cells is None else rarest(row, cells.value, percent)
+        return found.astype(np.int64)
 
     def sign(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in in_pieces(batches, "text"):
             rows = shingle_sets(texts, size)
             keys = [set_key(r) if len(r) else None for r in rows]
-            found = [ranges_of(r, percent).astype(np.int64) if len(r) else [] for r in rows]
+            found = [places(r) if len(r) else [] for r in rows]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), batch.column(2), pa.array([len(r) for r in rows], pa.int64()), pa.array(keys, pa.int64()),
                     pa.array(found, pa.list_(pa.int64())),
                 ],
-                ["id", "text_key", "n_shingles", "key", "ranges"],
+                ["id", "text_key", "n_shingles", "key", "places"],
             )
 
     text_key = F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_key")
     thin = docs.select(F.col(id_column).alias("id"), F.col("text").alias("text"), text_key)
-    schema = f"id {kind}, text_key string, n_shingles long, key long, ranges array<bigint>"
+    schema = f"id {kind}, text_key string, n_shingles long, key long, places array<bigint>"
     return materialized(thin.mapInArrow(sign, schema), "signatures")
 
 
-def meetings(signed: DataFrame) -> DataFrame:
-    """Stored rows (hub, key, n): classes with an equal range, under the least class that has it.
+def _met(rows: DataFrame, *at: str) -> DataFrame:
+    """Rows of the places where several classes are, with the least class of each place as ``hub``."""
+    hubs = rows.groupBy(*at).agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
+    return rows.join(hubs.drop("last"), list(at))
+
+
+def meetings(signed: DataFrame, percent: int) -> DataFrame:
+    """Stored rows (hub, key, n): classes that share a place, under the least class that has it.
 
-    Ranges are dealt out once, for the search of those that several classes have and for the classes.
+    Places are dealt out once, for the search of those that several classes have and for the classes. Of
+    classes with a rare shingle in common only those of like size meet: bands of sizes one threshold wide,
+    each class in its own band and the next.
     """
     rows = signed.where("key is not null").select(
-        F.explode("ranges").alias("range"), "key", F.col("n_shingles").cast("int").alias("n")
+        F.explode("places").alias("place"), "key", F.col("n_shingles").cast("int").alias("n")
     )
-    dealt = rows.repartition("range")
-    hubs = dealt.groupBy("range").agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
-    met = dealt.join(hubs.select("range", "hub"), "range")
+    met = _met(rows.repartition("place"), "place")
+    if percent < NARROW:
+        shared = materialized(met.select("place", "key", "n").distinct(), "shared")
+        band = F.floor(F.log("n") / F.lit(np.log(100 / percent) * 1.000001)).cast("int")
+        met = _met(shared.withColumn("band", F.explode(F.array(band, band + 1))), "place", "band")
     return materialized(met.select("hub", "key", "n").distinct(), "meetings")
 
 
@@ -324,7 +384,7 @@ def links(docs: DataFrame, met: DataFrame, size: int, percent: int, part: int =
 def rooted(docs: DataFrame, size: int, percent: int, id_column: str = "doc_id", part: int = PART) -> DataFrame:
     """Stored rows: id, text_key, n_shingles, root (null without shingles) of each document."""
     signed = signatures(docs, size, percent, id_column)
-    joined = components(links(docs, meetings(signed), size, percent, part))
+    joined = components(links(docs, meetings(signed, percent), size, percent, part))
     known = signed.select("id", "text_key", "n_shingles", "key")
     rows = known.join(joined, known["key"] == joined["node"], "left")
     return materialized(rows.select("id", "text_key", "n_shingles", F.coalesce("root", "key").alias("root")), "rooted")
