@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -129,6 +130,17 @@ def test_repeated_passages_in_segments(monkeypatch):
         assert starts == [(u, s) for u, t in zip(uids, texts, strict=True) for s in range(len(t) - 19)]
 
 
+def test_blocks_with_like_hashes_are_told_apart():
+    """Different blocks of one anchor whose hashes agree in their upper 32 bits lose nothing by their hashes."""
+    values = [[7, 7], [1, 1], [5 << 32 | 1, 5 << 32 | 2], [1, 2], [0, 0], [60, 60]]
+    columns = [np.array(v, kind) for v, (kind, _) in zip(values, repeats._KINDS, strict=True)]
+    body = b"".join(c.tobytes() for c in columns)
+    batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([body], pa.binary())], ["slot", "body"])
+    found = [r for b in repeats._match_hashes([batch]) for r in b.to_pylist()]
+    assert [r["uid"] for r in found if r["uid"] is not None] == []
+    assert [r["anchor"] for r in found if r["anchor"] is not None] == [1 << 32 | 7]
+
+
 def test_repeats_with_nulls_and_repeated_ids(docs, texts):
     rows = helpers.with_repeats(docs)
     found = repeats.without_repeats(rows, length=50).collect()

@@ -6,11 +6,11 @@ A byte is removed if a string of ``length`` bytes that covers it also starts in
 1. The strings of ``length`` bytes that start in a document are dealt into blocks: all strings in a row
    whose least-hashed k-gram (the anchor) is the same one. Equal strings have equal anchors, so they lie
    in blocks with equal anchors. Only hashes of anchors and blocks are shuffled, by anchor.
-2. A block that an earlier document has as a whole is removed as a whole. Where an anchor has several
-   different blocks, strings may be shared in part: these blocks' bytes are gathered by anchor (a bit map
-   of such anchors lets a second pass over the texts send little else), a suffix array over the blocks
-   of an anchor puts equal strings side by side, and each run of equal strings belongs to its earliest
-   document.
+2. If all blocks of an anchor are the same one (40 bits of the anchor and 64 of the block agree), it is
+   removed from all documents but the earliest. Where an anchor has several different blocks, strings may
+   be shared in part: these blocks' bytes are gathered by anchor (a bit map of such anchors lets a second
+   pass over the texts send little else), a suffix array over the blocks of an anchor puts equal strings
+   side by side, and each run of equal strings belongs to its earliest document.
 3. Removed spans go back to their documents.
 
 The suffix array (``suffixes``) groups suffixes by Lyndon prefixes; an anchor is one symbol there. A
@@ -106,8 +106,10 @@ class Blocks:
     def earliest(self) -> np.ndarray:
         """Which blocks belong to the earliest of the batch's documents that has them."""
         order = np.argsort(self.content, kind="stable")
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = self.content[order[1:]] != self.content[order[:-1]]
+        fresh = np.zeros(len(order), bool)
+        fresh[:1] = True
+        for hashes in (self.content[order], self.anchor[order]):
+            fresh[1:] |= hashes[1:] != hashes[:-1]
         cuts = np.flatnonzero(fresh)
         least = np.minimum.reduceat(self.uid[order], cuts) if len(cuts) else self.uid
         mine = np.empty(len(order), bool)
@@ -133,6 +135,11 @@ def _found(uid: np.ndarray, span: np.ndarray, anchors: np.ndarray) -> pa.RecordB
     )
 
 
+def _decided(body: bytes) -> pa.RecordBatch:
+    both = np.frombuffer(body, np.int64)
+    return _found(both[: len(both) // 2], both[len(both) // 2 :], both[:0])
+
+
 def _send_hashes(length: int, parts: int):
     """Rows (slot, body): hashes of blocks by anchor; slot -1: spans that the batch itself decides."""
 
@@ -150,7 +157,7 @@ def _send_hashes(length: int, parts: int):
             columns = (
                 (blocks.anchor[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32),
                 (blocks.anchor[own] >> np.uint64(32)).astype(np.uint8),
-                (blocks.content[own] >> np.uint64(32)).astype(np.uint32),
+                blocks.content[own],
                 blocks.uid[own],
                 (spans // _SPAN).astype(np.uint32),
                 (spans % _SPAN).astype(np.uint16),
@@ -167,18 +174,17 @@ def _send_hashes(length: int, parts: int):
     return run
 
 
-_KINDS = ((np.uint32, 4), (np.uint8, 1), (np.uint32, 4), (np.int64, 8), (np.uint32, 4), (np.uint16, 2))
+_KINDS = ((np.uint32, 4), (np.uint8, 1), (np.uint64, 8), (np.int64, 8), (np.uint32, 4), (np.uint16, 2))
 _ROW = sum(size for _, size in _KINDS)
 
 
 def _match_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Spans of blocks that an earlier document has, and anchors with several different blocks."""
+    """Spans of an anchor's only block in later documents; anchors with several blocks are left to their bytes."""
     columns: list[list[np.ndarray]] = [[] for _ in _KINDS]
     for batch in batches:
         for slot, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if slot < 0:
-                both = np.frombuffer(body, np.int64)
-                yield _found(both[: len(both) // 2], both[len(both) // 2 :], both[:0])
+                yield _decided(body)
                 continue
             n, at = len(body) // _ROW, 0
             for column, (kind, size) in zip(columns, _KINDS, strict=True):
@@ -188,20 +194,19 @@ def _match_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         return
     low, high, content, uid, start, size = (np.concatenate(c) for c in columns)
     columns.clear()
-    key = (high.astype(np.uint64) << np.uint64(56)) | (low.astype(np.uint64) << np.uint64(24)) | (content >> 8)
-    order = np.argsort(key, kind="stable")
-    key, content, uid = key[order], content[order], uid[order]
-    anchor = key >> np.uint64(24)
-    first = np.ones(len(key), bool)
+    anchor = (high.astype(np.uint64) << np.uint64(32)) | low
+    order = np.argsort(anchor, kind="stable")
+    anchor, content, uid = anchor[order], content[order], uid[order]
+    first = np.ones(len(anchor), bool)
     first[1:] = anchor[1:] != anchor[:-1]
-    fresh = first.copy()
-    fresh[1:] |= (key[1:] != key[:-1]) | (content[1:] != content[:-1])
-    cuts, groups = np.flatnonzero(fresh), np.flatnonzero(first)
-    least = np.repeat(np.minimum.reduceat(uid, cuts), np.diff(np.append(cuts, len(uid))))
-    later = np.flatnonzero(uid > least)
+    groups = np.flatnonzero(first)
+    other = np.zeros(len(anchor), bool)
+    other[1:] = ~first[1:] & (content[1:] != content[:-1])
+    several = np.add.reduceat(other, groups) > 0
+    least, sizes = np.minimum.reduceat(uid, groups), np.diff(np.append(groups, len(uid)))
+    later = np.flatnonzero((uid > np.repeat(least, sizes)) & ~np.repeat(several, sizes))
     span = start.astype(np.int64) * _SPAN + size
-    several = np.add.reduceat(fresh, groups) > 1
-    several &= np.minimum.reduceat(uid, groups) < np.maximum.reduceat(uid, groups)
+    several &= least < np.maximum.reduceat(uid, groups)
     yield _found(uid[later], span[order[later]], anchor[groups[several]])
 
 
@@ -219,14 +224,20 @@ def anchor_map(anchors: DataFrame, bits: int) -> np.ndarray:
 
 
 def _send_blocks(length: int, parts: int, bits: int, shared):
-    """Rows (slot, anchor, uid, start, before, content): blocks whose anchor is in the map."""
+    """Rows (slot, anchor, uid, start, before, content): blocks whose anchor is in the map.
+
+    Without an anchor: content holds spans that the batch itself decides.
+    """
+    names = ["slot", "anchor", "uid", "start", "before", "content"]
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked = shared.value
         for batch, texts in in_pieces(batches, "text"):
             blocks = Blocks(batch.column(0).to_pylist(), texts, length)
             place = (blocks.anchor % np.uint64(bits)).astype(np.int64)
-            wanted = np.flatnonzero((marked[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool) & blocks.earliest())
+            kept, mine = (marked[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool), blocks.earliest()
+            wanted, rest = np.flatnonzero(kept & mine), np.flatnonzero(kept & ~mine)
             raw = blocks.data.tobytes()
             body = [raw[a:b] for a, b in zip(blocks.first[wanted].tolist(), blocks.end[wanted].tolist(), strict=True)]
             anchor = blocks.anchor[wanted].astype(np.int64)
@@ -236,8 +247,12 @@ def _send_blocks(length: int, parts: int, bits: int, shared):
                     pa.array(blocks.start[wanted]), pa.array((blocks.at - blocks.first)[wanted].astype(np.int32)),
                     pa.array(body, pa.binary()),
                 ],
-                ["slot", "anchor", "uid", "start", "before", "content"],
+                names,
             )
+            if len(rest):
+                # batches may be cut otherwise than in the first pass, so what they decide is sent again
+                row = [int(blocks.uid[rest[0]] % parts), None, None, None, None, blocks.uid[rest].tobytes() + blocks.spans(rest).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
 
     return run
 
@@ -328,6 +343,9 @@ def _match_blocks(length: int):
         group, rows, uids, spans = None, [], [], []
         for batch in batches:
             for anchor, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                if anchor is None:
+                    yield _decided(row[-1])
+                    continue
                 if anchor != group:
                     for uid, span in solve(rows) if len(rows) > 1 else ():
                         uids.append(uid)
