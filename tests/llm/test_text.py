@@ -141,6 +141,25 @@ def test_blocks_with_like_hashes_are_told_apart():
     assert [r["anchor"] for r in found if r["anchor"] is not None] == [1 << 32 | 7]
 
 
+def test_repeats_of_a_hot_passage(spark, monkeypatch):
+    """Blocks of an anchor that many documents have are dealt over tasks; a batch sends two hashes of it."""
+    rng = random.Random(11)
+    own = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = own(90)
+    texts = {i: own(30 + i % 7) + passage + own(i % 60) + (passage[20:] if i % 5 == 0 else "") for i in range(80)}
+    texts |= {i: texts[i - 80][:100] + "#" + own(20) for i in range(80, 100)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(5)
+    monkeypatch.setattr(repeats, "HOT", 6)
+    found = repeats.without_repeats(docs, length=50).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == helpers.without_repeats(texts, 50)
+    batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()))], ["uid", "text"])
+    sent = [r for b in repeats._send_hashes(50, 1)([batch]) for r in b.to_pylist() if r["slot"] == 0]
+    assert max(Counter(repeats.Blocks(list(texts), list(texts.values()), 50).anchor.tolist()).values()) >= 50
+    n = sum(len(r["body"]) for r in sent) // repeats._ROW
+    low = np.frombuffer(sent[0]["body"], np.uint32, n)
+    assert max(Counter(low.tolist()).values()) == 2
+
+
 def test_repeats_with_nulls_and_repeated_ids(docs, texts):
     rows = helpers.with_repeats(docs)
     found = repeats.without_repeats(rows, length=50).collect()

@@ -10,7 +10,9 @@ A byte is removed if a string of ``length`` bytes that covers it also starts in
    removed from all documents but the earliest. Where an anchor has several different blocks, strings may
    be shared in part: these blocks' bytes are gathered by anchor (a bit map of such anchors lets a second
    pass over the texts send little else), a suffix array over the blocks of an anchor puts equal strings
-   side by side, and each run of equal strings belongs to its earliest document.
+   side by side, and each run of equal strings belongs to its earliest document. An anchor with more than
+   ``HOT`` blocks is dealt over salts with a suffix array each; strings of a salt's earliest document are
+   then compared over the salts, by their bytes.
 3. Removed spans go back to their documents.
 
 The suffix array (``suffixes``) groups suffixes by Lyndon prefixes; an anchor is one symbol there. A
@@ -43,6 +45,8 @@ SEGMENT = 1 << 22
 PARTITION = 8 << 20
 #: Bits of the anchor map per anchor, and at most.
 BITS_EACH, MOST_BITS = 32, 1 << 30
+#: Blocks of an anchor that one task gathers; the blocks of an anchor with more are dealt over salts.
+HOT = 4096
 _SPAN = 1 << 16
 _WHOLE = -1
 
@@ -120,24 +124,54 @@ class Blocks:
         return self.start[rows] * _SPAN + (self.end - self.first)[rows]
 
 
+#: Spans of documents; with an anchor, span is the number of its blocks.
 FOUND = "uid long, span long, anchor long"
+#: Spans of documents; with a string, they are gone only if an earlier document has the string.
+DECIDED = "uid long, span long, string binary"
 
 
-def _found(uid: np.ndarray, span: np.ndarray, anchors: np.ndarray) -> pa.RecordBatch:
-    empty = [None] * len(anchors)
+def _found(uid: np.ndarray, span: np.ndarray, anchors: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [
-            pa.concat_arrays([pa.array(uid, pa.int64()), pa.array(empty, pa.int64())]),
-            pa.concat_arrays([pa.array(span, pa.int64()), pa.array(empty, pa.int64())]),
+            pa.concat_arrays([pa.array(uid, pa.int64()), pa.nulls(len(anchors), pa.int64())]),
+            pa.concat_arrays([pa.array(span, pa.int64()), pa.array(n, pa.int64())]),
             pa.concat_arrays([pa.nulls(len(uid), pa.int64()), pa.array(anchors.astype(np.int64), pa.int64())]),
         ],
         ["uid", "span", "anchor"],
     )
 
 
-def _decided(body: bytes) -> pa.RecordBatch:
+def _unpacked(body: bytes) -> tuple[np.ndarray, np.ndarray]:
     both = np.frombuffer(body, np.int64)
-    return _found(both[: len(both) // 2], both[len(both) // 2 :], both[:0])
+    return both[: len(both) // 2], both[len(both) // 2 :]
+
+
+def _thinned(anchor: np.ndarray, content: np.ndarray, uid: np.ndarray, span: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows by anchor; two of an anchor with several blocks, which the bytes decide.
+
+    They have the least and the greatest uid, different contents, size 0 and for start the blocks they stand for.
+    """
+    order = np.argsort(anchor, kind="stable")
+    anchor, content, uid, span = anchor[order], content[order], uid[order], span[order]
+    first = np.ones(len(anchor), bool)
+    first[1:] = anchor[1:] != anchor[:-1]
+    other = np.zeros(len(anchor), bool)
+    other[1:] = ~first[1:] & (content[1:] != content[:-1])
+    differs = np.flatnonzero(other)
+    if not len(differs):
+        return anchor, content, uid, span
+    groups = np.flatnonzero(first)
+    sizes = np.diff(np.append(groups, len(anchor)))
+    several, at = np.unique((np.cumsum(first) - 1)[differs], return_index=True)
+    one, two = groups[several], differs[at]
+    least, greatest = np.minimum.reduceat(uid, groups)[several], np.maximum.reduceat(uid, groups)[several]
+    uid[one], uid[two] = least, greatest
+    span[one], span[two] = (sizes[several] - 1) * _SPAN, _SPAN
+    alone = np.ones(len(groups), bool)
+    alone[several] = False
+    keep = np.repeat(alone, sizes)
+    keep[one] = keep[two] = True
+    return anchor[keep], content[keep], uid[keep], span[keep]
 
 
 def _send_hashes(length: int, parts: int):
@@ -148,17 +182,18 @@ def _send_hashes(length: int, parts: int):
             blocks = Blocks(batch.column(0).to_pylist(), texts, length)
             mine = blocks.earliest()
             own, rest = np.flatnonzero(mine), np.flatnonzero(~mine)
-            slot = (blocks.anchor[own] % np.uint64(parts)).astype(np.int64)
+            rows = _thinned(blocks.anchor[own], blocks.content[own], blocks.uid[own], blocks.spans(own))
+            slot = (rows[0] % np.uint64(parts)).astype(np.int64)
             order = np.argsort(slot, kind="stable")
-            own, slot = own[order], slot[order]
+            slot = slot[order]
+            anchor, content, uid, spans = (c[order] for c in rows)
             cuts = np.flatnonzero(np.append(True, slot[1:] != slot[:-1])) if len(slot) else slot
-            ends = np.append(cuts[1:], len(own)) if len(slot) else slot
-            spans = blocks.spans(own)
+            ends = np.append(cuts[1:], len(slot)) if len(slot) else slot
             columns = (
-                (blocks.anchor[own] & np.uint64(0xFFFFFFFF)).astype(np.uint32),
-                (blocks.anchor[own] >> np.uint64(32)).astype(np.uint8),
-                blocks.content[own],
-                blocks.uid[own],
+                (anchor & np.uint64(0xFFFFFFFF)).astype(np.uint32),
+                (anchor >> np.uint64(32)).astype(np.uint8),
+                content,
+                uid,
                 (spans // _SPAN).astype(np.uint32),
                 (spans % _SPAN).astype(np.uint16),
             )
@@ -184,7 +219,7 @@ def _match_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in batches:
         for slot, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             if slot < 0:
-                yield _decided(body)
+                yield _found(*_unpacked(body), *[np.zeros(0, np.int64)] * 2)
                 continue
             n, at = len(body) // _ROW, 0
             for column, (kind, size) in zip(columns, _KINDS, strict=True):
@@ -207,7 +242,8 @@ def _match_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     later = np.flatnonzero((uid > np.repeat(least, sizes)) & ~np.repeat(several, sizes))
     span = start.astype(np.int64) * _SPAN + size
     several &= least < np.maximum.reduceat(uid, groups)
-    yield _found(uid[later], span[order[later]], anchor[groups[several]])
+    n = np.add.reduceat(np.where(size == 0, start, 1).astype(np.int64)[order], groups)
+    yield _found(uid[later], span[order[later]], anchor[groups[several]], n[several])
 
 
 def anchor_map(anchors: DataFrame, bits: int) -> np.ndarray:
@@ -224,15 +260,16 @@ def anchor_map(anchors: DataFrame, bits: int) -> np.ndarray:
 
 
 def _send_blocks(length: int, parts: int, bits: int, shared):
-    """Rows (slot, anchor, uid, start, before, content): blocks whose anchor is in the map.
+    """Rows (slot, anchor, salt, uid, start, before, content): blocks whose anchor is in the map.
 
-    Without an anchor: content holds spans that the batch itself decides.
+    Blocks of hot anchors have salts from 1 on, others 0. Without an anchor: content holds spans that the
+    batch itself decides.
     """
-    names = ["slot", "anchor", "uid", "start", "before", "content"]
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    names = ["slot", "anchor", "salt", "uid", "start", "before", "content"]
+    kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        marked = shared.value
+        marked, hot, salts = shared.value
         for batch, texts in in_pieces(batches, "text"):
             blocks = Blocks(batch.column(0).to_pylist(), texts, length)
             place = (blocks.anchor % np.uint64(bits)).astype(np.int64)
@@ -240,10 +277,15 @@ def _send_blocks(length: int, parts: int, bits: int, shared):
             wanted, rest = np.flatnonzero(kept & mine), np.flatnonzero(kept & ~mine)
             raw = blocks.data.tobytes()
             body = [raw[a:b] for a, b in zip(blocks.first[wanted].tolist(), blocks.end[wanted].tolist(), strict=True)]
-            anchor = blocks.anchor[wanted].astype(np.int64)
+            anchor, salt = blocks.anchor[wanted].astype(np.int64), np.zeros(len(wanted), np.int64)
+            if len(hot):
+                known = np.minimum(np.searchsorted(hot, anchor), len(hot) - 1)
+                luck = ta.mix(ta.mix(blocks.uid[wanted]) + blocks.start[wanted].astype(np.uint64))
+                salt = np.where(hot[known] == anchor, 1 + (luck % salts[known]).astype(np.int64), 0)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array((anchor % parts).astype(np.int32)), pa.array(anchor), pa.array(blocks.uid[wanted]),
+                    pa.array(((anchor + salt) % parts).astype(np.int32)), pa.array(anchor),
+                    pa.array(salt.astype(np.int32)), pa.array(blocks.uid[wanted]),
                     pa.array(blocks.start[wanted]), pa.array((blocks.at - blocks.first)[wanted].astype(np.int32)),
                     pa.array(body, pa.binary()),
                 ],
@@ -251,14 +293,14 @@ def _send_blocks(length: int, parts: int, bits: int, shared):
             )
             if len(rest):
                 # batches may be cut otherwise than in the first pass, so what they decide is sent again
-                row = [int(blocks.uid[rest[0]] % parts), None, None, None, None, blocks.uid[rest].tobytes() + blocks.spans(rest).tobytes()]
+                row = [int(blocks.uid[rest[0]] % parts), None, None, None, None, None, blocks.uid[rest].tobytes() + blocks.spans(rest).tobytes()]
                 yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row, kinds, strict=True)], names)
 
     return run
 
 
-def shared_strings(contents: list[tuple[bytes, int]], owner: list[int], length: int) -> list[list[int]]:
-    """Per content (bytes, place of the anchor): starts of strings that an earlier owner's content has too."""
+def equal_strings(contents: list[tuple[bytes, int]], length: int, least: int = 2) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
+    """Strings at ``least`` places or more of contents (bytes, place of the anchor), with (content, start)."""
     k, m = anchor_size(length), len(contents)
     text: list[int] = []
     who: list[int] = []
@@ -271,16 +313,8 @@ def shared_strings(contents: list[tuple[bytes, int]], owner: list[int], length:
         n = len(content) - length + 1
         who.extend([i] * n + [-1] * (len(text) - len(who) - n))
         at.extend(range(len(text) - len(at)))
-    found: list[list[int]] = [[] for _ in contents]
     run: list[int] = []
     last = b""
-
-    def close() -> None:
-        least = min(owner[who[p]] for p in run)
-        for p in run:
-            if owner[who[p]] > least:
-                found[who[p]].append(at[p])
-
     for p in suffix_array(text):
         i = who[p]
         if i < 0:
@@ -289,74 +323,94 @@ def shared_strings(contents: list[tuple[bytes, int]], owner: list[int], length:
         if string == last:
             run.append(p)
             continue
-        if len(run) > 1:
-            close()
+        if run and len(run) >= least:
+            yield last, [(who[q], at[q]) for q in run]
         run, last = [p], string
-    if len(run) > 1:
-        close()
-    return found
+    if run and len(run) >= least:
+        yield last, [(who[q], at[q]) for q in run]
 
 
 def _match_blocks(length: int):
     k = anchor_size(length)
     half = (length - k) // 2
 
-    def solve(rows: list[tuple[int, int, int, bytes]]) -> Iterator[tuple[int, int]]:
-        """From (uid, start, before, content) of one anchor: (uid, span)."""
+    def alike(contents: Iterable[tuple[bytes, int]]) -> list[tuple[bytes, int]]:
+        """Contents that may share a string: it holds the anchor and half of what is left on one of its sides."""
+        sides: dict[tuple[int, bytes], int] = {}
+        keys = []
+        for content, before in contents:
+            left = (0, content[before - half : before + k]) if before >= half else None
+            right = (1, content[before : before + k + half]) if len(content) - before - k >= half else None
+            keys.append((left, right))
+            for side in (left, right):
+                if side:
+                    sides[side] = sides.get(side, 0) + 1
+        return [c for c, pair in zip(contents, keys, strict=True) if any(s and sides[s] > 1 for s in pair)]
+
+    def solve(rows: list[tuple[int, int, int, bytes]], salted: bool) -> Iterator[tuple[int, int, bytes | None]]:
+        """From (uid, start, before, content) of one anchor: (uid, span, string).
+
+        ``salted``: other tasks have blocks of the anchor too; strings of the earliest document here are left open.
+        """
         least: dict[tuple[bytes, int], int] = {}
         for uid, _, before, content in rows:
             key = content, before
             if least.get(key, uid) >= uid:
                 least[key] = uid
+        begins: dict[tuple[bytes, int], list[int]] = {}
+        open_: dict[tuple[bytes, int], list[tuple[int, bytes]]] = {}
+        like = list(least) if salted else alike(least) if len(least) > 1 else []
+        owner = [least[c] for c in like]
+        if salted or len(set(owner)) > 1:
+            for string, places in equal_strings(like, length, 1 if salted else 2):
+                first = min(owner[i] for i, _ in places)
+                for i, at in places:
+                    if owner[i] > first:
+                        begins.setdefault(like[i], []).append(at)
+                    elif salted:
+                        open_.setdefault(like[i], []).append((at, string))
         spans: dict[tuple[bytes, int], list[int]] = {}
-        if len(least) > 1:
-            # a shared string holds the anchor and half of what is left on one of its sides
-            sides: dict[tuple[int, bytes], int] = {}
-            keys = []
-            for content, before in least:
-                left = (0, content[before - half : before + k]) if before >= half else None
-                right = (1, content[before : before + k + half]) if len(content) - before - k >= half else None
-                keys.append((left, right))
-                for side in (left, right):
-                    if side:
-                        sides[side] = sides.get(side, 0) + 1
-            like = [c for c, pair in zip(least, keys, strict=True) if any(s and sides[s] > 1 for s in pair)]
-            owner = [least[c] for c in like]
-            if len(set(owner)) > 1:
-                for c, starts in zip(like, shared_strings(like, owner, length), strict=True):
-                    merged: list[int] = []
-                    for s in sorted(starts):
-                        if merged and s <= merged[-1] // _SPAN + merged[-1] % _SPAN:
-                            begin = merged[-1] // _SPAN
-                            merged[-1] = begin * _SPAN + s + length - begin
-                        else:
-                            merged.append(s * _SPAN + length)
-                    spans[c] = merged
+        for c, found in begins.items():
+            merged: list[int] = []
+            for s in sorted(found):
+                if merged and s <= merged[-1] // _SPAN + merged[-1] % _SPAN:
+                    begin = merged[-1] // _SPAN
+                    merged[-1] = begin * _SPAN + s + length - begin
+                else:
+                    merged.append(s * _SPAN + length)
+            spans[c] = merged
         for uid, start, before, content in rows:
             if uid > least[content, before]:
-                yield uid, start * _SPAN + len(content)
-            else:
-                for span in spans.get((content, before), ()):
-                    yield uid, start * _SPAN + span
+                yield uid, start * _SPAN + len(content), None
+                continue
+            for span in spans.get((content, before), ()):
+                yield uid, start * _SPAN + span, None
+            for at, string in open_.get((content, before), ()):
+                yield uid, (start + at) * _SPAN + length, string
+
+    def decided(found: Iterable[tuple[int, int, bytes | None]]) -> pa.RecordBatch:
+        uid, span, string = zip(*found, strict=True) if found else ((), (), ())
+        columns = [pa.array(uid, pa.int64()), pa.array(span, pa.int64()), pa.array(string, pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["uid", "span", "string"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        group, rows, uids, spans = None, [], [], []
+        group, rows, found = (None, 0), [], []
         for batch in batches:
-            for anchor, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for anchor, salt, *row in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if anchor is None:
-                    yield _decided(row[-1])
+                    uid, span = _unpacked(row[-1])
+                    columns = [pa.array(uid), pa.array(span), pa.nulls(len(uid), pa.binary())]
+                    yield pa.RecordBatch.from_arrays(columns, ["uid", "span", "string"])
                     continue
-                if anchor != group:
-                    for uid, span in solve(rows) if len(rows) > 1 else ():
-                        uids.append(uid)
-                        spans.append(span)
-                    group, rows = anchor, []
+                if (anchor, salt) != group:
+                    if len(rows) > 1 or (rows and group[1]):
+                        found.extend(solve(rows, group[1] > 0))
+                    group, rows = (anchor, salt), []
                 rows.append(row)
-            yield _found(np.array(uids, np.int64), np.array(spans, np.int64), np.zeros(0, np.int64))
-            uids, spans = [], []
-        if len(rows) > 1:
-            both = list(solve(rows))
-            yield _found(np.array([u for u, _ in both], np.int64), np.array([s for _, s in both], np.int64), np.zeros(0, np.int64))
+            yield decided(found)
+            found = []
+        if len(rows) > 1 or (rows and group[1]):
+            yield decided(list(solve(rows, group[1] > 0)))
 
     return run
 
@@ -424,16 +478,25 @@ def without_repeats(
     dealt = sent.repartition(parts, F.when(F.col("slot") < 0, -1 - F.pmod(F.xxhash64("body"), F.lit(parts))).otherwise(F.col("slot")))
     found = materialized(dealt.mapInArrow(_match_hashes, FOUND), "found")
     spans = found.where("uid is not null").select("uid", "span")
-    anchors = found.where("anchor is not null").select("anchor")
+    anchors = found.where("anchor is not null").select("anchor", F.col("span").alias("n"))
     n = anchors.count()
     if n:
         bits = min(MOST_BITS, 1 << max(20, (BITS_EACH * n - 1).bit_length()))
-        shared = spark.sparkContext.broadcast(anchor_map(anchors, bits))
-        schema = "slot int, anchor long, uid long, start long, before int, content binary"
+        # a hot anchor takes 16 bytes here and HOT blocks in the texts
+        many = sorted((r["anchor"], r["n"]) for r in anchors.where(F.col("n") > HOT).toLocalIterator())
+        hot, salts = (np.array([r[i] for r in many], np.int64) for i in (0, 1))
+        shared = spark.sparkContext.broadcast((anchor_map(anchors, bits), hot, (2 * salts // HOT + 1).astype(np.uint64)))
+        schema = "slot int, anchor long, salt int, uid long, start long, before int, content binary"
         blocks = texts.mapInArrow(_send_blocks(length, parts, bits, shared), schema)
-        blocks = blocks.repartition(parts, "slot").sortWithinPartitions("anchor").drop("slot")
-        more = materialized(blocks.mapInArrow(_match_blocks(length), FOUND), "found")
-        spans = spans.unionByName(more.select("uid", "span"))
+        blocks = blocks.repartition(parts, "slot").sortWithinPartitions("anchor", "salt").drop("slot")
+        more = materialized(blocks.mapInArrow(_match_blocks(length), DECIDED), "found")
+        spans = spans.unionByName(more.where("string is null").select("uid", "span"))
+        if many:
+            places = more.where("string is not null")
+            earliest = places.groupBy("string").agg(F.min("uid").alias("first"), F.max("uid").alias("last"))
+            # stored like the places, so that Spark can split the rows of a hot string
+            earliest = materialized(earliest.where("first < last"), "strings")
+            spans = spans.unionByName(places.join(earliest, "string").where("uid > first").select("uid", "span"))
     first = sizes.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first < last")
     # stored, so that both sides of the join are plain shuffles, of which Spark can split hot parts
     first = materialized(first, "first")
