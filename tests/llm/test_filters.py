@@ -120,6 +120,25 @@ def test_mixture_meets_targets(spark):
             assert target <= 2 * size + 1e-6 and abs(taken[source] - target) <= 0.02 * target
 
 
+def test_mixture_of_many_repeats_meets_targets(spark):
+    """Identical rows that hold much of a source count with all their words."""
+    rows = [(None, "w " * 40, "a")] * 333 + [(7, "v " * 30, "b")] * 50 + [(7, "v " * 30, None)] * 9
+    rows += [(100 + i, f"u{i} " * (1 + i % 9), ("a", "b", None)[i % 3]) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
+    for fan in (4096, 4):
+        found = mixing.mixture(docs, fan=fan).collect()
+        assert len(found) == len(rows)
+        taken, targets = Counter(), {}
+        for r in found:
+            taken[r.source] += r.taken
+            targets[r.source] = r.target
+        assert all(abs(taken[s] - t) <= 10 for s, t in targets.items())
+        words = Counter()
+        for r in mixing.mixed(docs, fan=fan).collect():
+            words[r.source] += len(r.text.split())
+        assert words == taken
+
+
 def test_mixture_shares_rounding_fairly():
     """Over many draws the mean of each document's copies is its fraction."""
     rng = np.random.default_rng(2)

@@ -9,8 +9,10 @@ about FAN documents of a source are reduced by one task each; what is left of th
 group, is reduced again, until one document per source is left. Large documents pair first, so that small ones are left over.
 
 Randomness is a hash of seed and document: reruns agree. Null is a source of its own, ordered last.
-Null or empty texts have size 0 and are taken 0 words. Rows that agree in doc_id, source and text
-share their number of copies. An empty table gives an empty result.
+Null or empty texts have size 0 and are taken 0 words. Of rows that agree in doc_id, source and text
+(as many as their fractions sum up to in whole numbers) some are taken once more than the others, and
+the fraction left is one document's, so repeats keep the words taken too. An empty table gives an empty
+result.
 """
 
 from __future__ import annotations
@@ -19,7 +21,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vanewatch.llm.frames import boxed, unboxed, word_count
@@ -28,6 +30,8 @@ from vanewatch.session import materialized
 #: Documents that one task reduces.
 FAN = 4096
 EDGE = 1e-9
+#: Repeated rows are numbered in slices of at most 2^SLICE_BITS rows.
+SLICE_BITS = 16
 
 
 def units(docs: DataFrame) -> DataFrame:
@@ -148,7 +152,10 @@ def copies(
     seed: int = 17,
     fan: int = FAN,
 ) -> DataFrame:
-    """Per distinct document: doc_id, source, text_key, size, rows, source_size, target, copies."""
+    """Per distinct document: doc_id, source, text_key, size, rows, source_size, target, copies, more.
+
+    Each of its rows has ``copies``, ``more`` of them one more.
+    """
     thin = units(docs)
     targets = materialized(source_targets(thin, weights, share, most), "targets")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -161,7 +168,9 @@ def copies(
     found = thin.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
     luck = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_key"), 11) / F.lit(float(1 << 53))).alias("luck")
     key = ["source", "doc_id", "text_key", "size", "rows"]
-    open_rows = found.select(*key, F.col("fraction").alias("x"), luck, "docs")
+    # repeats exchange among themselves first, which leaves one of them with a fraction
+    sure = F.least(F.floor(F.col("rows") * F.col("fraction")), F.col("rows") - 1)
+    open_rows = found.select(*key, (F.col("rows") * F.col("fraction") - sure).alias("x"), luck, "docs")
     schema = "source string, doc_id long, text_key string, size long, rows long, x double, luck double, done boolean"
     most_docs = targets.agg(F.max("docs")).first()[0] or 0
     decided, group = None, fan
@@ -181,31 +190,68 @@ def copies(
         open_rows = open_rows.select(*key, "x", "luck", "docs")
         group *= fan
     result = decided.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
-    return result.select(*key, "source_size", "target", (F.col("whole") + F.col("extra")).alias("copies"))
+    more = sure + F.col("extra")
+    everyone = (more == F.col("rows")).cast("int")
+    return result.select(
+        *key, "source_size", "target", (F.col("whole") + everyone).alias("copies"),
+        F.when(everyone == 1, F.lit(0)).otherwise(more).cast("bigint").alias("more"),
+    )
 
 
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
     found = copies(docs, **options)
     found = found.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    found = found.withColumn("copies", F.col("copies") + (F.col("_i") <= F.col("more")).cast("int"))
     taken = (F.col("copies") * F.col("size")).cast("bigint").alias("taken")
     return found.select("doc_id", "source", "size", "source_size", "target", "copies", taken)
 
 
 def mixed(docs: DataFrame, **options) -> DataFrame:
     """The documents themselves, each as often as the mix takes it."""
-    chosen = copies(docs, **options).where("copies > 0")
+    chosen = copies(docs, **options).where("copies > 0 or more > 0")
     chosen = materialized(
-        chosen.select(F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"), "copies"),
+        chosen.select(
+            F.col("doc_id").alias("_id"), F.col("source").alias("_src"), F.col("text_key").alias("_key"),
+            F.col("copies").alias("_copies"), F.col("more").alias("_more"),
+        ),
         "copies",
-    ).withColumnRenamed("copies", "_copies")
+    )
     df = boxed(docs)
     key = F.md5(F.coalesce(F.col("_row.text"), F.lit("")))
-    df = df.join(
-        chosen,
-        F.col("_row.doc_id").cast("bigint").eqNullSafe(F.col("_id"))
-        & F.col("_row.source").eqNullSafe(F.col("_src"))
-        & (key == F.col("_key")),
-    )
-    df = df.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-    return df.select(*unboxed(df, docs.columns))
+
+    def matched(some: DataFrame) -> DataFrame:
+        return df.join(
+            some,
+            F.col("_row.doc_id").cast("bigint").eqNullSafe(F.col("_id"))
+            & F.col("_row.source").eqNullSafe(F.col("_src"))
+            & (key == F.col("_key")),
+        )
+
+    uneven = chosen.where("_more > 0")
+    found = matched(chosen.where("_more = 0")).select("_row", "_copies")
+    if not uneven.isEmpty():
+        found = found.unionByName(_uneven(matched(uneven)))
+    found = found.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    return found.select(*unboxed(found, docs.columns))
+
+
+def _uneven(rows: DataFrame) -> DataFrame:
+    """Rows (_row, _copies) of repeats: the first ``_more`` of a key have one copy more.
+
+    Numbered inside slices of a stored table, then offset, so that no key goes through one task.
+    """
+    key = ["_id", "_src", "_key"]
+    place = F.monotonically_increasing_id().alias("_place")
+    placed = materialized(rows.select("_row", *key, "_copies", "_more", place), "repeats")
+    placed = placed.withColumn("_part", F.shiftright("_place", SLICE_BITS))
+    # one row per key and slice
+    counts = placed.groupBy(*key, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    counts = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy(*key).orderBy("_part")) - F.col("_n"))
+    counts = counts.select(*[F.col(c).alias(f"{c}_of") for c in key], F.col("_part").alias("_part_of"), "_before")
+    numbered = placed.withColumn("_nth", F.row_number().over(Window.partitionBy(*key, "_part").orderBy("_place")))
+    same = F.col("_part") == F.col("_part_of")
+    for c in key:
+        same &= F.col(c).eqNullSafe(F.col(f"{c}_of"))
+    extra = (F.col("_before") + F.col("_nth") <= F.col("_more")).cast("int")
+    return numbered.join(counts, same).select("_row", (F.col("_copies") + extra).alias("_copies")).where("_copies > 0")
