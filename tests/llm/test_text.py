@@ -110,6 +110,15 @@ def test_suffix_array(symbols):
     assert suffix_array(text) == sorted(range(len(text)), key=lambda i: text[i:])
 
 
+def test_ids_of_a_very_long_word(library):
+    """A word of fewer than 2^20 letters may have more than 2^20 ids."""
+    texts = ["one two", "ᄒ" * 540_000, "two three"]
+    found = packing.Encoder(VOCABULARY).encode(texts)
+    expected = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(expected[1]) >= 1 << 20
+    assert [f.tolist() for f in found] == expected
+
+
 def test_repeated_passages(docs, texts):
     found = repeats.without_repeats(docs, length=50, keep_text=True).collect()
     expected = helpers.without_repeats(texts, 50)

@@ -43,10 +43,16 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = merges(path).split
+        self.ids = np.zeros(0, np.uint32)
+        self._forget()
+
+    def _forget(self) -> None:
+        #: by hash: the place in start and length, which tell where the ids are
         self.memory = Memory()
-        self.ids, self.used = np.zeros(0, np.uint32), 0
+        self.start = self.length = np.zeros(0, np.int64)
+        self.ids, self.used = self.ids[:0], 0
 
-    def _keep(self, rows: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    def _keep(self, rows: list[list[int]]) -> np.ndarray:
         length = np.array([len(r) for r in rows], np.int64)
         flat = np.array([i for r in rows for i in r], np.uint32)
         start = self.used + np.cumsum(length) - length
@@ -54,7 +60,9 @@ class Encoder:
             self.ids = np.concatenate([self.ids[: self.used], np.zeros(max(self.used, len(flat) * 4), np.uint32)])
         self.ids[self.used : self.used + len(flat)] = flat
         self.used += len(flat)
-        return start, length
+        place = len(self.start) + np.arange(len(rows))
+        self.start, self.length = np.append(self.start, start), np.append(self.length, length)
+        return place
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         parts = [ta.folded(t) for t in texts]
@@ -65,17 +73,16 @@ class Encoder:
             hashes = ta.run_hashes(ta.prefix_sums(points), begin, end)
             distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
             if len(self.memory.hashes) + len(distinct) > self.memory.most:
-                self.memory, self.ids, self.used = Memory(), self.ids[:0], 0
+                self._forget()
             value, unknown = self.memory.find(distinct)
             if unknown.any():
                 joined = "".join(parts)
                 words = [joined[begin[i] : end[i]] for i in example[unknown]]
                 coded = self.tokenizer.encode_batch(words, add_special_tokens=False)
-                start, length = self._keep([c.ids for c in coded])
-                value[unknown] = (start << 20) | length
+                value[unknown] = self._keep([c.ids for c in coded])
                 self.memory.add(distinct[unknown], value[unknown])
-            length = (value & ((1 << 20) - 1))[which]
-            flat = self.ids[ta.gathered((value >> 20)[which], length)]
+            length = self.length[value][which]
+            flat = self.ids[ta.gathered(self.start[value][which], length)]
             sums = np.concatenate([[0], np.cumsum(length)])
             bounds = sums[np.searchsorted(begin, starts)]
             rows = [flat[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
