@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tests.llm import helpers
+from vanewatch.llm.alphabet import alphabet
 from vanewatch.llm import classifier, components, jaccard, language, packing, repeats, tokens
 from vanewatch.llm.queries import VOCABULARY
 from vanewatch.llm.suffixes import suffix_array
@@ -36,10 +37,23 @@ def library():
 @given(st.lists(st.text(st.sampled_from("ab'sdtrevlm éÉΣßİ1٣½\n\u0085\u00a0\u001c!<|>日😀\u0301")), min_size=1, max_size=4))
 def test_token_counts_match_the_library(texts):
     library = Tokenizer.from_file(VOCABULARY)
-    found = tokens.token_counts(texts, tokens.merges(VOCABULARY), tokens.Memory())
+    found = tokens.token_counts(texts, tokens.merges(VOCABULARY), alphabet(VOCABULARY), tokens.Memory())
     assert found.tolist() == [len(library.encode(t, add_special_tokens=False).ids) for t in texts]
 
 
+def test_every_code_point_in_three_contexts(library):
+    """Counts and ids equal the library's, whatever the age of Python's Unicode tables."""
+    letters, memory, encoder = alphabet(VOCABULARY), tokens.Memory(), packing.Encoder(VOCABULARY)
+    # planes 3 to 16 hold hardly any letters: every 61st there (all of them take three minutes)
+    points = [c for c in (*range(0x30000), *range(0x30000, 0x110000, 61)) if not 0xD800 <= c < 0xE000]
+    for at in range(0, len(points), 1 << 17):
+        some = [chr(c) for c in points[at : at + (1 << 17)]]
+        texts = ["\n".join(f"a{c}b '{c}s 1{c}{c}!" for c in some[k : k + 64]) for k in range(0, len(some), 64)]
+        wanted = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+        assert tokens.token_counts(texts, tokens.merges(VOCABULARY), letters, memory).tolist() == [len(w) for w in wanted]
+        assert [row.tolist() for row in encoder.encode(texts)] == wanted
+
+
 def test_counted_tokens(docs, texts, library):
     found = tokens.counted_tokens(helpers.with_repeats(docs), VOCABULARY, limit=100).collect()
     assert len(found) == helpers.with_repeats(docs).count()

@@ -15,7 +15,6 @@ ids too. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import os
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -26,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanewatch.llm import textarrays as ta
+from vanewatch.llm.alphabet import alphabet
 from vanewatch.llm.frames import in_pieces
 from vanewatch.llm.mixing import ranked
 from vanewatch.llm.tokens import Memory, merges, pretokens
@@ -38,10 +38,7 @@ class Encoder:
     """Ids of whole texts; the library encodes a distinct pre-token once, the worker remembers its ids."""
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer  # only tasks need it
-
-        self.tokenizer = Tokenizer.from_file(path)
+        self.letters = alphabet(path)
         self.special = merges(path).split
         self.ids = np.zeros(0, np.uint32)
         self._forget()
@@ -65,9 +62,9 @@ class Encoder:
         return place
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [ta.folded(t) for t in texts]
+        parts = [self.letters.folded(t) for t in texts]
         points, starts = ta.code_points(parts)
-        begin, end = pretokens(points, starts)
+        begin, end = pretokens(points, starts, self.letters.kinds(points))
         rows: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
         if len(begin):
             hashes = ta.run_hashes(ta.prefix_sums(points), begin, end)
@@ -78,7 +75,7 @@ class Encoder:
             if unknown.any():
                 joined = "".join(parts)
                 words = [joined[begin[i] : end[i]] for i in example[unknown]]
-                coded = self.tokenizer.encode_batch(words, add_special_tokens=False)
+                coded = self.letters.plain.encode_batch(words, add_special_tokens=False)
                 value[unknown] = self._keep([c.ids for c in coded])
                 self.memory.add(distinct[unknown], value[unknown])
             length = self.length[value][which]
@@ -88,7 +85,7 @@ class Encoder:
             rows = [flat[bounds[i] : bounds[i + 1]] for i in range(len(texts))]
         for i, text in enumerate(texts):
             if ("<" in text and self.special.search(text)) or len(text) >= 1 << 20:
-                rows[i] = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+                rows[i] = np.array(self.letters.whole.encode(text, add_special_tokens=False).ids, np.uint32)
         return rows
 
 

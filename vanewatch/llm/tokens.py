@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vanewatch.llm import textarrays as ta
+from vanewatch.llm.alphabet import Alphabet, alphabet
 from vanewatch.llm.frames import in_pieces
 
 #: Pre-tokens whose count a worker remembers.
@@ -41,9 +42,8 @@ def byte_names() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
-def pretokens(points: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the pre-tokens of folded texts, in order."""
-    kind = ta.classes()[points]
+def pretokens(points: np.ndarray, starts: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pre-tokens of folded texts, in order; ``kind`` has the class of each code point."""
     if not len(kind):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     first, last = ta.runs(kind, starts)
@@ -158,7 +158,7 @@ class Memory:
         self.hashes, self.values = every[order], value[order]
 
 
-def token_counts(texts: list[str], table: Merges, memory: Memory) -> np.ndarray:
+def token_counts(texts: list[str], table: Merges, letters: Alphabet, memory: Memory) -> np.ndarray:
     """Tokens of each text."""
     owner, parts, found = [], [], np.zeros(len(texts), np.int64)
     for i, text in enumerate(texts):
@@ -166,12 +166,12 @@ def token_counts(texts: list[str], table: Merges, memory: Memory) -> np.ndarray:
             found[i] += len(table.split.findall(text))
             for part in table.split.split(text):
                 owner.append(i)
-                parts.append(ta.folded(part))
+                parts.append(letters.folded(part))
         else:
             owner.append(i)
-            parts.append(ta.folded(text))
+            parts.append(letters.folded(text))
     points, starts = ta.code_points(parts)
-    begin, end = pretokens(points, starts)
+    begin, end = pretokens(points, starts, letters.kinds(points))
     if len(begin):
         hashes = ta.run_hashes(ta.prefix_sums(points), begin, end)
         distinct, example, which = np.unique(hashes, return_index=True, return_inverse=True)
@@ -193,10 +193,10 @@ def counted_tokens(docs: DataFrame, path: str, limit: int = 2048, id_column: str
     kind = dict(docs.dtypes)[id_column]
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, memory = merges(path), ta.once(("counts", path), Memory)
+        table, letters, memory = merges(path), alphabet(path), ta.once(("counts", path), Memory)
         for batch, texts in in_pieces(batches, "text"):
             n_bytes = pc.fill_null(pc.binary_length(batch.column(1)), 0).cast(pa.int64())
-            n_tokens = pa.array(token_counts(texts, table, memory), pa.int64())
+            n_tokens = pa.array(token_counts(texts, table, letters, memory), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), n_bytes, n_tokens], ["id", "n_bytes", "n_tokens"])
 
     thin = docs.select(F.col(id_column).alias("id"), F.col("text").alias("text"))
