@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, repeats, rules, tokens, twins, urls
+from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, repeats, rules, tokenfiles, tokens, twins, urls
 from vanewatch.llm.frames import table
 from vanewatch.llm.sampling import crc_bucket
+from vanewatch.session import fresh_dir
 
 #: Vocabulary file of the token queries; a file with the same name must lie on every executor.
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -128,3 +129,11 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeats.without_repeats(table(spark, sf_dir, "documents"), length=50)
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op12_token_files")
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fresh_dir(spark, "tokens")
+    tokenfiles.write(table(spark, sf_dir, "documents"), VOCABULARY, folder, end_id=2)
+    found = tokenfiles.documents(spark, folder)
+    return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
