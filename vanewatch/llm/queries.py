@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, repeats, rules, tokenfiles, tokens, twins, urls
-from vanewatch.llm.frames import table
+from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, periods, repeats, rules, tokenfiles, tokens, twins, urls
+from vanewatch.llm.frames import table, words_of
 from vanewatch.llm.sampling import crc_bucket
 from vanewatch.session import fresh_dir
 
@@ -137,3 +137,38 @@ def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokenfiles.write(table(spark, sf_dir, "documents"), VOCABULARY, folder, end_id=2)
     found = tokenfiles.documents(spark, folder)
     return found.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; in every document whose hash ends in 0 the words from some place on repeat a block."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    docs = docs.select("doc_id", "text", code.alias("h"), F.floor(code / 10).alias("g"))
+    docs = docs.withColumn("w", F.when(F.col("h") % 10 == 0, words_of(F.col("text"))))
+    docs = docs.withColumn("n", F.size("w").cast("bigint"))
+    docs = docs.withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")).cast("int"))
+    rest = F.col("n") - F.col("a")
+    docs = docs.withColumn("p", (1 + F.floor(rest / (3 + F.col("g") % 8))).cast("int"))
+    block = F.slice("w", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(block, F.ceil(rest / F.col("p")).cast("int"))), F.lit(1), rest.cast("int"))
+    words = F.concat(F.slice("w", F.lit(1), F.col("a")), tail)
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", twins.PERIODIC_RUNS)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents"))
+    found = periods.periodic_runs(docs, min_length=24, min_repeats=3)
+
+    def earlier(a, b):
+        more, less = a.length * b.period, b.length * a.period
+        key_a, key_b = F.struct(-more, a.start, a.period), F.struct(-less, b.start, b.period)
+        return F.when(key_a < key_b, -1).when(key_a > key_b, 1).otherwise(0)
+
+    found = found.withColumn("best", F.get(F.array_sort("runs", earlier), F.lit(0)))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r.start, r.length, r.period), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("best.start").alias("start"), F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )

@@ -123,3 +123,49 @@ select doc_id, (len(x) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint
        sha256(unhex(coalesce(kept, '') || substr(x, 2 * coalesce(rest, 0) + 1))) as kept_sha256
 from d left join t using (doc_id)
 """
+
+#: The hash of an id is its CRC-32, taken bit by bit: eight shifts a character.
+PERIODIC_RUNS = r"""
+with d as (
+  select row_number() over () as r, doc_id,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda y: y <> '') as w,
+         xor(list_reduce(
+           list_concat([4294967295], flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda acc, c: xor(xor(acc, c) >> 1, 3988292384 * (xor(acc, c) & 1))), 4294967295) as h
+  from documents
+), b as (
+  select *, len(w)::bigint as n, h // 10 as g, case when h % 10 = 0 and len(w) > 0 then (h // 10) % len(w) end as a from d
+), c as (
+  select *, 1 + (n - a) // (3 + g % 8) as p from b
+), x as (
+  select r, doc_id, n, case when a is null then w else list_concat(list_slice(w, 1, a),
+           list_slice(flatten(list_transform(range((n - a) // p + 1), lambda k: list_slice(w, a + 1, a + p))), 1, n - a)) end as x
+  from c
+), periods as (
+  select r, n, x, unnest(range(1, n // 3 + 1)) as q from x where n >= 24
+), grid as (
+  select r, n, x, q, unnest(range(0, n - 2 * q + 1, q)) as i from periods
+), hits as (
+  select r, n, x, q, i from grid
+  where x[i + 1] = x[i + q + 1] and x[i + q] = x[i + 2 * q] and list_slice(x, i + 1, i + q) = list_slice(x, i + q + 1, i + 2 * q)
+), chains as (
+  select *, lag(i) over (partition by r, q order by i) as before from hits
+), stretches as (
+  select r, q, coalesce(list_filter(range(i), lambda m: x[m + 1] <> x[m + q + 1])[-1] + 1, 0) as s,
+         coalesce(list_filter(range(i + 2 * q, n), lambda m: x[m + 1] <> x[m - q + 1])[1], n) as e
+  from chains where before is null or before < i - q
+), runs as (
+  select r, s, e - s as l, min(q) as q from stretches where e - s >= greatest(24, 3 * q) group by r, s, e
+), best as (
+  select r, s, l, q, row_number() over (partition by r order by l::decimal(38, 18) / q desc, s, q) as place from runs
+), lists as (
+  select r, count(*) as n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' order by s, q) as lines,
+         list({'a': s + q, 'b': s + l}) as gone
+  from runs group by r
+)
+select doc_id, coalesce(n_runs, 0)::bigint as n_runs, s::bigint as start, l::bigint as length, q::bigint as period,
+       (1000 * l // q)::bigint as exponent_milli, sha256(coalesce(lines, '')) as runs_sha256,
+       sha256(array_to_string(case when gone is null then x else list_transform(
+         list_filter(range(n), lambda m: len(list_filter(gone, lambda z: m >= z.a and m < z.b)) = 0), lambda m: x[m + 1]) end, ' ')) as collapsed_sha256
+from x left join lists using (r) left join best on x.r = best.r and place = 1
+"""
