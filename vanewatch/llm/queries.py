@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, periods, repeats, rules, tokenfiles, tokens, twins, urls
+from vanewatch.llm import chunks, classifier, jaccard, language, mixing, packing, periods, repeats, rules, tokenfiles, tokens, twins, urls, whitening
 from vanewatch.llm.frames import table, words_of
 from vanewatch.llm.sampling import crc_bucket
 from vanewatch.session import fresh_dir
@@ -172,3 +172,8 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
     )
+
+
+@query("op13_embedding_whitening")
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whitened(table(spark, sf_dir, "embeddings"), components=8, scale=1024.0, shift=100_000)
