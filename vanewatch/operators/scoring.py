@@ -25,19 +25,21 @@ def linear_score(features: Column | str, weights: Sequence[float] | Column, bias
 def batch_score(windows: Column | str, weights: Sequence[float], bias: float = 0.0) -> Column:
     """The same score for nested windows, one matrix product per Arrow batch.
 
-    About twice as fast as the array expression for windows of a few hundred values. A window that
-    does not hold as many values as there are weights scores NULL; a missing value gives NaN.
+    A window that does not hold as many values as there are weights scores NULL; a missing value gives
+    NaN. Lengths come from the list offsets, no window is turned into Python objects.
     """
     vector = np.asarray(weights, dtype=np.float64)
 
     @F.arrow_udf("double")
     def score(batch: pa.Array) -> pa.Array:
-        fits = pa.array([w is not None and sum(len(r or ()) for r in w) == len(vector) for w in batch.to_pylist()])
-        flat = batch.filter(fits).flatten().flatten().to_numpy(zero_copy_only=False)
+        outer, inner = batch.offsets.to_numpy(), batch.values.offsets.to_numpy()
+        fits = (inner[outer[1:]] - inner[outer[:-1]]) == len(vector)
+        fits &= batch.is_valid().to_numpy(zero_copy_only=False)
+        chosen = batch if fits.all() else batch.filter(pa.array(fits))
+        flat = chosen.flatten().flatten().to_numpy(zero_copy_only=False)
         result = np.full(len(batch), np.nan)
-        chosen = fits.to_numpy(zero_copy_only=False)
-        result[chosen] = flat.astype(np.float64).reshape(-1, len(vector)) @ vector + bias
-        return pa.array(result, mask=~chosen)
+        result[fits] = flat.astype(np.float64).reshape(-1, len(vector)) @ vector + bias
+        return pa.array(result, mask=~fits)
 
     return score(windows)
 

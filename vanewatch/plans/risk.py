@@ -9,8 +9,8 @@ from vanewatch.functions import scalars
 from vanewatch.functions.vectors import sensor_row
 from vanewatch.operators import evaluation, fleet, ordering, prepare, quality, scoring, store, windows
 from vanewatch.plans.registry import query
-from vanewatch.plans.series import RUL, WIDTH, labelled, rounded, sql_histogram
-from vanewatch.plans.testviews import AS_OF, events, ntz, predictions, sql, stamp, telemetry
+from vanewatch.plans.series import BUFFER, RUL, WIDTH, labelled, rounded, sql_histogram
+from vanewatch.plans.testviews import AS_OF, events, ntz, predictions, sensor, sql, stamp, telemetry
 from vanewatch.session import materialized
 from vanewatch.spec import KEEP_SENSORS, WINDOW
 
@@ -198,6 +198,7 @@ def batch_score_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("engine_id", "remaining_cycles", "error")
 
 
+_BUFFER_TOTAL = sum(r * c for r in range(1, BUFFER + 1) for c in range(1, WIDTH + 1))
 RAW_LIMITS = {s: (0.0, 500.0 * int(s[1:])) for s in KEEP_SENSORS}
 _RAW_ROW = " + ".join(
     f"{i}.0::double * cast(cast({s} as real)::double / {500.0 * int(s[1:])}::double as real)::double"
@@ -208,29 +209,25 @@ _RAW_ROW = " + ".join(
 @query(
     "raw_window_score",
     sql(
-        "select unit, count(*) as readings, case when count(*) < 30 then "
-        "'Expected 30 readings, got ' || count(*) when bool_or(not full_row) then 'Missing required sensor keys: s21' end as error, "
-        f"case when count(*) = 30 and bool_and(full_row) then round(sum((31 - rn) * x) / {_TOTAL}.0::double, 6) end as y "
+        f"select unit, count(*) as readings, case when count(*) < {BUFFER} then "
+        f"'Expected {BUFFER} readings, got ' || count(*) when bool_or(not full_row) then 'Missing required sensor keys: s21' end as error, "
+        f"case when count(*) = {BUFFER} and bool_and(full_row) then round(sum(({BUFFER + 1} - rn) * x) / {_BUFFER_TOTAL}.0::double, 6) end as y "
         "from (select user_id as unit, full_row, x, row_number() over (partition by user_id order by event_id desc) as rn from "
-        f"(select user_id, event_id, k > 2 as full_row, {_RAW_ROW} as x from (select *, "
+        f"(select user_id, event_id, k > 0 as full_row, {_RAW_ROW} as x from (select *, "
         + ", ".join(f"value + {s[1:]}.0::double * k as {s}" for s in KEEP_SENSORS)
-        + " from e where event_type in ('click', 'view', 'error')))) where rn <= 30 group by unit",
+        + f" from e))) where rn <= {BUFFER} group by unit",
         "e",
     ),
 )
 def raw_window_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Last 30 pushed raw readings: check keys, scale, score; sensor s21 is absent for small k."""
-    from vanewatch.plans.testviews import sensor
-
-    log = events(spark, sf_dir).where(F.col("event_type").isin("click", "view", "error"))
+    """Last pushed raw readings: check keys, scale, score; sensor s21 is absent for k = 0."""
     full = F.create_map(*[x for s in KEEP_SENSORS for x in (F.lit(s), sensor(s))])
-    reading = F.when(F.col("k") > 2, full).otherwise(F.map_filter(full, lambda n, _: n != "s21"))
-    rows = log.select(F.col("user_id").alias("unit"), "event_id", reading.alias("reading"))
-    held = windows.last_readings(rows, "unit", ["event_id"], ["reading"]).withColumn(
-        "readings", F.col("readings.reading")
-    )
-    checked = scoring.raw_windows(held, RAW_LIMITS)
-    y = scoring.linear_score(F.flatten("sensor_data"), WEIGHTS)
+    reading = F.when(F.col("k") > 0, full).otherwise(F.map_filter(full, lambda n, _: n != "s21"))
+    rows = events(spark, sf_dir).select(F.col("user_id").alias("unit"), "event_id", reading.alias("reading"))
+    held = windows.last_readings(rows, "unit", ["event_id"], ["reading"], BUFFER)
+    checked = scoring.raw_windows(held.withColumn("readings", F.col("readings.reading")), RAW_LIMITS, BUFFER)
+    weights = [r * c / _BUFFER_TOTAL for r in range(1, BUFFER + 1) for c in range(1, WIDTH + 1)]
+    y = scoring.linear_score(F.flatten("sensor_data"), weights)
     return checked.select(
         "unit",
         F.col("buffered").alias("readings"),
@@ -531,9 +528,7 @@ def skip_missing_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store.lookup(wanted, store_view(spark, sf_dir)).select("engine_id", "cycle")
 
 
-_BUFFER = (
-    "select engine_id, least(count(*), 30) as buffered from t2 where event_type in ('click', 'view', 'error') group by 1"
-)
+_BUFFER = f"select engine_id, least(count(*), {BUFFER}) as buffered from t2 group by 1"
 _LAST_HIGH = (
     "select engine_id, risk_level from p where risk_level in ('HIGH', 'CRITICAL') "
     "qualify row_number() over (partition by engine_id order by ts desc, event_id desc) = 1"
@@ -541,15 +536,14 @@ _LAST_HIGH = (
 
 
 def push_buffer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = predictions(spark, sf_dir).where(F.col("event_type").isin("click", "view", "error"))
-    return windows.buffer_sizes(log, "engine_id")
+    return windows.buffer_sizes(predictions(spark, sf_dir), "engine_id", BUFFER)
 
 
 @query(
     "engine_status",
     sql(
         "select engine_id, case when s.engine_id is not null then 'redis_stream' else 'push_buffer' end as source, "
-        "s.engine_id is not null or coalesce(buffered, 0) >= 30 as ready, h.risk_level as last_level "
+        f"s.engine_id is not null or coalesce(buffered, 0) >= {BUFFER} as ready, h.risk_level as last_level "
         "from (select distinct engine_id from live) s full join b using (engine_id) left join h using (engine_id)",
         "p",
         **_STORE,
@@ -561,7 +555,7 @@ def engine_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     risky = predictions(spark, sf_dir).where(F.col("risk_level").isin("HIGH", "CRITICAL"))
     last = ordering.latest_per_key(risky, ["engine_id"], ["ts", "event_id"], ["risk_level"])
     active = store.active_engines(writes(spark, sf_dir), ntz(AS_OF), ttl=TTL)
-    status = store.engine_status(active, push_buffer(spark, sf_dir), last)
+    status = store.engine_status(active, push_buffer(spark, sf_dir), last, window=BUFFER)
     return status.select("engine_id", "source", "ready", F.col("last_prediction.risk_level").alias("last_level"))
 
 

@@ -373,19 +373,22 @@ def last_row_per_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prepare.last_values(gaps, "unit", "cycle", ["s2", "s3"])
 
 
+#: Readings of a push buffer that counts as full; about half of the units have as many.
+BUFFER = 66
+
+
 @query(
     "last_n_readings",
     sql(
-        "select unit, count(*) as buffered, count(*) >= 30 as ready, min(event_id) as oldest, max(event_id) as newest, "
+        f"select unit, count(*) as buffered, count(*) >= {BUFFER} as ready, min(event_id) as oldest, max(event_id) as newest, "
         "round(sum(value), 6) as total from (select user_id as unit, event_id, value, "
-        "row_number() over (partition by user_id order by event_id desc) as rn from e "
-        "where event_type in ('click', 'view', 'error')) where rn <= 30 group by unit",
+        f"row_number() over (partition by user_id order by event_id desc) as rn from e) where rn <= {BUFFER} group by unit",
         "e",
     ),
 )
 def last_n_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = events(spark, sf_dir).where(F.col("event_type").isin("click", "view", "error"))
-    held = windows.last_readings(log.withColumnRenamed("user_id", "unit"), "unit", ["event_id"], ["event_id", "value"])
+    log = events(spark, sf_dir).withColumnRenamed("user_id", "unit")
+    held = windows.last_readings(log, "unit", ["event_id"], ["event_id", "value"], BUFFER)
     r = F.col("readings")
     return held.select(
         "unit",
@@ -400,14 +403,12 @@ def last_n_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "buffer_sizes",
     sql(
-        "select user_id as unit, least(count(*), 30) as buffered, count(*) >= 30 as ready from e "
-        "where event_type in ('click', 'view', 'error') group by user_id",
+        f"select user_id as unit, least(count(*), {BUFFER}) as buffered, count(*) >= {BUFFER} as ready from e group by user_id",
         "e",
     ),
 )
 def buffer_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = events(spark, sf_dir).where(F.col("event_type").isin("click", "view", "error"))
-    return windows.buffer_sizes(log.withColumnRenamed("user_id", "unit"), "unit")
+    return windows.buffer_sizes(events(spark, sf_dir).withColumnRenamed("user_id", "unit"), "unit", BUFFER)
 
 
 ACCEPTED = (
