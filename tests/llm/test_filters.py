@@ -5,11 +5,13 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm import helpers
 from vanewatch.llm import chunks, mixing, rules, urls
+from vanewatch.llm.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -121,7 +123,10 @@ def test_mixture_meets_targets(spark):
 
 
 def test_mixture_of_many_repeats_meets_targets(spark):
-    """Identical rows that hold much of a source count with all their words."""
+    """Identical rows that hold much of a source count with all their words.
+
+    A source misses its target by its last open document: a small one, or any one where groups are tiny.
+    """
     rows = [(None, "w " * 40, "a")] * 333 + [(7, "v " * 30, "b")] * 50 + [(7, "v " * 30, None)] * 9
     rows += [(100 + i, f"u{i} " * (1 + i % 9), ("a", "b", None)[i % 3]) for i in range(60)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(7)
@@ -132,25 +137,88 @@ def test_mixture_of_many_repeats_meets_targets(spark):
         for r in found:
             taken[r.source] += r.taken
             targets[r.source] = r.target
-        assert all(abs(taken[s] - t) <= 10 for s, t in targets.items())
+        assert all(abs(taken[s] - t) <= (10 if fan > 100 else 40) for s, t in targets.items())
         words = Counter()
         for r in mixing.mixed(docs, fan=fan).collect():
             words[r.source] += len(r.text.split())
         assert words == taken
 
 
-def test_mixture_shares_rounding_fairly():
-    """Over many draws the mean of each document's copies is its fraction."""
+def whole_path(size, x, rng):
+    """Both levels of the tree: two groups, then what is left of them."""
+    x, left = x.copy(), []
+    for group in (np.array([0, 2, 3]), np.array([1, 4, 5])):
+        x[group], held = mixing.pivot(size[group], x[group], rng.random(3))
+        left += [group[held]] if held >= 0 else []
+    left = np.array(sorted(left), int)
+    if len(left):
+        x[left], held = mixing.pivot(size[left], x[left], rng.random(len(left)), last=True)
+        assert held == -1
+    return x
+
+
+@pytest.mark.parametrize("fractions", [[0.3] * 6, [0.5, 0.1, 0.9, 0.25, 0.6, 0.3]])
+@pytest.mark.parametrize("one_group", [True, False])
+def test_mixture_shares_rounding_fairly(fractions, one_group):
+    """Over many draws of the whole path the mean of each document's copies is its fraction."""
+    size, x, rng = np.array([50.0, 40, 30, 20, 10, 5]), np.array(fractions), np.random.default_rng(2)
+    draws = []
+    for _ in range(5000):
+        draws.append(mixing.pivot(size, x, rng.random(6), last=True)[0] if one_group else whole_path(size, x, rng))
+    draws = np.array(draws)
+    assert set(draws.ravel()) == {0.0, 1.0}
+    assert np.abs(draws.mean(0) - x).max() < 0.02
+
+
+def test_pivot_keeps_the_words():
     rng = np.random.default_rng(2)
-    size, x = np.array([50.0, 40, 30, 20, 10, 5]), np.full(6, 0.3)
-    total = np.zeros(6)
-    for _ in range(4000):
-        got, held = mixing.pivot(size, x, rng.random(6))
+    for _ in range(500):
+        size, x = np.sort(rng.integers(0, 60, 9))[::-1].astype(float), rng.random(9)
+        got, held = mixing.pivot(size, x, rng.random(9))
         assert abs((got * size).sum() - (x * size).sum()) < 1e-6
-        if held >= 0:
-            got[held] = float(rng.random() < got[held])
-        total += got
-    assert np.allclose(total / 4000, 0.3, atol=0.04)
+        assert all(v in (0, 1) for i, v in enumerate(got) if i != held)
+
+
+def targets_by_force(sizes, weights=(5, 2, 1), share=1.5, most=2.0):
+    """Targets of sources by their sizes: caps are found one after the other."""
+    order = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    held = {}
+    while True:
+        left = share * sum(sizes.values()) - sum(held.values())
+        free = [s for s in order if s not in held]
+        wanted = {s: left * weight[s] / sum(weight[t] for t in free) for s in free}
+        over = [s for s in free if wanted[s] > most * sizes[s] + 1e-9]
+        if not over:
+            return held | wanted
+        held |= {s: most * sizes[s] for s in over}
+
+
+def test_mixture_by_force(spark, sf_dir):
+    """The whole query: sizes, source sizes and targets by brute force, taken words within a document."""
+    found = QUERIES["op1_mixing"](spark, sf_dir).collect()
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source").collect()
+    size, by_source = {}, Counter()
+    for d in docs:
+        size[d.doc_id] = len(helpers.words(d.text))
+        by_source[d.source] += size[d.doc_id]
+    targets, taken = targets_by_force(dict(by_source)), Counter()
+    assert sorted(r.doc_id for r in found) == sorted(size)
+    source = {d.doc_id: d.source for d in docs}
+    for r in found:
+        s = source[r.doc_id]
+        assert (r["size"], r.source_size) == (size[r.doc_id], by_source[s]) and r.target == pytest.approx(targets[s])
+        assert r.taken in (0, r["size"], 2 * r["size"])
+        taken[s] += r.taken
+    largest = {s: max(size[i] for i in source if source[i] == s) for s in taken}
+    assert all(abs(taken[s] - targets[s]) < largest[s] for s in taken)
+
+
+def test_mixture_expands_repeats_in_slices(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE_BITS", 2)
+    docs = spark.createDataFrame([(1, "a b", "s")] * 23 + [(2, "c", "s")], "doc_id long, text string, source string")
+    found = mixing.mixture(docs).collect()
+    assert Counter(r.doc_id for r in found) == {1: 23, 2: 1} and abs(sum(r.taken for r in found) - 1.5 * 47) <= 2
 
 
 def test_mixture_of_awkward_rows(docs):

@@ -1,12 +1,14 @@
 """Mixing sources to target weights by pivotal dependent rounding.
 
 Each source gets a target in words; its documents share one expected number of copies, target over
-source size. The whole part is taken outright. The fractions are rounded by the pivotal method: two
-documents exchange mass (words) in a random direction until one of them has an integral number of
-copies, so the words taken from a source stay constant until one last document is rounded on its own
-(the words by which that misses are made up by smaller documents of its group). Groups of at most
-about FAN documents of a source are reduced by one task each; what is left of them, a document per
-group, is reduced again, until one document per source is left. Large documents pair first, so that small ones are left over.
+source size. The whole part is taken outright. The fractions are rounded by the pivotal method: a
+document and its partner, all smaller documents that are still open taken as one, exchange mass (words) in
+a random direction until one of them has an integral number of copies. The odds of the directions keep
+every document's expected copies at its fraction, and the words taken from a source stay constant. Only the
+last document, the smallest, and documents that outweigh all smaller ones of a source together are rounded
+by a coin of their own, with as much made up by the others as keeps their expectations: a source misses its
+target by less than such a document. Groups of at most about FAN documents of a source are reduced by one task each; what is
+left of them, a document per group, is reduced again, until one document per source is left.
 
 Randomness is a hash of seed and document: reruns agree. Null is a source of its own, ordered last.
 Null or empty texts have size 0 and are taken 0 words. Of rows that agree in doc_id, source and text
@@ -28,7 +30,7 @@ from vanewatch.llm.frames import boxed, unboxed, word_count
 from vanewatch.session import materialized
 
 #: Documents that one task reduces.
-FAN = 4096
+FAN = 1024
 EDGE = 1e-9
 #: Repeated rows are numbered in slices of at most 2^SLICE_BITS rows.
 SLICE_BITS = 16
@@ -91,57 +93,54 @@ def source_targets(
     return per.select("source", "source_size", "docs", target.alias("target"))
 
 
-def pivot(size: np.ndarray, x: np.ndarray, luck: np.ndarray) -> tuple[np.ndarray, int]:
-    """Round fractions so that the sum of size * x stays, but for one; returns them and its place or -1."""
-    x = x.copy()
-    held = -1
-    for b in range(len(x)):
-        if x[b] <= EDGE or x[b] >= 1 - EDGE or size[b] <= 0:
-            x[b] = round(x[b]) if size[b] > 0 else float(luck[b] < x[b])
-            continue
-        if held < 0:
-            held = b
-            continue
-        a = held
-        up = min((1 - x[a]) * size[a], x[b] * size[b])  # from b to a
-        down = min(x[a] * size[a], (1 - x[b]) * size[b])
-        move = up if luck[b] * (up + down) < down else -down
-        x[a] += move / size[a]
-        x[b] -= move / size[b]
-        left = []
-        for i in (a, b):
-            if x[i] <= EDGE or x[i] >= 1 - EDGE:
-                x[i] = round(x[i])
-            else:
-                left.append(i)
-        held = left[0] if left else -1
-    return x, held
-
-
-def settle(size: np.ndarray, x: np.ndarray, held: int, luck: float) -> np.ndarray:
-    """Round the last document at random; smaller ones make up for the words this adds or takes."""
-    x = x.copy()
-    taken = float(luck < x[held])
-    excess = (taken - x[held]) * size[held]
-    x[held] = taken
-    for i in np.argsort(-size, kind="stable"):
-        if i != held and 0 < size[i] < 2 * abs(excess) and x[i] == (1.0 if excess > 0 else 0.0):
-            x[i] = 1 - x[i]
-            excess += size[i] if x[i] else -size[i]
-    return x
+def pivot(size: np.ndarray, x: np.ndarray, luck: np.ndarray, last: bool = False) -> tuple[np.ndarray, int]:
+    """Round fractions so that the sum of size * x stays, but for one; returns them and its place or -1.
+
+    Sizes fall. Each document in turn exchanges words with all later open ones, whose fractions move
+    together; every step makes one of them integral. A step draws the luck of a document that drew none.
+    With ``last`` nothing stays open: a document that outweighs what the later ones can give or take is
+    rounded all the same, and they make up for as much of it as is fair in both directions.
+    """
+    x = np.where(size > 0, x, luck < x)
+    x[x <= EDGE], x[x >= 1 - EDGE] = 0.0, 1.0
+    open_ = (x > 0) & (x < 1)
+    a, chance = -1, 0.0
+    while open_.any():
+        if a < 0 or not open_[a]:
+            a = int(open_.argmax())
+            chance = luck[a]
+        rest = open_.copy()
+        rest[a] = False
+        words = size[rest].sum()
+        up, down = (1 - x[a]) * size[a], x[a] * size[a]  # words that make a integral, from the rest or to it
+        can_give, can_take = (x[rest].min() * words, (1 - x[rest].max()) * words) if words else (0.0, 0.0)
+        if last:
+            part = min(1.0, can_give / up, can_take / down)
+            taken = chance < x[a]
+            move = part * up if taken else -part * down
+            x[a] = float(taken)
+        elif words:
+            up, down = min(up, can_give), min(down, can_take)
+            move = up if chance * (up + down) < down else -down
+            x[a] += move / size[a]
+        else:
+            return x, a
+        if words:
+            x[rest] -= move / words
+        x[open_ & (x <= EDGE)], x[open_ & (x >= 1 - EDGE)] = 0.0, 1.0
+        closed = np.flatnonzero(open_ & ((x == 0) | (x == 1)))
+        open_[closed] = False
+        if a not in closed:
+            chance = luck[closed[0]]
+    return x, -1
 
 
 def _reduce(pdf: pd.DataFrame) -> pd.DataFrame:
-    """One group: everything but one document gets its copies; that one keeps its fraction."""
-    pdf = pdf.sort_values(["size", "luck", "text_key"], ascending=[False, True, True], kind="stable")
-    x, held = pivot(pdf["size"].to_numpy(float), pdf["x"].to_numpy(float), pdf["luck"].to_numpy(float))
-    if held >= 0 and bool(pdf["last"].iloc[0]):
-        x = settle(pdf["size"].to_numpy(float), x, held, pdf["luck"].iloc[held])
-        held = -1
-    done = np.ones(len(x), bool)
-    if held >= 0:
-        done[held] = False
-    return pdf.assign(x=x, done=done)[["source", "doc_id", "text_key", "size", "rows", "x", "luck", "done"]]
+    """One group: everything gets its copies, but for one document that keeps its fraction if others follow."""
+    pdf = pdf.sort_values(["size", "text_key", "doc_id"], ascending=[False, True, True], kind="stable")
+    size, x, luck = (pdf[c].to_numpy(float) for c in ("size", "x", "luck"))
+    x, held = pivot(size, x, luck, bool(pdf["last"].iloc[0]))
+    return pdf.assign(x=x, done=np.arange(len(x)) != held)[["source", "doc_id", "text_key", "size", "rows", "x", "done"]]
 
 
 def copies(
@@ -166,18 +165,25 @@ def copies(
     )
     # one row a source: broadcast by its written size, else sorted with hot sources split
     found = thin.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
-    luck = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_key"), 11) / F.lit(float(1 << 53))).alias("luck")
+
+    def draw(*what):
+        """Uniform in [0, 1), another for each document, use and seed."""
+        return F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id", "text_key", *map(F.lit, what)), 11) / F.lit(float(1 << 53))
+
     key = ["source", "doc_id", "text_key", "size", "rows"]
     # repeats exchange among themselves first, which leaves one of them with a fraction
     sure = F.least(F.floor(F.col("rows") * F.col("fraction")), F.col("rows") - 1)
-    open_rows = found.select(*key, (F.col("rows") * F.col("fraction") - sure).alias("x"), luck, "docs")
-    schema = "source string, doc_id long, text_key string, size long, rows long, x double, luck double, done boolean"
+    open_rows = found.select(*key, (F.col("rows") * F.col("fraction") - sure).alias("x"), "docs")
+    schema = "source string, doc_id long, text_key string, size long, rows long, x double, done boolean"
     most_docs = targets.agg(F.max("docs")).first()[0] or 0
     decided, group = None, fan
     while True:
         slots = F.ceil(F.col("docs") / F.lit(group))
         dealt = open_rows.withColumns(
-            {"slot": F.pmod(F.xxhash64("doc_id", "text_key", F.lit(group)), slots), "last": slots == 1}
+            {
+                "slot": F.pmod(F.xxhash64("doc_id", "text_key", F.lit(group)), slots),
+                "last": slots == 1, "luck": draw(group),
+            }
         )
         step = dealt.groupBy("source", "slot").applyInPandas(_reduce, schema)
         step = materialized(step, "pivot")
@@ -187,7 +193,7 @@ def copies(
             break
         counts = targets.select(F.col("source").alias("plan_source"), "docs")
         open_rows = step.where("not done").join(counts, F.col("source").eqNullSafe(F.col("plan_source")))
-        open_rows = open_rows.select(*key, "x", "luck", "docs")
+        open_rows = open_rows.select(*key, "x", "docs")
         group *= fan
     result = decided.join(plan, F.col("source").eqNullSafe(F.col("plan_source")))
     more = sure + F.col("extra")
@@ -201,7 +207,15 @@ def copies(
 def mixture(docs: DataFrame, **options) -> DataFrame:
     """One row per document: doc_id, source, size, source_size, target, copies, taken."""
     found = copies(docs, **options)
-    found = found.withColumn("_i", F.explode(F.sequence(F.lit(1), F.col("rows"))))
+    # repeats are numbered in slices; where a row has several, they are dealt out before they are expanded
+    slices = F.sequence(F.lit(0).cast("bigint"), F.shiftright(F.col("rows") - 1, SLICE_BITS))
+    many = F.col("rows") > 1 << SLICE_BITS
+    found = materialized(found, "mixture")
+    spread = found.where(many).withColumn("_slice", F.explode(slices)).repartition("doc_id", "text_key", "_slice")
+    found = found.where(~many).withColumn("_slice", F.lit(0).cast("bigint")).unionByName(spread)
+    first = F.shiftleft(F.col("_slice"), SLICE_BITS)
+    inside = F.sequence(first + 1, F.least(F.col("rows"), first + (1 << SLICE_BITS)))
+    found = found.withColumn("_i", F.explode(inside))
     found = found.withColumn("copies", F.col("copies") + (F.col("_i") <= F.col("more")).cast("int"))
     taken = (F.col("copies") * F.col("size")).cast("bigint").alias("taken")
     return found.select("doc_id", "source", "size", "source_size", "target", "copies", taken)
