@@ -205,9 +205,10 @@ def test_drift_guards(spark, tmp_path):
     assert (summary.first().alert_level, summary.first().missing_features) == ("CRITICAL", ["s3"])
     report = drift.ks_report(wide, moved)
     when = F.lit("2024-05-01 10:00:00").cast("timestamp")
-    drift.append_report(report, summary, when, str(tmp_path / "reports"))
-    drift.append_report(*drift.report_and_summary(wide, wide), when, str(tmp_path / "reports"))
-    assert spark.read.parquet(str(tmp_path / "reports")).count() == 2
+    for tick in (7, 8, 8):  # the last one is a replay
+        drift.append_report(report, summary, when, tick, str(tmp_path / "reports"))
+    drift.append_report(*drift.report_and_summary(wide, wide), when, 9, str(tmp_path / "reports"))
+    assert sorted(r.tick for r in spark.read.parquet(str(tmp_path / "reports")).collect()) == [7, 7, 8, 8]
 
 
 def test_counter_resets(spark):
@@ -247,15 +248,10 @@ def test_quantile_from_histogram_counters(spark):
     assert monitoring.histogram_quantile(growth, 0.25).first()[0] == pytest.approx(0.1 * 7.5 / 15)
 
 
-def test_scaling_by_constants_and_compaction(spark, tmp_path):
+def test_scaling_by_constants(spark):
     df = spark.createDataFrame([(5.0, 3.0), (-1.0, 3.0), (99.0, 4.0)], "s2 double, s3 double")
     got = prepare.minmax_apply_constants(df, {"s2": (0.0, 10.0), "s3": (3.0, 3.0)}).collect()
     assert [tuple(r) for r in got] == [(0.5, 0.0), (0.0, 0.0), (1.0, 1.0)]
-    log = spark.createDataFrame([("a", 1, 1, 7), ("a", 1, 2, 8), ("b", 5, 3, 9)], "engine_id string, written_at int, arrival int, v int")
-    store.compact(log, str(tmp_path / "v1"))
-    assert {r.engine_id: r.v for r in spark.read.parquet(str(tmp_path / "v1")).collect()} == {"a": 8, "b": 9}
-    with pytest.raises(Exception, match="already exists"):
-        store.compact(log, str(tmp_path / "v1"))
 
 
 @pytest.mark.parametrize("size", [3, 1000])

@@ -8,13 +8,14 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vanewatch.operators import drift, windows
-from vanewatch.session import work_dir
-from vanewatch.sources import events, kafka
+from vanewatch.operators import drift, ordering, windows
+from vanewatch.session import materialized, work_dir
+from vanewatch.sources import events, featurelog, kafka
 from vanewatch.spec import KEEP_SENSORS
 from vanewatch.streaming.alerts import opened_alerts
 from vanewatch.streaming.jobs import monitor_drift, offline_table, online_view, store_features
 from vanewatch.streaming.rolling import normalized_events, rolling_features
+from vanewatch.streaming.telemetry import telemetry_ticks
 
 LIMITS = {s: (0.0, 40.0) for s in KEEP_SENSORS}
 SCHEMA = "arrival bigint, value string"
@@ -129,29 +130,113 @@ def test_alert_stream_over_restarts(spark, tmp_path):
     assert got == [(e, i) for e in ("E1", "E2") for i in (0, 3, 7, 9)]
 
 
-def test_drift_is_checked_over_the_recent_range(spark, tmp_path):
-    """Three micro-batches of 60 rows: the guard of 100 rows holds for all recent rows together."""
+def test_drift_ticks_count_a_reading_once(spark, tmp_path):
+    """Three micro-batches of 60 rows: the guard of 100 rows holds for the range; days come and go."""
+    day = "timestamp_seconds(1704067200 + 86400 * {d})"
     reference = spark.range(300).select(F.col("id").cast("double").alias("s2"))
-    seen, before = [], set(os.listdir(work_dir(spark)))
-
-    def note(report, summary, batch):
-        level = summary.first()
-        seen.append((batch, report.first().n_current, level and level.alert_level))
-
-    for k in range(3):
-        rows = reference.where(F.col("s2") < 60).select((F.col("s2") + 250 + k).alias("s2"))
+    counts = materialized(drift.value_counts(reference, ["s2"]), "reference")
+    before = set(os.listdir(work_dir(spark)))
+    sent = []
+    for k, days in enumerate(([0, 1], [2, 0], [4, 3])):  # the second also brings late readings
+        rows = spark.range(60).select(
+            F.when(F.col("id") < 30, F.expr(day.format(d=days[0]))).otherwise(F.expr(day.format(d=days[1]))).alias("ts"),
+            (F.col("id") + 250 + k).cast("double").alias("s2"),
+        )
         rows.write.mode("append").parquet(f"{tmp_path}/in")
-        stream = spark.readStream.schema("s2 double").parquet(f"{tmp_path}/in")
-        monitor_drift(
-            stream,
-            lambda: spark.read.schema("s2 double").parquet(f"{tmp_path}/in"),
-            lambda recent: drift.report_and_summary(reference, recent),
-            note,
-            f"{tmp_path}/cp",
-            None,
-        ).awaitTermination()
-    assert seen == [(0, 60, None), (1, 120, "CRITICAL"), (2, 180, "CRITICAL")]
-    assert set(os.listdir(work_dir(spark))) == before
+        sent.append(rows)
+        stream = spark.readStream.schema("ts timestamp, s2 double").parquet(f"{tmp_path}/in")
+        monitor_drift(stream, counts, f"{tmp_path}/drift", f"{tmp_path}/cp", 3, ["s2"], every=None).awaitTermination()
+
+    assert set(os.listdir(work_dir(spark))) == before  # a tick leaves no intermediate tables
+
+    def stored(name):
+        rows = spark.read.option("basePath", f"{tmp_path}/drift/{name}").parquet(f"{tmp_path}/drift/{name}")
+        return {r.batch: r for r in rows.collect()}
+
+    assert {b: r.n_current for b, r in stored("report").items()} == {0: 60, 1: 120, 2: 90}  # days 2 to 4: 30 + 60
+    assert {b: r.alert_level for b, r in stored("summary").items()} == {1: "CRITICAL"}
+    last = sent[0].unionByName(sent[1]).unionByName(sent[2]).where("ts >= timestamp'2024-01-03 00:00:00'")
+    assert stored("report")[2].statistic == drift.ks_report(reference, last, ["s2"]).first().statistic
+
+
+def ticks_by_force(writes, interval, ttl, end):
+    """(tick, engine, cycle) of all live engines at all ticks before ``end``."""
+    found = []
+    for k in range(1, 100):
+        at = k * interval
+        for engine in sorted({w[0] for w in writes}):
+            seen = [w for w in writes if w[0] == engine and w[1] <= at]
+            last = max(seen, key=lambda w: (w[1], w[2]), default=None)
+            if at < end and last and last[1] > at - ttl:
+                found.append((at, engine, last[3]))
+    return found
+
+
+def test_engines_leave_the_telemetry_by_a_timer(spark, tmp_path):
+    """Deliveries over restarts; B falls silent and comes back, C sends once, ties and long gaps included."""
+    minute = 60_000
+    writes = [("A", t * minute, i, i) for i, t in enumerate((1, 4, 4, 9, 11, 19, 20, 21, 33, 47, 61, 62, 75))]
+    writes += [("B", t * minute, 100 + t, t) for t in (2, 3, 40, 41, 70)] + [("C", 10 * minute, 200, 5)]
+    root, schema = str(tmp_path), "engine_id string, written_at timestamp, arrival long, cycle long, event_time_ms long"
+    for low, high in ((0, 5), (5, 12), (12, 45), (45, 99)):
+        part = [w for w in writes if low * minute <= w[1] < high * minute]
+        rows = spark.createDataFrame(part, "engine_id string, ms long, arrival long, cycle long")
+        rows = rows.select("engine_id", F.timestamp_millis("ms").alias("written_at"), "arrival", "cycle", F.col("ms").alias("event_time_ms"))
+        rows.write.mode("append").parquet(f"{root}/in")
+        ticks = telemetry_ticks(spark.readStream.schema(schema).parquet(f"{root}/in"), 5 * minute, 12 * minute, "1 minute")
+        (
+            ticks.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/cp")
+            .trigger(availableNow=True).start().awaitTermination()
+        )
+    got = sorted((r.tick_ms, r.engine_id, r.cycle) for r in spark.read.parquet(f"{root}/out").collect())
+    want = ticks_by_force(writes, 5 * minute, 12 * minute, 74 * minute)
+    assert got == want and {e for _, e, _ in want} == {"A", "B", "C"}
+    assert not any(e == "C" and t > 22 * minute for t, e, _ in got)
+
+
+def test_compacted_log(spark, tmp_path):
+    """At most one snapshot and the batches after it are read; replays and broken compactions change nothing."""
+    online, schema = str(tmp_path / "online"), "engine_id string, written_at int, cycle int, v int"
+
+    def put(batch, *rows):
+        spark.createDataFrame(rows, schema).write.mode("overwrite").parquet(f"{online}/batch={batch}")
+
+    def view():
+        return {r.engine_id: r.v for r in ordering.latest_per_key(featurelog.read_log(spark, online), ["engine_id"], ["written_at", "cycle"]).collect()}
+
+    def listed():
+        return [os.path.basename(p) for p in featurelog.current_folders(spark, online)]
+
+    put(0, ("a", 1, 1, 10), ("b", 1, 1, 11))
+    put(1, ("a", 2, 2, 20))
+    os.makedirs(f"{online}/upto=1")  # broken off: no success mark
+    assert listed() == ["batch=0", "batch=1"]
+    featurelog.compact(spark, online, 1)
+    featurelog.compact(spark, online, 1)
+    assert listed() == ["upto=1"] and view() == {"a": 20, "b": 11}
+    put(1, ("a", 2, 2, 20))  # the batch is replayed after its compaction
+    put(2, ("c", 3, 1, 30))
+    assert listed() == ["upto=1", "batch=2"] and view() == {"a": 20, "b": 11, "c": 30}
+    put(3, ("b", 4, 2, 40))
+    featurelog.compact(spark, online, 3)
+    assert listed() == ["upto=3"] and view() == {"a": 20, "b": 40, "c": 30}
+    assert sorted(n for n in os.listdir(online) if n.startswith(("batch", "upto"))) == ["batch=2", "batch=3", "upto=1", "upto=3"]
+    featurelog.compact(spark, online, 1)  # an old compaction comes late
+    assert listed() == ["upto=3"]
+    with pytest.raises(FileNotFoundError):
+        os.makedirs(f"{tmp_path}/none")
+        featurelog.read_log(spark, f"{tmp_path}/none")
+
+
+def test_offline_table_is_pruned_by_time(spark, tmp_path):
+    root = str(tmp_path)
+    run(spark, root, [[event("A", c, 1.0) for c in range(1, 90)], [event("A", c, 2.0) for c in range(90, 200)]], window=2)
+    table = offline_table(spark, f"{root}/offline")
+    hour = table.where("date = '2023-11-14' and hour = '23'")
+    plan = hour._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in plan and "2023-11-14" in plan
+    assert hour.count() == 60 == len({r.cycle for r in hour.collect()})
+    assert os.path.isdir(f"{root}/offline/date=2023-11-14/hour=23/batch=0")
 
 
 def test_kafka_options():

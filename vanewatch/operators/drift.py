@@ -33,19 +33,24 @@ def missing_sensors(reference: DataFrame, current: DataFrame, sensors: Sequence[
     return missing_columns(current, [s for s in sensors if s in reference.columns])
 
 
-def _value_counts(reference: DataFrame, current: DataFrame, sensors: Sequence[str]) -> DataFrame:
-    """(sensor, value, r, c): how often each value occurs on both sides; missing values dropped."""
+def value_counts(readings: DataFrame, sensors: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """(by, sensor, value, n): how often each value occurs; missing values dropped.
 
-    def side(df: DataFrame, is_current: bool) -> DataFrame:
-        cols = [F.col(s).cast("double").alias(s) for s in sensors]
-        return df.select(*cols).unpivot([], list(sensors), "sensor", "value").withColumn("_cur", F.lit(is_current))
+    Counts of parts add up to the counts of the whole, and can be taken away again.
+    """
+    cols = [F.col(s).cast("double").alias(s) for s in sensors]
+    rows = readings.select(*by, *cols).unpivot(list(by), list(sensors), "sensor", "value")
+    known = rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
+    return known.groupBy(*by, "sensor", "value").agg(F.count(F.lit(1)).alias("n"))
 
-    rows = side(reference, False).unionAll(side(current, True))
-    return (
-        rows.where(F.col("value").isNotNull() & ~F.isnan("value"))
-        .groupBy("sensor", "value")
-        .agg(F.count_if(~F.col("_cur")).alias("r"), F.count_if("_cur").alias("c"))
-    )
+
+def added_up(*signed: tuple[int, DataFrame]) -> DataFrame:
+    """Counts of several parts together, each times its sign; values that are gone drop out."""
+    total = None
+    for sign, counts in signed:
+        part = counts.select("sensor", "value", (F.lit(sign) * F.col("n")).alias("n"))
+        total = part if total is None else total.unionAll(part)
+    return total.groupBy("sensor", "value").agg(F.sum("n").alias("n")).where(F.col("n") != 0)
 
 
 def ks_report(
@@ -56,14 +61,26 @@ def ks_report(
 ) -> DataFrame:
     """Two-sample KS statistic, p-value and drift flag per common sensor.
 
-    Rows are first counted per distinct value, so equal readings meet before the shuffle. The
-    counts are written once, and the cumulative counts run over slices of the value range.
+    Rows are first counted per distinct value, so equal readings meet before the shuffle.
     Sensors with an empty side are left out.
     """
     available = common_sensors(reference, current, sensors)
     if not available:
         return reference.sparkSession.createDataFrame([], _REPORT)
-    counts = materialized(_value_counts(reference, current, available), "value-counts")
+    return ks_from_counts(value_counts(reference, available), value_counts(current, available), rows_per_slice)
+
+
+def ks_from_counts(reference: DataFrame, current: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> DataFrame:
+    """The same from value counts of both sides.
+
+    The counts are written once, and the cumulative counts run over slices of the value range.
+    """
+    none = F.lit(0).cast("bigint")
+    sides = reference.select("sensor", "value", F.col("n").alias("r"), none.alias("c")).unionAll(
+        current.select("sensor", "value", none.alias("r"), F.col("n").alias("c"))
+    )
+    both = sides.groupBy("sensor", "value").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    counts = materialized(both, "value-counts")
     totals = counts.groupBy("sensor").agg(F.sum("r").alias("n"), F.sum("c").alias("m"))
     cumulative = running(
         counts, ["sensor"], ["value"], {"r0": Before("sum", "r"), "c0": Before("sum", "c")}, rows_per_slice
@@ -142,14 +159,14 @@ def check_recent(
     return check_drift(reference, recent, sensors)
 
 
-def append_report(report: DataFrame, summary: DataFrame, checked_at: Column, path: str) -> None:
-    """Append the rows per sensor, by day, when drift was detected."""
+def append_report(report: DataFrame, summary: DataFrame, checked_at: Column, tick: int, path: str) -> None:
+    """Rows per sensor by day and tick, when drift was detected; a tick that is repeated replaces its rows."""
     drifted = summary.agg(F.coalesce(F.bool_or("drift_detected"), F.lit(False))).scalar()
     (
         report.where(drifted)
-        .withColumn("checked_at", checked_at)
-        .withColumn("date", F.to_date("checked_at"))
-        .write.mode("append")
-        .partitionBy("date")
+        .withColumns({"checked_at": checked_at, "date": F.to_date(checked_at), "tick": F.lit(tick).cast("bigint")})
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("date", "tick")
         .parquet(path)
     )

@@ -44,11 +44,6 @@ def usable_features(view: DataFrame, window: int, width: int, features: str = "f
     return view.where(stored_vector_fits(features, window, width))
 
 
-def compact(log: DataFrame, path: str, key: str = "engine_id", order: Sequence[str] = ("written_at", "arrival")) -> None:
-    """Write the latest row per key as a new version; never over a folder that is being read."""
-    latest_per_key(log, [key], order).write.mode("errorifexists").parquet(path)
-
-
 def with_meta(features: DataFrame, meta: DataFrame, key: str = "engine_id", window: int = WINDOW) -> DataFrame:
     """Cycle and time of each feature entry; zero, zero and the usual window without meta data."""
     return features.join(meta, key, "left").withColumns(

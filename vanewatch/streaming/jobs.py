@@ -6,17 +6,19 @@ so a restart from the checkpoint neither loses nor repeats rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from vanewatch.operators.drift import added_up, drift_summary, ks_from_counts, value_counts
 from vanewatch.operators.fleet import at_least
 from vanewatch.operators.ordering import latest_per_key
 from vanewatch.operators.store import latest_features
-from vanewatch.session import scratch
-from vanewatch.spec import TTL_SECONDS
+from vanewatch.session import materialized, scratch
+from vanewatch.sources.featurelog import compact, read_log
+from vanewatch.spec import DRIFT_MIN_ROWS, KEEP_SENSORS, TTL_SECONDS
 from vanewatch.streaming.rolling import FEATURE_SCHEMA
 
 CHECKPOINT_SECONDS = 60
@@ -43,11 +45,12 @@ def store_features(
     every: str | None = f"{CHECKPOINT_SECONDS} seconds",
     written_at: Column | None = None,
     files_per_hour: int = 8,
+    compact_every: int = 100,
 ) -> StreamingQuery:
     """Latest vector per engine to the online log, then all vectors to the offline table by hour.
 
     ``files_per_hour`` tasks write the rows of one hour in one micro-batch, whichever engines
-    they come from.
+    they come from. Every ``compact_every`` micro-batches the online log is compacted (0: never).
     """
     event_time = F.timestamp_millis("event_time")
 
@@ -62,11 +65,16 @@ def store_features(
                     stamped.drop("written_at")
                     .withColumn("date", F.date_format(event_time, "yyyy-MM-dd"))
                     .withColumn("hour", F.date_format(event_time, "HH"))
+                    .withColumn("batch", F.lit(batch_id).cast("bigint"))
                     .repartition("date", "hour", F.pmod(F.hash("engine_id", "cycle"), F.lit(files_per_hour)))
                     .write.mode("overwrite")
-                    .partitionBy("date", "hour")
-                    .parquet(f"{offline}/batch={batch_id}")
+                    # a replay replaces the folders of its own batch, below the hours
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy("date", "hour", "batch")
+                    .parquet(offline)
                 )
+            if compact_every and (batch_id + 1) % compact_every == 0:
+                compact(batch.sparkSession, online, batch_id)
         finally:
             stamped.unpersist()
 
@@ -74,17 +82,17 @@ def store_features(
 
 
 def online_log(spark: SparkSession, online: str) -> DataFrame:
-    """The feature log: ``batch`` orders writes of the same time."""
-    return spark.read.option("basePath", online).parquet(online)
+    """The feature log: the current snapshot and the micro-batches after it; ``batch`` orders writes of the same time."""
+    return read_log(spark, online)
 
 
 def offline_table(spark: SparkSession, offline: str) -> DataFrame:
-    """All stored feature vectors with their partition columns as text."""
-    schema = f"{FEATURE_SCHEMA}, batch BIGINT, date STRING, hour STRING"
-    return spark.read.schema(schema).option("basePath", offline).parquet(offline)
+    """All stored feature vectors; filters on date, hour and batch choose the folders that are read."""
+    return spark.read.schema(f"{FEATURE_SCHEMA}, date STRING, hour STRING, batch BIGINT").parquet(offline)
 
 
 def online_view(spark: SparkSession, online: str, as_of: Column, ttl: int = TTL_SECONDS) -> DataFrame:
+    """Live engines with their newest vector, as of a time not before the last compaction's newest write."""
     return latest_features(online_log(spark, online), as_of, order=("written_at", "cycle"), ttl=ttl)
 
 
@@ -112,22 +120,53 @@ def score_fleet(
 
 
 def monitor_drift(
-    ticks: DataFrame,
-    recent: Callable[[], DataFrame],
-    check: Callable[[DataFrame], tuple[DataFrame, DataFrame]],
-    append: Callable[[DataFrame, DataFrame, int], None],
+    readings: DataFrame,
+    reference: DataFrame,
+    root: str,
     checkpoint: str,
+    days: int = 7,
+    sensors: Sequence[str] = KEEP_SENSORS,
+    min_rows: int = DRIFT_MIN_ROWS,
+    time: str = "ts",
     every: str | None = "1 hour",
 ) -> StreamingQuery:
-    """At each micro-batch of ``ticks`` check all ``recent`` readings, however few of them are new.
-
-    ``recent`` reads a time range of the stored readings; ``check`` returns the report and its summary,
-    and guards against too few readings over that whole range. Intermediate tables of a tick are removed
-    after it.
+    """At each micro-batch check the last ``days`` days up to the newest reading, however few are new.
+
+    A reading is counted once, in the micro-batch that brings it: counts per day, sensor and value go to
+    ``root/days``. The counts of the current range (``root/range``) are those of the tick before, with the
+    new readings inside the range added and the days that have left it taken away. ``reference`` has the
+    value counts of the reference, made once. ``root/report`` has a row per tick and sensor, and
+    ``root/summary`` one per tick, none where the whole range holds too few readings. A tick writes
+    folders of its own number, so a replay changes nothing; its other tables go when it ends.
     """
+    spark = readings.sparkSession
+    counts = "sensor STRING, value DOUBLE, n BIGINT"
 
-    def write(tick: DataFrame, batch_id: int) -> None:
-        with scratch(tick.sparkSession):
-            append(*check(recent()), batch_id)
+    def read(name: str, schema: str) -> DataFrame:
+        return spark.read.schema(schema).option("basePath", f"{root}/{name}").parquet(f"{root}/{name}")
 
-    return _started(ticks, write, checkpoint, every)
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with scratch(spark):
+            by_day = value_counts(batch.withColumn("day", F.to_date(time)), sensors, ["day"])
+            by_day.write.mode("overwrite").partitionBy("day").parquet(f"{root}/days/batch={batch_id}")
+            stored = read("days", f"{counts}, batch BIGINT, day DATE").where(F.col("batch") <= batch_id)
+            earlier = F.col("batch") < batch_id
+            end, end_before = stored.agg(F.max("day"), F.max(F.when(earlier, F.col("day")))).first()
+
+            def inside(last) -> Column:
+                return (F.col("day") <= F.lit(last)) & (F.col("day") > F.date_sub(F.lit(last), days))
+
+            parts = [(1, stored.where(~earlier & inside(end)))]
+            if batch_id:
+                parts.append((1, read("range", f"{counts}, batch BIGINT").where(F.col("batch") == batch_id - 1)))
+            if end_before:
+                parts.append((-1, stored.where(earlier & inside(end_before) & ~inside(end))))
+            added_up(*parts).write.mode("overwrite").parquet(f"{root}/range/batch={batch_id}")
+            current = read("range", f"{counts}, batch BIGINT").where(F.col("batch") == batch_id).drop("batch")
+            report = materialized(ks_from_counts(reference, current), "report")
+            report.write.mode("overwrite").parquet(f"{root}/report/batch={batch_id}")
+            summary = drift_summary(report, sensors)
+            enough = F.coalesce(current.groupBy("sensor").agg(F.sum("n").alias("n")).agg(F.max("n")).scalar(), F.lit(0))
+            summary.where(enough >= min_rows).write.mode("overwrite").parquet(f"{root}/summary/batch={batch_id}")
+
+    return _started(readings, write, checkpoint, every)
