@@ -6,7 +6,7 @@ import re
 import tempfile
 import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 from functools import lru_cache
 
@@ -82,12 +82,12 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(conf).delete(target, True)
 
 
-def materialized(df: DataFrame, name: str = "step") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
+def materialized(df: DataFrame, name: str = "step", partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write ``df`` once to the shared folder, in folders by ``partition_by``, and read it back.
 
     Cuts the lineage, survives lost executors, and gives Catalyst the true size of the result,
     so that later joins pick broadcast or shuffle from measured bytes.
     """
     path = fresh_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
