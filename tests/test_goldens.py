@@ -9,6 +9,7 @@ from vanewatch.functions import scalars
 from vanewatch.functions.kolmogorov import ks_p_value
 from vanewatch.operators import drift, evaluation, fleet, monitoring, ordering, prepare, quality, scoring, store
 from vanewatch.spec import HISTOGRAM_BOUNDS, KEEP_SENSORS
+from vanewatch.streaming.rules import interpolated
 
 
 def column(spark, values, expr, kind="double"):
@@ -236,16 +237,56 @@ def test_histogram_quantile_edges(spark):
     assert monitoring.histogram_quantile(monitoring.histogram_buckets(empty, "x", bounds), 0.5).first()[0] is None
 
 
-def test_quantile_from_histogram_counters(spark):
-    """Two servers with counters per bound; one restarts in between."""
+@pytest.mark.parametrize("size", [2, 1000])
+def test_rule_on_histogram_counters(spark, size):
+    """Two servers with counters per bound; one restarts in between; the quantile stays high for two minutes."""
     rows = []
-    for server, counts in (("a", [(0, 0), (6, 10), (12, 20)]), ("b", [(50, 90), (52, 95), (1, 5)])):
+    # per minute: requests up to 0.1 s, and all of them
+    for server, counts in (("a", [(0, 0), (6, 10), (12, 20), (32, 40)]), ("b", [(50, 90), (52, 95), (1, 5), (41, 45)])):
         for t, (low, high) in enumerate(counts):
-            rows += [(server, t, 0.1, low), (server, t, math.inf, high)]
-    df = spark.createDataFrame(rows, "server string, t int, le double, value int")
-    growth = monitoring.bucket_growth(df, [], ["server"], ["t"])
-    assert {r.le: r.cumulative for r in growth.collect()} == {0.1: 12 + 2 + 1, math.inf: 20 + 5 + 5}
-    assert monitoring.histogram_quantile(growth, 0.25).first()[0] == pytest.approx(0.1 * 7.5 / 15)
+            rows += [(server, t, 0.1, low), (server, t, 0.2, high), (server, t, math.inf, high)]
+    df = spark.createDataFrame(rows, "server string, t int, le double, value int").withColumn("ts", F.timestamp_seconds(F.col("t") * 60))
+    held = monitoring.quantile_rule(df, [], ["server"], ["ts"], 0.75, 0.1, 120, 60, rows_per_slice=size).collect()
+    # minute 1: 8 of 15 up to 0.1; minute 2: 7 of 15 (after the restart 1 of 5); minute 3: 60 of 60
+    assert [(r.windows, (r.until - r.since).total_seconds()) for r in held] == [(2, 120)]
+    assert held[0].peak == pytest.approx(0.1 + 0.1 * (0.75 * 15 - 7) / 8)
+    assert monitoring.quantile_rule(df, [], ["server"], ["ts"], 0.75, 0.1, 180, 60).count() == 0
+
+
+def test_quantile_from_counts_side_by_side(spark):
+    """As the long form gives it, edges included."""
+    cases = [([0, 0, 0], 0.5), ([0, 5, 5], 0.5), ([2, 5, 9], 0.9), ([5, 5, 5], 0.2), ([0, 0, 4], 0.5), ([3, 3, 4], 0.0), ([1, 4, 4], 1.0)]
+    for bounds in ([0.1, 0.5], [0.0, 0.5]):
+        for i, (counts, q) in enumerate(cases):
+            wide = spark.createDataFrame([tuple(counts)], "a long, b long, c long")
+            rows = list(zip([*bounds, math.inf], counts, strict=True))
+            long = monitoring.histogram_quantile(spark.createDataFrame(rows, "le double, cumulative long"), q).first()[0]
+            assert wide.select(interpolated([F.col(c) for c in "abc"], bounds, q)).first()[0] == (long if long is None else pytest.approx(long)), i
+
+
+def test_sketches_of_hours_merge(spark):
+    """Ranks of merged sketches are off by less than one percent, however uneven the hours are."""
+    rows = spark.range(60_000).select(
+        F.timestamp_seconds(F.col("id") * F.col("id") / 20_000).alias("ts"), F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("g"),
+        F.when(F.col("id") % 1000 != 1, F.pmod(F.col("id") * 7919, F.lit(60_000)) ** 1.5).alias("v"),
+    )
+    sketches = monitoring.hourly_sketches(rows, "v", "ts", ["g"])
+    assert sketches.count() > 50
+    for r in monitoring.merged_quantiles(sketches, {"p05": 0.05, "p50": 0.5, "p99": 0.99}, ["g"]).collect():
+        values = sorted(x.v for x in rows.where((F.col("g") == r.g) & F.col("v").isNotNull()).select("v").collect())
+        assert r.n == len(values)
+        for q, got in ((0.05, r.p05), (0.5, r.p50), (0.99, r.p99)):
+            assert abs(sum(v <= got for v in values) / len(values) - q) < 0.01
+
+
+def test_silence_between_and_at_the_ends(spark):
+    rows = [("a", 0), ("a", 1), ("a", 5), ("b", 3), ("c", 0), ("c", 7), ("d", 7)]
+    df = spark.createDataFrame(rows, "s string, m int").withColumn("ts", F.timestamp_seconds(F.col("m") * 60 + 7))
+    silent = monitoring.silent_windows(df, "ts", "1 minute", ["s"])
+    got = {(r.s, r.m) for r in silent.select("s", (F.unix_seconds("window_start") / 60).cast("int").alias("m")).collect()}
+    assert got == {(s, m) for s in "abcd" for m in range(8)} - set(rows)
+    assert "Cartesian" not in silent._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r[0].minute for r in monitoring.silent_windows(df.where("s = 'a'"), "ts", "1 minute").collect()) == [2, 3, 4]
 
 
 def test_scaling_by_constants(spark):
@@ -270,7 +311,6 @@ def test_exact_quantiles(spark, size):
     assert [got[n] for n in qs] == pytest.approx([want(q) for q in qs.values()])
     whole = monitoring.exact_quantiles(df, "v", {"b": 0.5}, rows_per_slice=size).first()
     assert whole.b == pytest.approx(want(0.5))
-    assert monitoring.approximate_quantiles(df, "v", {"b": 0.5}, ["g"]).first().b in values
 
 
 def test_sustained_gaps_and_silence(spark):

@@ -12,6 +12,9 @@ from vanewatch.operators.ordering import Before, running
 from vanewatch.session import materialized
 from vanewatch.spec import ROWS_PER_SLICE
 
+#: Size of quantile sketches: the rank of a quantile is off by less than one percent of the rows.
+SKETCH_K = 400
+
 # After time-bucketing, a series has one row per time step. Windows over such rows are bounded by
 # the length of the time range, not by the data, and use plain partitions.
 
@@ -63,23 +66,6 @@ def busy_percent(rates: DataFrame, by: Sequence[str] = ("instance",), rate: str
     return rates.groupBy(*by).agg((100.0 - F.avg(rate) * 100.0).alias("percent"))
 
 
-def bucket_growth(
-    samples: DataFrame,
-    groups: Sequence[str],
-    series: Sequence[str],
-    order: Sequence[str],
-    value: str = "value",
-    rows_per_slice: int = ROWS_PER_SLICE,
-) -> DataFrame:
-    """Histogram counters with resets to buckets for ``histogram_quantile``.
-
-    ``series`` names one counter next to its bound ``le``; growth is added up per group and bound.
-    """
-    grown = counter_increase(samples, [*series, "le"], order, value, rows_per_slice=rows_per_slice)
-    total = F.coalesce(F.sum("increase"), F.lit(0)).alias("cumulative")
-    return grown.groupBy(*groups, "le").agg(total)
-
-
 def throughput(log: DataFrame, ts: str, seconds: int, labels: Sequence[str] = ()) -> DataFrame:
     """Log rows per second in each window, by label."""
     return log.groupBy(time_bucket(ts, f"{seconds} seconds").alias("window_start"), *labels).agg(
@@ -111,37 +97,69 @@ def histogram_buckets(
     return counts.select(*groups, F.inline(F.array(*entry)))
 
 
-def histogram_quantile(buckets: DataFrame, q: float, groups: Sequence[str] = (), out: str = "quantile") -> DataFrame:
-    """Linear interpolation inside the first bucket that reaches the rank.
+def histogram_quantiles(buckets: DataFrame, quantiles: dict[str, float], groups: Sequence[str] = ()) -> DataFrame:
+    """Linear interpolation inside the first bucket that reaches the rank; all quantiles in one pass.
 
     A rank in the infinite bucket gives the largest finite bound; the first bucket starts at zero
     unless its bound is not positive. Groups without observations give NULL.
     """
+    # a group has one row per bound
     group = Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))
     up = group.orderBy("le")
-    rank = F.lit(float(q)) * F.max("cumulative").over(group)
-    ranked = buckets.withColumns(
+    placed = buckets.withColumns(
         {
-            "_rank": rank,
+            "_total": F.max("cumulative").over(group),
             "_low": F.lag("le").over(up),
             "_below": F.coalesce(F.lag("cumulative").over(up), F.lit(0)),
         }
     )
-    hit = F.min(
-        F.when(F.col("cumulative") >= F.col("_rank"), F.struct("le", "_low", "_below", "cumulative", "_rank"))
-    ).alias("h")
-    h = F.col("h")
-    start = F.coalesce(h["_low"], F.lit(0.0))
-    inside = start + (h["le"] - start) * (h["_rank"] - h["_below"]) / F.nullif(
-        (h["cumulative"] - h["_below"]).cast("double"), F.lit(0.0)
-    )
-    value = (
-        F.when(F.col("total") == 0, F.lit(None))
-        .when(h["le"] == math.inf, h["_low"])
-        .when(h["_low"].isNull() & (h["le"] <= 0), h["le"])
-        .otherwise(F.coalesce(inside, start))
-    )
-    return ranked.groupBy(*groups).agg(hit, F.max("cumulative").alias("total")).select(*groups, value.alias(out))
+    hits, values = [], []
+    for name, q in quantiles.items():
+        rank = F.lit(float(q)) * F.col("_total")
+        hit = F.when(F.col("cumulative") >= rank, F.struct("le", "_low", "_below", "cumulative", rank.alias("_rank")))
+        hits.append(F.min(hit).alias(f"_{name}"))
+        h = F.col(f"_{name}")
+        start = F.coalesce(h["_low"], F.lit(0.0))
+        inside = start + (h["le"] - start) * (h["_rank"] - h["_below"]) / F.nullif(
+            (h["cumulative"] - h["_below"]).cast("double"), F.lit(0.0)
+        )
+        value = (
+            F.when(F.col("total") == 0, F.lit(None))
+            .when(h["le"] == math.inf, h["_low"])
+            .when(h["_low"].isNull() & (h["le"] <= 0), h["le"])
+            .otherwise(F.coalesce(inside, start))
+        )
+        values.append(value.alias(name))
+    return placed.groupBy(*groups).agg(*hits, F.max("cumulative").alias("total")).select(*groups, *values)
+
+
+def histogram_quantile(buckets: DataFrame, q: float, groups: Sequence[str] = (), out: str = "quantile") -> DataFrame:
+    return histogram_quantiles(buckets, {out: q}, groups)
+
+
+def quantile_rule(
+    samples: DataFrame,
+    groups: Sequence[str],
+    series: Sequence[str],
+    order: Sequence[str],
+    q: float,
+    limit: float,
+    hold_seconds: int,
+    step_seconds: int,
+    value: str = "value",
+    rows_per_slice: int = ROWS_PER_SLICE,
+) -> DataFrame:
+    """When a quantile of histogram counters stayed above a limit: groups, since, until, windows, peak.
+
+    Counters may reset. Their growth is added up per group, window and bound ``le``, the quantile is
+    interpolated per window, and windows above the limit that follow one another without a break, for at
+    least ``hold_seconds``, make a stretch. Windows without observations have no quantile and end one.
+    """
+    grown = counter_increase(samples, [*series, "le"], order, value, rows_per_slice=rows_per_slice)
+    window = time_bucket(order[0], f"{step_seconds} seconds").alias("window_start")
+    growth = grown.groupBy(*groups, window, "le").agg(F.coalesce(F.sum("increase"), F.lit(0)).alias("cumulative"))
+    values = histogram_quantiles(growth, {"quantile": q}, [*groups, "window_start"])
+    return sustained(values, F.col("quantile") > limit, hold_seconds, step_seconds, groups, F.max("quantile").alias("peak"))
 
 
 def exact_quantiles(
@@ -180,12 +198,24 @@ def exact_quantiles(
     return joined.groupBy(*groups).agg(*aggs).select(*groups, *values)
 
 
-def approximate_quantiles(
-    log: DataFrame, value: str, quantiles: dict[str, float], groups: Sequence[str] = (), accuracy: int = 10_000
+def hourly_sketches(log: DataFrame, value: str, ts: str, groups: Sequence[str] = (), k: int = SKETCH_K) -> DataFrame:
+    """A quantile sketch of known size per group and hour: (groups, hour, n, sketch), to be stored.
+
+    Sketches of any hours merge into one as good as if made from all their values at once.
+    """
+    known = log.where(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
+    hour = time_bucket(ts, "1 hour").alias("hour")
+    sketch = F.kll_sketch_agg_double(F.col(value).cast("double"), k).alias("sketch")
+    return known.groupBy(*groups, hour).agg(F.count(F.lit(1)).alias("n"), sketch)
+
+
+def merged_quantiles(
+    sketches: DataFrame, quantiles: dict[str, float], groups: Sequence[str] = (), k: int = SKETCH_K
 ) -> DataFrame:
-    sketch = F.percentile_approx(value, list(quantiles.values()), accuracy).alias("_q")
-    picked = [F.col("_q")[i].alias(name) for i, name in enumerate(quantiles)]
-    return log.groupBy(*groups).agg(sketch).select(*groups, *picked)
+    """Quantiles of all hours given, from their sketches alone: (groups, n, quantiles)."""
+    merged = sketches.groupBy(*groups).agg(F.sum("n").alias("n"), F.kll_merge_agg_double("sketch", k).alias("_s"))
+    values = [F.kll_sketch_get_quantile_double("_s", F.lit(float(q))).alias(name) for name, q in quantiles.items()]
+    return merged.select(*groups, "n", *values)
 
 
 # --- time grids ----------------------------------------------------------------------------------
@@ -210,17 +240,44 @@ def default_zero(spine: DataFrame, measured: DataFrame, value: str, labels: Sequ
 def silent_windows(
     samples: DataFrame, ts: str, step: str, labels: Sequence[str] = ()
 ) -> DataFrame:
-    """Windows in which a source sent nothing."""
+    """Windows in which a source sent nothing, between the first and the last window of the whole log.
+
+    Neighbouring windows of a source are compared, and only the gaps between them are expanded.
+    """
     seen = samples.select(*labels, time_bucket(ts, step).alias("window_start")).distinct()
-    return time_spine(samples, ts, step, labels).join(seen, [*labels, "window_start"], "left_anti")
+    whole = samples.agg(F.min(time_bucket(ts, step)).alias("lo"), F.max(time_bucket(ts, step)).alias("hi"))
+    lo, hi = whole.select("lo").scalar(), whole.select("hi").scalar()
+    width = F.expr(f"INTERVAL '{step.split()[0]}' {step.split()[1]}")
+    # a source has one row per window: bounded by the time range
+    order = Window.partitionBy(*labels or [F.lit(1)]).orderBy("window_start")
+    now = F.col("window_start")
+    gaps = seen.withColumns({"_before": F.lag(now).over(order), "_after": F.lead(now).over(order)}).select(
+        *labels,
+        F.coalesce(F.col("_before") + width, lo).alias("_from"),
+        (now - width).alias("_to"),
+        F.when(F.col("_after").isNull() & (now < hi), now + width).alias("_rest"),
+    )
+    ahead = F.when(F.col("_from") <= F.col("_to"), F.sequence("_from", "_to", width))
+    behind = F.when(F.col("_rest").isNotNull(), F.sequence("_rest", hi, width))
+    none = F.array().cast(f"array<{dict(seen.dtypes)['window_start']}>")
+    missing = F.concat(F.coalesce(ahead, none), F.coalesce(behind, none))
+    return gaps.where((F.col("_from") <= F.col("_to")) | F.col("_rest").isNotNull()).select(
+        *labels, F.explode(missing).alias("window_start")
+    )
 
 
 def sustained(
-    grid: DataFrame, condition: Column, hold_seconds: int, step_seconds: int, series: Sequence[str] = ()
+    grid: DataFrame,
+    condition: Column,
+    hold_seconds: int,
+    step_seconds: int,
+    series: Sequence[str] = (),
+    *measures: Column,
 ) -> DataFrame:
     """Stretches of consecutive windows where ``condition`` holds for at least ``hold_seconds``.
 
-    ``grid`` has one row per series and ``window_start``; a gap in the grid ends a stretch.
+    ``grid`` has one row per series and ``window_start``; a gap in the grid ends a stretch. ``measures`` are
+    further aggregates of a stretch.
     """
     order = Window.partitionBy(*series or [F.lit(1)]).orderBy("window_start")
     step = F.make_dt_interval(secs=F.lit(step_seconds))
@@ -232,7 +289,10 @@ def sustained(
     rows = F.count(F.lit(1))
     return (
         islands.groupBy(*series, "_island")
-        .agg(F.min("window_start").alias("since"), (F.max("window_start") + step).alias("until"), rows.alias("windows"))
+        .agg(
+            F.min("window_start").alias("since"), (F.max("window_start") + step).alias("until"), rows.alias("windows"),
+            *measures,
+        )
         .where(F.col("windows") * step_seconds >= hold_seconds)
         .drop("_island")
     )

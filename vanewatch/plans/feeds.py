@@ -12,13 +12,24 @@ from vanewatch.operators.ordering import latest_per_key
 from vanewatch.plans.registry import query
 from vanewatch.plans.risk import feature_log
 from vanewatch.plans.series import rounded
-from vanewatch.plans.testviews import MIDDLE, events, messages, ntz, sql, telemetry
-from vanewatch.plans.watch import CURRENT, SHIFT, halves, readings
+from vanewatch.plans.testviews import MIDDLE, events, messages, ntz, sql, stamp, telemetry
+from vanewatch.plans.watch import (
+    BOUNDS,
+    CURRENT,
+    RULE_HOLD,
+    RULE_LIMIT,
+    RULE_QUANTILES,
+    RULE_STEP,
+    SHIFT,
+    halves,
+    readings,
+)
 from vanewatch.session import fresh_dir, materialized
 from vanewatch.sources import featurelog
 from vanewatch.sources.events import dead_letters
 from vanewatch.spec import KEEP_SENSORS
 from vanewatch.streaming.jobs import monitor_drift
+from vanewatch.streaming.rules import quantile_alerts
 from vanewatch.streaming.telemetry import telemetry_ticks
 
 DAY_MS = 86_400_000
@@ -228,3 +239,48 @@ def stream_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     dead = spark.read.option("basePath", f"{root}/dead").parquet(f"{root}/dead")
     batches = dead.agg(F.least(F.countDistinct("batch"), F.lit(3))).scalar()
     return dead.select("arrival", batches.alias("least_batches"))
+
+
+# --- alert rule --------------------------------------------------------------------------------------
+
+_WINDOW_COUNTS = (
+    "select event_type, w, le, count(*) filter (where latency <= le) as cumulative from (select event_type, "
+    "time_bucket(interval 6 hours, ts, timestamp '1970-01-01') as w, value / 1000.0::double as latency from e), "
+    f"(select unnest([{', '.join(f'{b}::double' for b in BOUNDS)}, 'infinity'::double]) as le) group by 1, 2, 3"
+)
+
+
+@query(
+    "stream_latency_rule",
+    sql(
+        "select event_type, strftime(min(w), '%Y-%m-%d %H:%M:%S') as since, "
+        "strftime(max(w) + interval 6 hours, '%Y-%m-%d %H:%M:%S') as until, "
+        "count(*) as windows, round(max(q), 6) as peak from (select *, w - interval 6 hours * row_number() over "
+        f"(partition by event_type order by w) as island from qt where q > {RULE_LIMIT}) group by event_type, island having count(*) >= 2",
+        "e",
+        grw=_WINDOW_COUNTS,
+        qt=RULE_QUANTILES,
+    ),
+)
+def stream_latency_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latency rule over three deliveries and a late heartbeat that closes the last windows."""
+    root = fresh_dir(spark, "rule")
+    rows = events(spark, sf_dir).select("event_type", F.col("ts").cast("timestamp").alias("ts"), (F.col("value") / 1000.0).alias("latency"))
+    beat = rows.limit(1).select(
+        F.lit("heartbeat").alias("event_type"), F.lit("2100-01-01 00:00:00").cast("timestamp").alias("ts"), F.lit(0.0).alias("latency")
+    )
+    bounds = ["2024-01-10 03:00:00", "2024-01-20 21:00:00", "2099-01-01 00:00:00"]
+    for stream in landed(spark, rows.unionByName(beat), "ts", bounds, "requests"):
+        alerts = quantile_alerts(
+            stream, "ts", "latency", BOUNDS, ["event_type"], 0.95, RULE_LIMIT, RULE_HOLD, RULE_STEP
+        )
+        (
+            alerts.writeStream.format("parquet")
+            .option("path", f"{root}/alerts")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+            .awaitTermination()
+        )
+    found = spark.read.parquet(f"{root}/alerts").withColumns({c: stamp(c) for c in ("since", "until")})
+    return rounded(found, "peak")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vanewatch.operators import drift, monitoring
+from vanewatch.operators.ordering import Before, running
 from vanewatch.plans.registry import query
 from vanewatch.plans.series import rounded
 from vanewatch.plans.testviews import MIDDLE, events, ntz, predictions, sensor, sql, stamp
+from vanewatch.session import materialized
 from vanewatch.spec import HISTOGRAM_BOUNDS, KEEP_SENSORS
 
 # --- drift ---------------------------------------------------------------------------------------
@@ -240,8 +242,7 @@ def _sql_quantile(q: float, name: str) -> str:
 def histogram_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = ["event_type", "day"]
     buckets = monitoring.histogram_buckets(latencies(spark, sf_dir), "latency", BOUNDS, keys)
-    p50, p95 = (monitoring.histogram_quantile(buckets, q, keys, n) for n, q in (("p50", 0.5), ("p95", 0.95)))
-    return rounded(p50.join(p95, keys), "p50", "p95")
+    return rounded(monitoring.histogram_quantiles(buckets, {"p50": 0.5, "p95": 0.95}, keys), "p50", "p95")
 
 
 @query(
@@ -258,6 +259,91 @@ def latency_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(values, *wanted)
 
 
+RULE_STEP, RULE_HOLD, RULE_LIMIT = 6 * HOUR, 12 * HOUR, 0.16
+_SAMPLES = (
+    "select event_type, le, ts, event_id, count(*) filter (where latency <= le) over (partition by event_type, le, epoch "
+    "order by ts, event_id rows between unbounded preceding and current row) as counter from "
+    "(select event_type, ts, event_id, value / 1000.0::double as latency, count(*) filter (where k < 2) over "
+    "(partition by event_type order by ts, event_id rows between unbounded preceding and current row) as epoch from e), "
+    f"(select unnest([{', '.join(f'{b}::double' for b in BOUNDS)}, 'infinity'::double]) as le)"
+)
+_GROWTH = (
+    "select event_type, le, time_bucket(interval 6 hours, ts, timestamp '1970-01-01') as w, coalesce(sum(inc), 0) as cumulative from (select *, case when prev is null then null "
+    "when counter >= prev then counter - prev else counter end as inc from (select *, lag(counter) over "
+    "(partition by event_type, le order by ts, event_id) as prev from smp)) group by 1, 2, 3"
+)
+RULE_QUANTILES = (
+    "select event_type, w, case when isinf(le) then low else low0 + (le - low0) * (0.95::double * total - below) / (cumulative - below) end as q "
+    "from (select *, lag(le) over o as low, coalesce(lag(le) over o, 0) as low0, coalesce(lag(cumulative) over o, 0) as below, "
+    "max(cumulative) over (partition by event_type, w) as total from grw window o as (partition by event_type, w order by le)) "
+    "where total > 0 and cumulative >= 0.95::double * total qualify row_number() over (partition by event_type, w order by le) = 1"
+)
+
+
+def latency_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cumulative counters per event type and bound, one sample an event; they start anew when k is small."""
+    log = events(spark, sf_dir).withColumn("latency", F.col("value") / 1000.0)
+    order = ["ts", "event_id"]
+    epochs = running(log, ["event_type"], order, {"_e": Before("sum", F.when(F.col("k") < 2, 1).otherwise(0))})
+    log = epochs.withColumn("epoch", F.col("_e") + F.when(F.col("k") < 2, 1).otherwise(0))
+    bounds = F.array(*[F.lit(float(b)) for b in (*BOUNDS, float("inf"))])
+    rows = log.select("event_type", "epoch", *order, "latency", F.explode(bounds).alias("le"))
+    rows = materialized(rows.withColumn("hit", (F.col("latency") <= F.col("le")).cast("int")), "hits")
+    counted = running(rows, ["event_type", "le", "epoch"], order, {"_before": Before("sum", "hit")})
+    return counted.select("event_type", "le", *order, (F.col("_before") + F.col("hit")).alias("value"))
+
+
+@query(
+    "latency_rule",
+    sql(
+        f"select event_type, {_STAMP.format(x='min(w)')} as since, {_STAMP.format(x='max(w) + interval 6 hours')} as until, "
+        "count(*) as windows, round(max(q), 6) as peak from (select *, w - interval 6 hours * row_number() over "
+        f"(partition by event_type order by w) as island from qt where q > {RULE_LIMIT}) group by event_type, island having count(*) >= 2",
+        "e",
+        smp=_SAMPLES,
+        grw=_GROWTH,
+        qt=RULE_QUANTILES,
+    ),
+)
+def latency_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """95 % quantile above the limit for at least two windows of six hours, from counters that reset."""
+    samples = materialized(latency_counters(spark, sf_dir), "samples")
+    held = monitoring.quantile_rule(
+        samples, ["event_type"], ["event_type"], ["ts", "event_id"], 0.95, RULE_LIMIT, RULE_HOLD, RULE_STEP
+    )
+    return rounded(_stamped(held, "since", "until"), "peak")
+
+
+_RANGE = ("2024-01-05 06:00:00", "2024-01-25 18:00:00")
+
+
+@query(
+    "sketch_quantiles",
+    sql(
+        "select event_type, count(*) as n, true as p50_close, true as p95_close from e "
+        f"where ts >= timestamp '{_RANGE[0]}' and ts < timestamp '{_RANGE[1]}' group by event_type",
+        "e",
+    ),
+)
+def sketch_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty days merged from stored hourly sketches; ranks off by less than one percent and one row."""
+    log = events(spark, sf_dir)
+    stored = materialized(monitoring.hourly_sketches(log, "value", "ts", ["event_type"]), "sketches")
+    wanted = {"p50": 0.5, "p95": 0.95}
+    hours = (F.col("hour") >= ntz(_RANGE[0])) & (F.col("hour") < ntz(_RANGE[1]))
+    found = monitoring.merged_quantiles(stored.where(hours), wanted, ["event_type"])
+    inside = log.where((F.col("ts") >= ntz(_RANGE[0])) & (F.col("ts") < ntz(_RANGE[1])))
+    below = [F.sum((F.col("value") < F.col(c)).cast("int")).alias(f"{c}_lt") for c in wanted]
+    upto = [F.sum((F.col("value") <= F.col(c)).cast("int")).alias(f"{c}_le") for c in wanted]
+    ranks = inside.join(found, "event_type").groupBy("event_type", "n").agg(*below, *upto)
+    slack = 0.01 * F.col("n") + 1
+
+    def close(c: str, q: float) -> Column:
+        return (F.col(f"{c}_lt") <= q * F.col("n") + slack) & (F.col(f"{c}_le") >= q * F.col("n") - slack)
+
+    return ranks.select("event_type", "n", *[close(c, q).alias(f"{c}_close") for c, q in wanted.items()])
+
+
 _SPINE = (
     "select unnest(generate_series((select min(date_trunc('hour', ts)) from e), (select max(date_trunc('hour', ts)) from e), "
     "interval 1 hour)) as w"
