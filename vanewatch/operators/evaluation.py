@@ -169,7 +169,3 @@ def error_by_bucket(results: DataFrame) -> DataFrame:
         .groupBy("bucket")
         .agg(F.bround(F.avg("abs_error"), 2).alias("mean"), F.count(F.lit(1)).alias("count"))
     )
-
-
-def bucket_names() -> list[str]:
-    return [name for _, _, name in RUL_BUCKETS]

@@ -93,23 +93,27 @@ def validate_files(
 
 
 def validation_status(report: DataFrame) -> DataFrame:
-    """One row: ``passed`` with the file names, or ``failed`` with the first failure."""
+    """One row: ``passed`` or ``failed``, the number of files, and the first failure."""
     failure = F.concat("name", F.lit(": "), "rule", F.lit(" has "), "violations", F.lit(" violations"))
     one = report.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.countDistinct("name").alias("files"),
         F.min(F.when(~F.col("passed"), F.struct("name", "rule", failure.alias("text")))).alias("bad"),
-        F.array_sort(F.collect_set("name")).alias("files"),
     )
-    failed = (F.col("n") == 0) | F.col("bad").isNotNull()
+    failed = (F.col("files") == 0) | F.col("bad").isNotNull()
     return one.select(
         F.when(failed, "failed").otherwise("passed").alias("status"),
-        F.when(~failed, F.col("files")).alias("validated_files"),
-        F.when(F.col("n") == 0, F.lit("no data files found"))
+        "files",
+        F.when(F.col("files") == 0, F.lit("no data files found"))
         .otherwise(F.col("bad.text"))
         .alias("error"),
     )
 
 
+def validated_files(report: DataFrame) -> DataFrame:
+    """Names of the files without a violation, one row each."""
+    return report.groupBy("name").agg(F.bool_and("passed").alias("passed")).where("passed").select("name")
+
+
 def window_fits(windows: Column | str, window: int, width: int) -> Column:
     """A nested window has exactly ``window`` rows of ``width`` values."""
     windows = F.col(windows) if isinstance(windows, str) else windows

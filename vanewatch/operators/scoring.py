@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from vanewatch.functions import scalars
 from vanewatch.functions.vectors import array_mean, array_stddev_pop, dot, sensor_value
 from vanewatch.operators.quality import missing_keys, window_fits
-from vanewatch.spec import CLIP, WINDOW
+from vanewatch.spec import CLIP, MISSING_KEYS, WINDOW, WRONG_COUNT, WRONG_SHAPE
 
 
 def linear_score(features: Column | str, weights: Sequence[float] | Column, bias: float = 0.0) -> Column:
@@ -101,7 +101,7 @@ def window_error(windows: str, window: int, width: int) -> Column:
     found = F.concat(
         F.lit("("), F.size(windows), F.lit(", "), F.coalesce(F.size(F.get(windows, F.lit(0))), F.lit(0)), F.lit(")")
     )
-    message = F.concat(F.lit(f"Expected shape ({window}, {width}), got "), found)
+    message = F.concat(F.lit(WRONG_SHAPE.format(window=window, width=width)), found)
     return F.when(~F.coalesce(window_fits(windows, window, width), F.lit(False)), message)
 
 
@@ -157,11 +157,11 @@ def raw_windows(
     absent = F.array_distinct(F.flatten(F.transform(column, lambda r: missing_keys(r, sensors))))
     wrong_count = F.size(column) != window
     error = F.when(
-        wrong_count, F.concat(F.lit(f"Expected {window} readings, got "), F.size(column))
+        wrong_count, F.concat(F.lit(WRONG_COUNT.format(window=window)), F.size(column))
     )
     if reject_missing:
         names = F.array_join(absent, ", ")
-        error = error.when(F.size(absent) > 0, F.concat(F.lit("Missing required sensor keys: "), names))
+        error = error.when(F.size(absent) > 0, F.concat(F.lit(MISSING_KEYS), names))
     return readings.withColumn("error", error).withColumn(
         "sensor_data", F.when(F.col("error").isNull(), F.transform(column, scaled))
     )

@@ -2,7 +2,7 @@
 
     spark-submit -m vanewatch.plans.jobs --train ... --test ... --rul ... --out ...
 
-A stage that fails raises, and nothing after it runs.
+A stage that fails raises, and nothing after it runs. Run again, the job goes on where it stopped.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Callable
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from vanewatch.functions import scalars
 from vanewatch.functions.vectors import sensor_row
 from vanewatch.operators import evaluation, prepare, quality, training, windows
+from vanewatch.plans import manifest
 from vanewatch.session import build_session
 from vanewatch.sources import tables, text
 from vanewatch.spec import CLIP, DROP_COLUMNS, GATE, KEEP_SENSORS, RAW_COLUMNS, WINDOW
@@ -51,7 +52,9 @@ def validate(spark: SparkSession, job: Job) -> None:
     parts = [text.read_landed(spark, job.at(f"bronze/{n}")).withColumn("name", F.lit(n)) for n in RAW_FILES]
     report = quality.validate_files(reduce(DataFrame.unionByName, parts), name=F.col("name"))
     tables.write_table(report, job.at("validation/report"))
-    status = quality.validation_status(spark.read.parquet(job.at("validation/report")))
+    report = spark.read.parquet(job.at("validation/report"))
+    tables.write_table(quality.validated_files(report), job.at("validation/files"))
+    status = quality.validation_status(report)
     status.coalesce(1).write.mode("overwrite").json(job.at("validation/status"))
     first = status.first()
     if first.status != "passed":
@@ -133,20 +136,30 @@ def register(spark: SparkSession, job: Job) -> None:
         LinearRegressionModel.load(job.at("model")).write().overwrite().save(job.at("registry/production"))
 
 
-STAGES: tuple[Callable[[SparkSession, Job], None], ...] = (
-    ingest,
-    validate,
-    transform,
-    features,
-    train,
-    evaluate,
-    register,
+#: Each stage with the tables it reads and writes.
+STAGES: tuple[tuple[Callable[[SparkSession, Job], None], tuple[str, ...], tuple[str, ...]], ...] = (
+    (ingest, (), ("bronze",)),
+    (validate, ("bronze",), ("validation",)),
+    (transform, ("bronze",), ("scaler", "silver")),
+    (features, ("silver",), ("gold", "feature_config")),
+    (train, ("gold",), ("model", "history", "training_metrics")),
+    (evaluate, ("model", "gold"), ("evaluation/results", "evaluation/metrics", "evaluation/report")),
+    (register, ("model", "evaluation/metrics"), ("evaluation/gate", "registry")),
 )
 
 
-def run(spark: SparkSession, job: Job) -> None:
-    for stage in STAGES:
-        stage(spark, job)
+def run(spark: SparkSession, job: Job, last: str = "register") -> list[str]:
+    """All stages up to ``last``; those that are finished and still fit are skipped. Names of the others."""
+    stages = []
+    for work, reads, writes in STAGES:
+        inputs = [job.at(r) for r in reads] if reads else [job.train, job.test, job.rul]
+        settings = {"window": job.window, "clip": job.clip, "epochs": job.epochs}
+        stages.append(
+            manifest.Stage(work.__name__, partial(work, spark, job), settings, inputs, [job.at(w) for w in writes])
+        )
+        if work.__name__ == last:
+            return manifest.run_stages(spark, stages, job.at("manifest"))
+    raise ValueError(f"no stage is called {last}")
 
 
 def main() -> None:

@@ -259,7 +259,7 @@ def landed_rul_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = materialized(lines.select("pos", F.col("k").cast("int").cast("string").alias("value")), "lines")
     for name, low, high in (("a", 0, 3), ("b", 3, 53), ("c", 53, 1 << 60)):
         part = lines.where((F.col("pos") > low) & (F.col("pos") <= high)).orderBy("pos")
-        part.select("value").coalesce(1).write.text(f"{path}/source/{name}")
+        part.select("value").write.text(f"{path}/source/{name}")
     return text.rul_rows(text.land(spark, f"{path}/source/*", f"{path}/landed"))
 
 

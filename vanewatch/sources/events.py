@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vanewatch.functions.vectors import sensor_row_from_map
 from vanewatch.spec import ENGINE_PREFIX, KEEP_SENSORS, RAW_COLUMNS
 
 EVENT_SCHEMA = "engine_id STRING, cycle INT, event_time_ms BIGINT, sensors MAP<STRING, DOUBLE>"
@@ -76,9 +75,3 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def dead_letters(messages: DataFrame) -> DataFrame:
     return messages.where(F.size(valid_event("value")) == 0)
-
-
-def with_vector(
-    events: DataFrame, sensors: Sequence[str] = KEEP_SENSORS, out: str = "vector"
-) -> DataFrame:
-    return events.withColumn(out, sensor_row_from_map("sensors", sensors))

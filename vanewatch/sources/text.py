@@ -46,10 +46,6 @@ def telemetry_rows(lines: DataFrame, columns: tuple[str, ...] = RAW_COLUMNS) ->
     )
 
 
-def read_telemetry(spark: SparkSession, path: str) -> DataFrame:
-    return telemetry_rows(read_lines(spark, path)).select(*RAW_COLUMNS)
-
-
 def numbered_lines(lines: DataFrame, out: str = "pos") -> DataFrame:
     """Position of each line, counted from 1 through all files in name order.
 

@@ -51,6 +51,11 @@ DRIFT_P = 0.05
 DRIFT_WARNING_SHARE = 0.3
 DRIFT_CRITICAL_SHARE = 0.5
 DRIFT_MIN_ROWS = 100
+
+# messages of rejected windows and readings
+WRONG_SHAPE = "Expected shape ({window}, {width}), got "
+WRONG_COUNT = "Expected {window} readings, got "
+MISSING_KEYS = "Missing required sensor keys: "
 # ----------------------------------------------------------------------------------------------
 
 # A key with more rows than this is cut into several slices (see operators.ordering).
