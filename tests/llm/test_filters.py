@@ -257,6 +257,25 @@ def test_url_rules(spark, slot_rows):
     assert Counter(map(tuple, got)) == Counter(expected)
 
 
+@pytest.mark.parametrize("rows_per_slice", [1_000_000, 3])
+def test_rule_hosts_lie_on_one_stack(spark, rows_per_slice):
+    """Nested rule hosts are open together; siblings, prefixes of labels and odd characters are not mixed up."""
+    domains = ["net", "net.example", "net.example.a.b", "net.exam", "org", "com.x-y", "com.x"]
+    hosts = ["net", "example.net", "a.example.net", "b.a.example.net", "c.b.a.example.net", "examples.net", "exam.net", "org", "x.com", "x-y.com",
+             "q.x.com", "xy.com", "com", "", "..net", "net.", "n-et", "example.net-", "é.example.net", "z" * 300 + ".exam.net"]
+    found = urls.open_domains(
+        spark.createDataFrame([(h,) for h in hosts], "host string"), spark.createDataFrame([(d,) for d in domains], "domain string"), 4, rows_per_slice
+    )
+    got = {(r.host, r.domain) for r in found.collect()}
+    assert got == {(h, d) for h in hosts for d in domains if (".".join(h.split(".")[::-1]) + ".").startswith(d + ".")}
+    assert max(Counter(h for h, _ in got).values()) == 3
+
+
+def test_url_filter_on_empty_table(spark):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    assert urls.judged_urls(none, urls.rule_table(spark, [("block", "net/")])).count() == 0
+
+
 def test_url_filter_without_rules(spark):
     pages = spark.createDataFrame([(1, "http://a.net/")], "page_id long, url string")
     assert urls.judged_urls(pages, urls.rule_table(spark, []), default="block").first().verdict == "block"
