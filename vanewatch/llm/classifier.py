@@ -8,8 +8,9 @@ its size does not grow with the data. Since averaging and the layer are linear,
 number per bucket.
 
 Null and empty texts have no vectors and get the score of the bias alone. Rows without a label or with
-a null id are not learned from; repeated rows are scored one by one; without labelled rows every score
-is 0.5; an empty table gives an empty result.
+a null id are not learned from; of labels that contradict each other 1 counts, and of several texts with one
+id the one with the smallest MD5; repeated rows are scored one by one; without labelled rows every score is
+0.5; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -136,6 +137,9 @@ def learn(
     chosen = bounded(rows, "doc_id", most_rows).select(F.col("doc_id").alias("_id"), "label")
     # most_rows bounds this side
     found = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("_id"))
+    # a row an id: of several texts the one with the smallest MD5
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = found.groupBy("doc_id", "label").agg(F.min_by(text, F.md5(text)).alias("text"))
     found = found.select(F.col("doc_id").cast("bigint"), F.col("label").cast("int"), "text")
     table: pd.DataFrame = found.mapInArrow(_bags(buckets), "doc_id long, label int, ids binary, counts binary").toPandas()
     if table.empty:

@@ -6,8 +6,10 @@ shorter order; a word without any known n-gram says nothing. A document's scores
 words (runs of letters, lower case); ``score`` is the share of the best language after a softmax of
 the sums over the square root of the number of words.
 
-The model is learned from a bounded sample of labelled rows (``most_rows``) and holds at most
-``most_words`` words and ``most_grams`` n-grams of each order, so its size does not grow with the data.
+The model is learned from a bounded sample of labelled texts, ``most_rows`` of each language, and holds
+the ``most_words`` most frequent words and ``most_grams`` n-grams of each order of each language, so its size
+grows with the number of languages only and a rare language is learned like any other. Equal texts of a
+language are learned once; ids play no part.
 Only text is looked at when predicting. A text that is null or has no letter gets ``und`` with score 0,
 and so does every text if there was nothing to learn from. Ties go to the first language in
 code-point order; repeated rows are judged one by one; an empty table gives an empty result.
@@ -25,7 +27,8 @@ from pyspark.sql import functions as F
 
 from vanewatch.llm import textarrays as ta
 from vanewatch.llm.frames import in_pieces
-from vanewatch.llm.sampling import bounded
+from vanewatch.llm.sampling import bounded_by_group
+from vanewatch.session import materialized
 
 UNKNOWN = "und"
 WORD = 0
@@ -81,20 +84,23 @@ def _count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def learn(
-    labelled: DataFrame, most_rows: int = 6_000, most_words: int = 40_000, most_grams: int = 20_000, least: int = 2
+    labelled: DataFrame, most_rows: int = 1_500, most_words: int = 10_000, most_grams: int = 5_000, least: int = 2
 ) -> Model:
-    """Learn from (doc_id, text, lang) rows with a language; at most about ``most_rows`` of them."""
-    rows = bounded(labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text"), "doc_id", most_rows)
-    counts = rows.select("lang", "text").mapInArrow(_count, "lang string, kind int, hash long, n long")
+    """Learn from (text, lang) rows with a language; all bounds are per language."""
+    rows = labelled.where("lang is not null and text is not null").select("lang", "text")
+    rows = bounded_by_group(rows, "lang", "text", most_rows)
+    counts = rows.mapInArrow(_count, "lang string, kind int, hash long, n long")
     counts = counts.groupBy("kind", "hash", "lang").agg(F.sum("n").alias("n"))
-    by_hash = counts.groupBy("kind", "hash").agg(
-        F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("langs")
+    counts = materialized(
+        counts.selectExpr("*", "row_number() over (partition by lang, kind order by n desc, hash) as place"), "counts"
     )
-    kept = by_hash.where(F.col("n") >= least).selectExpr(
-        "*", "row_number() over (partition by kind order by n desc, hash) as place"
+    most = F.when(F.col("kind") == WORD, most_words).otherwise(most_grams)
+    chosen = counts.where(F.col("place") <= most).select("kind", "hash").distinct()
+    by_hash = counts.join(chosen, ["kind", "hash"]).groupBy("kind", "hash").agg(
+        F.sum("n").alias("n"), F.collect_list(F.struct("lang", "n")).alias("langs")
     )
-    kept = kept.where((F.col("place") <= most_grams) | ((F.col("kind") == WORD) & (F.col("place") <= most_words)))
-    found = kept.select("kind", "hash", F.inline("langs")).toPandas()  # bounded by most_words and most_grams
+    kept = by_hash.where(F.col("n") >= least)
+    found = kept.select("kind", "hash", F.inline("langs")).toPandas()  # bounded by most_words and most_grams of each language
     languages = sorted(found["lang"].unique(), key=lambda s: s.encode())
     code = {lang: i for i, lang in enumerate(languages)}
     tables = {}
