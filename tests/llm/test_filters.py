@@ -72,6 +72,16 @@ def test_references_tell_tables_from_prose(spark):
     assert {r.doc_id for r in found.collect() if not r.kept} == {99}
 
 
+def test_common_words_of_any_language(spark, monkeypatch):
+    """Learned by number of documents, ties in order; case and punctuation do not matter; null is a language."""
+    monkeypatch.setattr(rules, "COMMON", 3)
+    rows = [("x", "Zu zu ZU (zu), am ort."), ("x", "am zu \u00e9t!"), ("x", "ort; [am]"), ("y", "ka"), (None, "ort ort"), (None, None), ("z", "...")]
+    texts = spark.createDataFrame(rows, "_lang string, _text string").withColumn("_text", F.coalesce("_text", F.lit("")))
+    hashed = {r.h: r.w for r in spark.createDataFrame([(w,) for w in ("zu", "am", "ort", "ka")], "w string").withColumn("h", F.xxhash64("w")).collect()}
+    got = {r.common_lang: [hashed[h] for h in r.common] for r in rules.common_words(texts, 3).collect()}
+    assert got == {"x": ["am", "ort", "zu"], "y": ["ka"], None: ["ort"]}
+
+
 def exact_expected(texts):
     plain = {i: re.sub(r"[\x20\x09-\x0D]+", "", t or "") for i, t in texts.items()}
     sizes = Counter(plain.values())

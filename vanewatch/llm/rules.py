@@ -4,10 +4,12 @@ A document is compared with a reference of its language (the value of the ``lang
 a language of its own) by the Jensen-Shannon distance (base 2, so 0 to 1) of two histograms:
 
 * character classes: upper-case letters, other letters, digits, white space, symbols, the rest;
-* function words: one bin for each word of a list, one for all other words.
+* common words: one bin for each of the words that most documents of the language have, one for all other
+  words. These words are learned from the table itself, whatever its languages are: lower case (A to Z),
+  without ``PUNCTUATION``, by the number of documents, then in code-point order.
 
-References are sums over all documents of a language. Documents or references that are too short to
-say anything are not judged by that histogram (the guards below). Rows with null or empty text have
+References are sums over the documents of a language that pass the base rules. Documents or references
+that are too short to say anything are not judged by that histogram (the guards below). Rows with null or empty text have
 no words and fail the base rules; null ``lang`` or ``doc_id`` are ordinary values; repeated rows are
 judged one by one; very long texts are one row's arrays. An empty table gives an empty result.
 """
@@ -23,12 +25,10 @@ from vanewatch.llm.frames import boxed, unboxed, words_of
 from vanewatch.session import materialized
 
 WINDOW = 8
-#: Frequent function words of English, German, French and Spanish.
-FUNCTION_WORDS = (
-    "the of and to in is that for it was on be with "
-    "der die und den von zu das mit sich des auf ist "
-    "de la le et les est un une du que el en los del las por"
-).split()
+#: Characters that do not belong to a word when words are compared over documents.
+PUNCTUATION = ".,;:!?\"'()[]{}"
+#: Common words of a language.
+COMMON = 16
 #: Dup hashes of a text up to which windows are looked up one by one; above, they are sorted.
 FEW = 64
 
@@ -44,7 +44,7 @@ class Limits:
     guard_reference: int = 5_000
     #: greatest Jensen-Shannon distances of a document that stays
     class_distance: float = 0.28
-    word_distance: float = 0.25
+    word_distance: float = 0.27
 
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -104,18 +104,37 @@ def _covered(starts: Column) -> Column:
     return F.aggregate(gaps, F.lit(0).cast("bigint"), lambda total, gap: total + gap)
 
 
-def _hits(hashes: Column) -> Column:
-    """How often each function word occurs; a loop over the list keeps the generated code small."""
-    wanted = F.array(*[F.xxhash64(F.lit(w)) for w in FUNCTION_WORDS])
-    return F.transform(
-        wanted, lambda h: (F.size(hashes) - F.size(F.array_remove(hashes, h))).cast("bigint")
-    )
+def plain_words(text: Column) -> Column:
+    """Words in lower case without punctuation."""
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    return words_of(F.translate(text, upper + PUNCTUATION, lower + " " * len(PUNCTUATION)))
+
+
+def common_words(texts: DataFrame, most: int = COMMON) -> DataFrame:
+    """(common_lang, common): hashes of the words that most documents of a language have; stored.
+
+    A document counts once for a word, however often it repeats it.
+    """
+    found = texts.select("_lang", F.explode(F.array_distinct(plain_words(F.col("_text")))).alias("word"))
+    counts = found.groupBy("_lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    # Spark keeps ``most`` rows a language in each task before the shuffle
+    first = counts.selectExpr("*", "row_number() over (partition by _lang order by n desc, word) as place").where(F.col("place") <= most)
+    ordered = F.array_sort(F.collect_list(F.struct("place", F.xxhash64("word").alias("h"))))
+    lists = first.groupBy(F.col("_lang").alias("common_lang")).agg(ordered.getField("h").alias("common"))
+    return materialized(lists, "common")
 
 
-def with_histograms(df: DataFrame) -> DataFrame:
+def _hits(hashes: Column, wanted: Column) -> Column:
+    """How often each wanted word occurs."""
+    return F.transform(wanted, lambda h: (F.size(hashes) - F.size(F.array_remove(hashes, h))).cast("bigint"))
+
+
+def with_histograms(df: DataFrame, common: DataFrame) -> DataFrame:
     """From ``_text``: word count, base counts and both histograms; ``_hashes`` are the words' hashes."""
-    text, words, hashes = F.col("_text"), F.col("_words"), F.col("_hashes")
-    df = df.withColumn("_words", words_of(text))
+    text, words = F.col("_text"), F.col("_words")
+    # one row a language: Spark broadcasts it by its written size, or else splits hot languages
+    df = df.join(common, F.col("_lang").eqNullSafe(F.col("common_lang")), "left").drop("common_lang")
+    df = df.withColumns({"_words": words_of(text), "_plain": plain_words(text)})
     df = df.withColumns(
         {
             "_hashes": F.transform(words, lambda w: F.xxhash64(w)),
@@ -125,6 +144,7 @@ def with_histograms(df: DataFrame) -> DataFrame:
             "_upper": _left(text, r"[^\p{Lu}]+"),
             "_letters": _left(text, r"\P{L}+"),
             "_digits": _left(text, r"\P{Nd}+"),
+            "_plain": F.transform("_plain", lambda w: F.xxhash64(w)),
         }
     ).drop("_words")
     space = F.length(text).cast("bigint") - F.col("word_chars")
@@ -133,13 +153,14 @@ def with_histograms(df: DataFrame) -> DataFrame:
     df = df.withColumns(
         {
             "_shape": F.array(*shape, F.col("n_symbols"), rest),
-            "_hits": _hits(hashes),
+            "_hits": F.coalesce(_hits(F.col("_plain"), F.col("common")), F.array().cast("array<bigint>")),
         }
     )
-    common = F.aggregate("_hits", F.lit(0).cast("bigint"), lambda s, n: s + n)
-    return df.withColumn("_hits", F.concat("_hits", F.array(F.col("n_words") - common))).drop(
-        "_upper", "_letters", "_digits"
-    )
+    known = F.aggregate("_hits", F.lit(0).cast("bigint"), lambda s, n: s + n)
+    others = F.array(F.size("_plain").cast("bigint") - known)
+    # languages with fewer words have empty bins
+    empty = F.array_repeat(F.lit(0).cast("bigint"), F.lit(COMMON) - F.size("_hits"))
+    return df.withColumn("_hits", F.concat("_hits", empty, others)).drop("_upper", "_letters", "_digits", "_plain", "common")
 
 
 def with_repeats(df: DataFrame) -> DataFrame:
@@ -174,16 +195,22 @@ def with_repeats(df: DataFrame) -> DataFrame:
     ).drop("_lines", "_windows", "_again", "_starts")
 
 
-def references(histograms: DataFrame) -> DataFrame:
-    """One row per language: the sums of ``_shape`` and ``_hits`` and the words in all."""
+def base_failed(limits: Limits) -> Column:
+    return (F.col("n_words") < limits.least_words) | (
+        100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words")
+    )
+
+
+def references(figures: DataFrame, limits: Limits) -> DataFrame:
+    """One row per language: the sums of ``_shape`` and ``_hits`` and the words of the documents that pass the base rules."""
 
     def sums(name: str, size: int) -> Column:
         return F.array(*[F.sum(F.col(name)[i]) for i in range(size)])
 
-    return histograms.groupBy(F.col("_lang").alias("ref_lang")).agg(
+    return figures.where(~base_failed(limits)).groupBy(F.col("_lang").alias("ref_lang")).agg(
         F.sum("n_words").alias("ref_total"),
         sums("_shape", 6).alias("ref_shape"),
-        sums("_hits", len(FUNCTION_WORDS) + 1).alias("ref_hits"),
+        sums("_hits", COMMON + 1).alias("ref_hits"),
     )
 
 
@@ -221,13 +248,10 @@ def _with_verdict(df: DataFrame, refs: DataFrame, limits: Limits) -> DataFrame:
             ),
         }
     )
-    failed = (F.col("n_words") < limits.least_words) | (
-        100 * F.col("n_repeat_words") > limits.repeat_percent * F.col("n_words")
-    )
     near = (F.coalesce(F.col("class_distance"), F.lit(0.0)) <= limits.class_distance) & (
         F.coalesce(F.col("word_distance"), F.lit(0.0)) <= limits.word_distance
     )
-    df = df.withColumn("base_failed", failed).withColumn("kept", ~F.col("base_failed") & near)
+    df = df.withColumn("base_failed", base_failed(limits)).withColumn("kept", ~F.col("base_failed") & near)
     return df.drop("ref_lang", "ref_total", "ref_shape", "ref_hits", "_shape", "_hits", "_lang")
 
 
@@ -236,24 +260,26 @@ def _texts(docs: DataFrame) -> DataFrame:
     return boxed(docs).select("_row", text, F.col("_row.lang").alias("_lang"))
 
 
-def quality_verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """One row per document: doc_id, the base figures, both distances and ``kept``.
+def judged(docs: DataFrame, row: Column, limits: Limits) -> DataFrame:
+    """``row`` of each document with the base figures, both distances and ``kept``.
 
-    Texts are read once; a stored table of figures gives the references and then the verdicts.
+    Texts are read twice: for the common words, and for the figures. These are stored; the references and
+    then the verdicts come from there.
     """
-    df = with_repeats(with_histograms(_texts(docs)))
-    figures = materialized(
-        df.select(F.col("_row.doc_id").alias("doc_id"), *BASE, "_lang", "_shape", "_hits"), "figures"
-    )
+    texts = _texts(docs)
+    df = with_repeats(with_histograms(texts, common_words(texts)))
+    figures = materialized(df.select(row, *BASE, "_lang", "_shape", "_hits"), "figures")
     # one row a language: Spark broadcasts it by its written size, or else splits hot languages
-    refs = materialized(references(figures), "references")
+    refs = materialized(references(figures, limits), "references")
     return _with_verdict(figures, refs, limits)
 
 
+def quality_verdicts(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """One row per document: doc_id, the base figures, both distances and ``kept``."""
+    return judged(docs, F.col("_row.doc_id").alias("doc_id"), limits)
+
+
 def keep_good(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """The documents that the rules keep, with all their columns."""
-    refs = materialized(references(with_histograms(_texts(docs))), "references")
-    df = _with_verdict(with_repeats(with_histograms(_texts(docs))), refs, limits)
-    # a generator: else the filter would be pushed down with copies of all the expressions above
-    df = df.select("_row", F.explode(F.array("kept")).alias("_kept")).where("_kept")
+    """The documents that the rules keep, with all their columns; they are stored with their figures."""
+    df = judged(docs, F.col("_row"), limits).where("kept")
     return df.select(*unboxed(df, docs.columns))

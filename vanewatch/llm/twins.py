@@ -1,6 +1,6 @@
 """What some of the queries return, in SQL for DuckDB."""
 
-from vanewatch.llm.rules import FUNCTION_WORDS, Limits
+from vanewatch.llm.rules import COMMON, PUNCTUATION, Limits
 
 _LIMITS = Limits()
 
@@ -8,10 +8,17 @@ QUALITY_RULES = r"""
 with recursive d as (
   select doc_id, lang, coalesce(text, '') as t,
          list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w,
+         list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZPUNCTUATION',
+           'abcdefghijklmnopqrstuvwxyzSPACES'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as plain,
          row_number() over () as r
   from documents
+), top as (
+  select lang as top_lang, list(word order by place) as words from (
+    select lang, word, row_number() over (partition by lang order by count(*) desc, word) as place
+    from (select lang, unnest(list_distinct(plain)) as word from d) group by lang, word)
+  where place <= COMMON group by lang
 ), f as (
-  select r, doc_id, lang, t, w, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
+  select r, doc_id, lang, t, w, plain, len(w) as n_words, length(array_to_string(w, '')) as word_chars,
          length(t) - length(regexp_replace(t, '[#*$%&|<>]+', '', 'g')) as n_symbols,
          list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines,
          length(regexp_replace(t, '[^\p{Lu}]+', '', 'g')) as upper,
@@ -28,24 +35,26 @@ with recursive d as (
 ), h as (
   select f.*, len(lines) - len(list_distinct(lines)) as n_dup_lines, coalesce(n_repeat_words, 0)::bigint as n_repeat_words,
          [upper, letters - upper, digits, length(t) - word_chars, n_symbols, word_chars - letters - digits - n_symbols] as shape,
-         list_transform(string_split('FUNCTION_WORDS', ' '), lambda x: len(list_filter(w, lambda y: y = x))) as hit
-  from f left join v using (r)
+         list_transform(coalesce(words, []), lambda x: len(list_filter(plain, lambda y: y = x))) as hit
+  from f left join v using (r) left join top on lang is not distinct from top_lang
 ), g as (
-  select *, list_concat(hit, [n_words - list_sum(hit)::bigint]) as hits from h
+  select *, list_concat(list_concat(hit, list_transform(range(COMMON - len(hit)), lambda x: 0)),
+    [len(plain) - coalesce(list_sum(hit), 0)::bigint]) as hits,
+    n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed from h
 ), shapes as (
   select lang, list(s order by k) as ref_shape from
-    (select lang, k, sum(x) as s from (select lang, unnest(shape) as x, unnest(range(6)) as k from g) group by lang, k) group by lang
+    (select lang, k, sum(x) as s from (select lang, unnest(shape) as x, unnest(range(6)) as k from g where not base_failed) group by lang, k) group by lang
 ), words as (
   select lang, list(s order by k) as ref_hits from
-    (select lang, k, sum(x) as s from (select lang, unnest(hits) as x, unnest(range(len(hits))) as k from g) group by lang, k) group by lang
+    (select lang, k, sum(x) as s from (select lang, unnest(hits) as x, unnest(range(len(hits))) as k from g where not base_failed) group by lang, k) group by lang
 ), totals as (
-  select lang, sum(n_words) as ref_total from g group by lang
+  select lang, sum(n_words) as ref_total from g where not base_failed group by lang
 ), j as (
   select g.*, ref_total,
          list_transform(shape, lambda x: x / list_sum(shape)) as p1, list_transform(ref_shape, lambda x: x / list_sum(ref_shape)) as q1,
          list_transform(hits, lambda x: x / list_sum(hits)) as p2, list_transform(ref_hits, lambda x: x / list_sum(ref_hits)) as q2
-  from g join shapes s on g.lang is not distinct from s.lang join words o on g.lang is not distinct from o.lang
-         join totals z on g.lang is not distinct from z.lang
+  from g left join shapes s on g.lang is not distinct from s.lang left join words o on g.lang is not distinct from o.lang
+         left join totals z on g.lang is not distinct from z.lang
 ), e as (
   select *,
     sqrt(greatest(0, list_sum(list_transform(list_zip(p1, q1), lambda x:
@@ -57,13 +66,12 @@ with recursive d as (
   from j
 )
 select doc_id, n_words::bigint as n_words, word_chars::bigint as word_chars, n_symbols::bigint as n_symbols,
-       n_dup_lines::bigint as n_dup_lines, n_repeat_words,
-       n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
-       not (n_words < 20 or 100 * n_repeat_words > 30 * n_words)
-       and not (ref_total >= GUARD_REFERENCE and length(t) >= GUARD_CHARS and class_distance > CLASS_LIMIT)
-       and not (ref_total >= GUARD_REFERENCE and n_words >= GUARD_WORDS and word_distance > WORD_LIMIT) as kept
+       n_dup_lines::bigint as n_dup_lines, n_repeat_words, base_failed,
+       not base_failed
+       and not (coalesce(ref_total, 0) >= GUARD_REFERENCE and length(t) >= GUARD_CHARS and coalesce(class_distance, 0) > CLASS_LIMIT)
+       and not (coalesce(ref_total, 0) >= GUARD_REFERENCE and n_words >= GUARD_WORDS and coalesce(word_distance, 0) > WORD_LIMIT) as kept
 from e
-""".replace("FUNCTION_WORDS", " ".join(FUNCTION_WORDS))
+""".replace("PUNCTUATION", PUNCTUATION.replace("'", "''")).replace("SPACES", " " * len(PUNCTUATION)).replace("COMMON", str(COMMON))
 QUALITY_RULES = (
     QUALITY_RULES.replace("GUARD_REFERENCE", str(_LIMITS.guard_reference))
     .replace("GUARD_CHARS", str(_LIMITS.guard_chars))
