@@ -196,20 +196,20 @@ def signatures(docs: DataFrame, size: int, percent: int, id_column: str) -> Data
 def _met(rows: DataFrame, *at: str) -> DataFrame:
     """Rows of the places where several classes are, with the least class of each place as ``hub``."""
     hubs = rows.groupBy(*at).agg(F.min("key").alias("hub"), F.max("key").alias("last")).where("hub <> last")
-    return rows.join(hubs.drop("last"), list(at))
+    # stored, so that both sides of the join are plain shuffles, of which Spark can split hot places
+    return rows.join(materialized(hubs.drop("last"), "hubs"), list(at))
 
 
 def meetings(signed: DataFrame, percent: int) -> DataFrame:
     """Stored rows (hub, key, n): classes that share a place, under the least class that has it.
 
-    Places are dealt out once, for the search of those that several classes have and for the classes. Of
-    classes with a rare shingle in common only those of like size meet: bands of sizes one threshold wide,
+    Least and greatest class of a place are partial aggregates. Of classes with a rare shingle in common only those of like size meet: bands of sizes one threshold wide,
     each class in its own band and the next.
     """
     rows = signed.where("key is not null").select(
         F.explode("places").alias("place"), "key", F.col("n_shingles").cast("int").alias("n")
     )
-    met = _met(rows.repartition("place"), "place")
+    met = _met(rows, "place")
     if percent < NARROW:
         shared = materialized(met.select("place", "key", "n").distinct(), "shared")
         band = F.floor(F.log("n") / F.lit(np.log(100 / percent) * 1.000001)).cast("int")
