@@ -1,5 +1,6 @@
 """Token counts, packing, near-duplicates, repeated passages and models on awkward input."""
 
+import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -159,7 +160,7 @@ def test_blocks_with_like_hashes_are_told_apart():
     columns = [np.array(v, kind) for v, (kind, _) in zip(values, repeats._KINDS, strict=True)]
     body = b"".join(c.tobytes() for c in columns)
     batch = pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([body], pa.binary())], ["slot", "body"])
-    found = [r for b in repeats._match_hashes([batch]) for r in b.to_pylist()]
+    found = [r for b in repeats._match_hashes(0)([batch]) for r in b.to_pylist()]
     assert [r["uid"] for r in found if r["uid"] is not None] == []
     assert [r["anchor"] for r in found if r["anchor"] is not None] == [1 << 32 | 7]
 
@@ -176,23 +177,44 @@ def test_repeats_of_a_hot_passage(spark, monkeypatch):
     found = repeats.without_repeats(docs, length=50).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == helpers.without_repeats(texts, 50)
     batch = pa.RecordBatch.from_arrays([pa.array(list(texts)), pa.array(list(texts.values()))], ["uid", "text"])
-    sent = [r for b in repeats._send_hashes(50, 1)([batch]) for r in b.to_pylist() if r["slot"] == 0]
+    sent = [r for b in repeats._send_hashes(50, 1, 0)([batch]) for r in b.to_pylist() if r["slot"] == 0]
     assert max(Counter(repeats.Blocks(list(texts), list(texts.values()), 50).anchor.tolist()).values()) >= 50
     n = sum(len(r["body"]) for r in sent) // repeats._ROW
     low = np.frombuffer(sent[0]["body"], np.uint32, n)
     assert max(Counter(low.tolist()).values()) == 2
 
 
-def test_repeats_with_nulls_and_repeated_ids(docs, texts):
-    rows = helpers.with_repeats(docs)
-    found = repeats.without_repeats(rows, length=50).collect()
-    assert len(found) == rows.count()
-    for r in found:
-        if r.doc_id is None and r.n_bytes >= 50:
-            assert r.n_removed == r.n_bytes
-        elif r.doc_id is not None:
-            assert r.n_bytes == len((texts[r.doc_id] or "").encode())
-    assert len({r.kept_sha256 for r in found if r.doc_id == 5}) == 1
+def repeats_by_force(rows, length):
+    """(id, n_bytes, n_removed, sha) of rows (id, text); only a smaller id counts, null is above all ids."""
+    order = lambda i: (i is None, i or 0)
+    data = [(i, (t or "").encode()) for i, t in rows]
+    first = {}
+    for i, b in data:
+        for p in range(len(b) - length + 1):
+            first[b[p : p + length]] = min(first.get(b[p : p + length], (2, 0)), order(i))
+    found = []
+    for i, b in data:
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if first[b[p : p + length]] < order(i):
+                gone[p : p + length] = b"\1" * length
+        kept = bytes(c for c, g in zip(b, gone, strict=True) if not g)
+        found.append((i, len(b), sum(gone), hashlib.sha256(kept).hexdigest()))
+    return found
+
+
+@pytest.mark.parametrize("hot", [4096, 3])
+def test_repeats_with_nulls_and_shared_ids(spark, docs, monkeypatch, hot):
+    """Rows of one id take nothing from each other, equal or not; neither do rows without an id."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    rng = random.Random(2)
+    own = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    passage = own(100)
+    rows = [(r.doc_id, r.text) for r in helpers.with_repeats(docs).select("doc_id", "text").collect()]
+    rows += [(100 + i // 3, own(20) + passage[: 60 + i] + own(20)) for i in range(9)]
+    rows += [(None, own(9) + passage), (None, passage + own(60)), (200, passage), (200, passage), (201, None)]
+    found = repeats.without_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), length=50).collect()
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, r.kept_sha256) for r in found) == Counter(repeats_by_force(rows, 50))
 
 
 @pytest.mark.parametrize(("size", "percent", "part"), [(3, 90, 4_000_000), (5, 80, 4_000_000), (3, 70, 200)])

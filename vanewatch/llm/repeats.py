@@ -19,8 +19,8 @@ The suffix array (``suffixes``) groups suffixes by Lyndon prefixes; an anchor is
 block that occurs several times is sent once per batch of texts, so frequent lines stay small.
 
 Null text is empty. Documents shorter than ``length`` lose nothing. Copies of an earlier document are
-removed whole. Null ids come last; rows that share an id are ordered by the MD5 of their text, and rows
-that agree in both are one document. An empty table gives an empty result.
+removed whole. Null ids come last. Rows that share an id, or have none, take nothing from one another,
+whether their texts agree or not: only a smaller id counts. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewatch.llm import textarrays as ta
@@ -45,8 +45,9 @@ SEGMENT = 1 << 22
 PARTITION = 8 << 20
 #: Bits of the anchor map per anchor, and at most.
 BITS_EACH, MOST_BITS = 32, 1 << 30
-#: Blocks of an anchor that one task gathers; the blocks of an anchor with more are dealt over salts.
-HOT = 4096
+#: Blocks of an anchor that one task gathers; the blocks of an anchor with more are dealt over salts. Where
+#: more anchors than MOST_HOT have as many, a task gathers more, so that the list that tasks get stays bounded.
+HOT, MOST_HOT = 4096, 1 << 20
 _SPAN = 1 << 16
 _WHOLE = -1
 
@@ -68,9 +69,13 @@ def segments(uids: list[int], texts: list[str], length: int) -> tuple[list[bytes
 
 
 class Blocks:
-    """The blocks of a batch: where they start and end, their anchors, contents and documents."""
+    """The blocks of a batch: where they start and end, their anchors, contents and documents.
 
-    def __init__(self, uids: list[int], texts: list[str], length: int):
+    Documents whose uids agree but for their last ``bits`` bits have one id.
+    """
+
+    def __init__(self, uids: list[int], texts: list[str], length: int, bits: int = 0):
+        self.bits = bits
         parts, owner, base = segments(uids, texts, length)
         k = anchor_size(length)
         self.data = np.frombuffer(b"".join(parts), np.uint8)
@@ -117,7 +122,7 @@ class Blocks:
         cuts = np.flatnonzero(fresh)
         least = np.minimum.reduceat(self.uid[order], cuts) if len(cuts) else self.uid
         mine = np.empty(len(order), bool)
-        mine[order] = self.uid[order] == np.repeat(least, np.diff(np.append(cuts, len(order))))
+        mine[order] = self.uid[order] >> self.bits == np.repeat(least, np.diff(np.append(cuts, len(order)))) >> self.bits
         return mine
 
     def spans(self, rows: np.ndarray) -> np.ndarray:
@@ -174,12 +179,12 @@ def _thinned(anchor: np.ndarray, content: np.ndarray, uid: np.ndarray, span: np.
     return anchor[keep], content[keep], uid[keep], span[keep]
 
 
-def _send_hashes(length: int, parts: int):
+def _send_hashes(length: int, parts: int, id_bits: int):
     """Rows (slot, body): hashes of blocks by anchor; slot -1: spans that the batch itself decides."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in in_pieces(batches, "text"):
-            blocks = Blocks(batch.column(0).to_pylist(), texts, length)
+            blocks = Blocks(batch.column(0).to_pylist(), texts, length, id_bits)
             mine = blocks.earliest()
             own, rest = np.flatnonzero(mine), np.flatnonzero(~mine)
             rows = _thinned(blocks.anchor[own], blocks.content[own], blocks.uid[own], blocks.spans(own))
@@ -213,37 +218,41 @@ _KINDS = ((np.uint32, 4), (np.uint8, 1), (np.uint64, 8), (np.int64, 8), (np.uint
 _ROW = sum(size for _, size in _KINDS)
 
 
-def _match_hashes(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _match_hashes(id_bits: int):
     """Spans of an anchor's only block in later documents; anchors with several blocks are left to their bytes."""
-    columns: list[list[np.ndarray]] = [[] for _ in _KINDS]
-    for batch in batches:
-        for slot, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            if slot < 0:
-                yield _found(*_unpacked(body), *[np.zeros(0, np.int64)] * 2)
-                continue
-            n, at = len(body) // _ROW, 0
-            for column, (kind, size) in zip(columns, _KINDS, strict=True):
-                column.append(np.frombuffer(body, kind, n, at))
-                at += n * size
-    if not columns[0]:
-        return
-    low, high, content, uid, start, size = (np.concatenate(c) for c in columns)
-    columns.clear()
-    anchor = (high.astype(np.uint64) << np.uint64(32)) | low
-    order = np.argsort(anchor, kind="stable")
-    anchor, content, uid = anchor[order], content[order], uid[order]
-    first = np.ones(len(anchor), bool)
-    first[1:] = anchor[1:] != anchor[:-1]
-    groups = np.flatnonzero(first)
-    other = np.zeros(len(anchor), bool)
-    other[1:] = ~first[1:] & (content[1:] != content[:-1])
-    several = np.add.reduceat(other, groups) > 0
-    least, sizes = np.minimum.reduceat(uid, groups), np.diff(np.append(groups, len(uid)))
-    later = np.flatnonzero((uid > np.repeat(least, sizes)) & ~np.repeat(several, sizes))
-    span = start.astype(np.int64) * _SPAN + size
-    several &= least < np.maximum.reduceat(uid, groups)
-    n = np.add.reduceat(np.where(size == 0, start, 1).astype(np.int64)[order], groups)
-    yield _found(uid[later], span[order[later]], anchor[groups[several]], n[several])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns: list[list[np.ndarray]] = [[] for _ in _KINDS]
+        for batch in batches:
+            for slot, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if slot < 0:
+                    yield _found(*_unpacked(body), *[np.zeros(0, np.int64)] * 2)
+                    continue
+                n, at = len(body) // _ROW, 0
+                for column, (kind, size) in zip(columns, _KINDS, strict=True):
+                    column.append(np.frombuffer(body, kind, n, at))
+                    at += n * size
+        if not columns[0]:
+            return
+        low, high, content, uid, start, size = (np.concatenate(c) for c in columns)
+        columns.clear()
+        anchor = (high.astype(np.uint64) << np.uint64(32)) | low
+        order = np.argsort(anchor, kind="stable")
+        anchor, content, uid = anchor[order], content[order], uid[order]
+        first = np.ones(len(anchor), bool)
+        first[1:] = anchor[1:] != anchor[:-1]
+        groups = np.flatnonzero(first)
+        other = np.zeros(len(anchor), bool)
+        other[1:] = ~first[1:] & (content[1:] != content[:-1])
+        several = np.add.reduceat(other, groups) > 0
+        least, sizes = np.minimum.reduceat(uid, groups), np.diff(np.append(groups, len(uid)))
+        later = np.flatnonzero((uid >> id_bits > np.repeat(least, sizes) >> id_bits) & ~np.repeat(several, sizes))
+        span = start.astype(np.int64) * _SPAN + size
+        several &= least >> id_bits < np.maximum.reduceat(uid, groups) >> id_bits
+        n = np.add.reduceat(np.where(size == 0, start, 1).astype(np.int64)[order], groups)
+        yield _found(uid[later], span[order[later]], anchor[groups[several]], n[several])
+
+    return run
 
 
 def anchor_map(anchors: DataFrame, bits: int) -> np.ndarray:
@@ -259,7 +268,7 @@ def anchor_map(anchors: DataFrame, bits: int) -> np.ndarray:
     return found
 
 
-def _send_blocks(length: int, parts: int, bits: int, shared):
+def _send_blocks(length: int, parts: int, bits: int, id_bits: int, shared):
     """Rows (slot, anchor, salt, uid, start, before, content): blocks whose anchor is in the map.
 
     Blocks of hot anchors have salts from 1 on, others 0. Without an anchor: content holds spans that the
@@ -271,7 +280,7 @@ def _send_blocks(length: int, parts: int, bits: int, shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marked, hot, salts = shared.value
         for batch, texts in in_pieces(batches, "text"):
-            blocks = Blocks(batch.column(0).to_pylist(), texts, length)
+            blocks = Blocks(batch.column(0).to_pylist(), texts, length, id_bits)
             place = (blocks.anchor % np.uint64(bits)).astype(np.int64)
             kept, mine = (marked[place >> 3] >> (place & 7).astype(np.uint8) & 1).astype(bool), blocks.earliest()
             wanted, rest = np.flatnonzero(kept & mine), np.flatnonzero(kept & ~mine)
@@ -330,7 +339,7 @@ def equal_strings(contents: list[tuple[bytes, int]], length: int, least: int = 2
         yield last, [(who[q], at[q]) for q in run]
 
 
-def _match_blocks(length: int):
+def _match_blocks(length: int, id_bits: int):
     k = anchor_size(length)
     half = (length - k) // 2
 
@@ -361,11 +370,11 @@ def _match_blocks(length: int):
         open_: dict[tuple[bytes, int], list[tuple[int, bytes]]] = {}
         like = list(least) if salted else alike(least) if len(least) > 1 else []
         owner = [least[c] for c in like]
-        if salted or len(set(owner)) > 1:
+        if salted or len({o >> id_bits for o in owner}) > 1:
             for string, places in equal_strings(like, length, 1 if salted else 2):
-                first = min(owner[i] for i, _ in places)
+                first = min(owner[i] for i, _ in places) >> id_bits
                 for i, at in places:
-                    if owner[i] > first:
+                    if owner[i] >> id_bits > first:
                         begins.setdefault(like[i], []).append(at)
                     elif salted:
                         open_.setdefault(like[i], []).append((at, string))
@@ -380,7 +389,7 @@ def _match_blocks(length: int):
                     merged.append(s * _SPAN + length)
             spans[c] = merged
         for uid, start, before, content in rows:
-            if uid > least[content, before]:
+            if uid >> id_bits > least[content, before] >> id_bits:
                 yield uid, start * _SPAN + len(content), None
                 continue
             for span in spans.get((content, before), ()):
@@ -415,18 +424,29 @@ def _match_blocks(length: int):
     return run
 
 
-def _numbered(docs: DataFrame, id_column: str) -> DataFrame:
-    """Rows (uid, id, text): uid orders documents; the id itself if ids are whole numbers without repeats."""
+def _numbered(docs: DataFrame, id_column: str) -> tuple[DataFrame, int]:
+    """Rows (uid, id, text), and how many last bits of uid tell texts of one id apart.
+
+    uid is the id itself if ids are whole numbers without repeats, else the rank of the id, and of the text
+    among those of the id.
+    """
     text = F.coalesce(F.col("text"), F.lit("")).alias("text")
     rows = docs.select(F.col(id_column).alias("id"), text)
     ids = rows.groupBy("id").count().where("count > 1 or id is null")
     if dict(rows.dtypes)["id"] in ("bigint", "int") and ids.isEmpty():
-        return rows.select(F.col("id").cast("bigint").alias("uid"), "id", "text")
+        return rows.select(F.col("id").cast("bigint").alias("uid"), "id", "text"), 0
     keyed = rows.withColumn("key", F.md5("text"))
-    order = ranked(keyed.select("id", "key").distinct(), F.col("id").asc_nulls_last(), "key")
-    order = materialized(order.select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("rank").alias("uid")), "order")
+    texts = ranked(keyed.select("id", "key").distinct(), F.col("id").asc_nulls_last(), "key")
+    texts = materialized(texts.select("id", "key", "rank"), "texts")
+    first = materialized(texts.groupBy("id").agg(F.min("rank").alias("first"), F.count(F.lit(1)).alias("n")), "first-texts")
+    bits = int((first.agg(F.max("n")).first()[0] or 1) - 1).bit_length()
+    numbers = ranked(first, F.col("first")).select(F.col("id").alias("_of"), "first", F.col("rank").alias("number"))
+    numbers = materialized(numbers, "ids")
+    order = texts.join(numbers, texts["id"].eqNullSafe(numbers["_of"]))
+    uid = F.shiftleft("number", bits) + F.col("rank") - F.col("first")
+    order = materialized(order.select(F.col("id").alias("_id"), F.col("key").alias("_key"), uid.alias("uid")), "order")
     same = keyed["id"].eqNullSafe(order["_id"]) & (keyed["key"] == order["_key"])
-    return materialized(keyed.join(order, same).select("uid", "id", "text"), "numbered")
+    return materialized(keyed.join(order, same).select("uid", "id", "text"), "numbered"), bits
 
 
 def _remove(length: int, keep_text: bool):
@@ -468,39 +488,46 @@ def without_repeats(
 ) -> DataFrame:
     """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, spans and, if wanted, kept bytes."""
     spark = docs.sparkSession
-    rows = _numbered(docs, id_column)
+    rows, id_bits = _numbered(docs, id_column)
+
+    def earlier(first: str) -> Column:
+        """Does ``uid`` have a greater id than the document in the other column?"""
+        return F.shiftright("uid", id_bits) > F.shiftright(first, id_bits)
+
     sizes = rows.select("uid", F.md5("text").alias("key"), F.octet_length("text").alias("size"))
     sizes = materialized(sizes, "sizes")
     total = sizes.agg(F.sum("size")).first()[0] or 0
     parts = max(8, -(-total // PARTITION))
     texts = rows.select("uid", "text")
-    sent = texts.mapInArrow(_send_hashes(length, parts), "slot int, body binary")
+    sent = texts.mapInArrow(_send_hashes(length, parts, id_bits), "slot int, body binary")
     dealt = sent.repartition(parts, F.when(F.col("slot") < 0, -1 - F.pmod(F.xxhash64("body"), F.lit(parts))).otherwise(F.col("slot")))
-    found = materialized(dealt.mapInArrow(_match_hashes, FOUND), "found")
+    found = materialized(dealt.mapInArrow(_match_hashes(id_bits), FOUND), "found")
     spans = found.where("uid is not null").select("uid", "span")
     anchors = found.where("anchor is not null").select("anchor", F.col("span").alias("n"))
     n = anchors.count()
     if n:
         bits = min(MOST_BITS, 1 << max(20, (BITS_EACH * n - 1).bit_length()))
-        # a hot anchor takes 16 bytes here and HOT blocks in the texts
-        many = sorted((r["anchor"], r["n"]) for r in anchors.where(F.col("n") > HOT).toLocalIterator())
+        most = HOT
+        while anchors.where(F.col("n") > most).count() > MOST_HOT:
+            most *= 2
+        many = sorted((r["anchor"], r["n"]) for r in anchors.where(F.col("n") > most).collect())  # MOST_HOT rows
         hot, salts = (np.array([r[i] for r in many], np.int64) for i in (0, 1))
-        shared = spark.sparkContext.broadcast((anchor_map(anchors, bits), hot, (2 * salts // HOT + 1).astype(np.uint64)))
+        shared = spark.sparkContext.broadcast((anchor_map(anchors, bits), hot, (2 * salts // most + 1).astype(np.uint64)))
         schema = "slot int, anchor long, salt int, uid long, start long, before int, content binary"
-        blocks = texts.mapInArrow(_send_blocks(length, parts, bits, shared), schema)
+        blocks = texts.mapInArrow(_send_blocks(length, parts, bits, id_bits, shared), schema)
         blocks = blocks.repartition(parts, "slot").sortWithinPartitions("anchor", "salt").drop("slot")
-        more = materialized(blocks.mapInArrow(_match_blocks(length), DECIDED), "found")
+        more = materialized(blocks.mapInArrow(_match_blocks(length, id_bits), DECIDED), "found")
         spans = spans.unionByName(more.where("string is null").select("uid", "span"))
         if many:
             places = more.where("string is not null")
             earliest = places.groupBy("string").agg(F.min("uid").alias("first"), F.max("uid").alias("last"))
             # stored like the places, so that Spark can split the rows of a hot string
             earliest = materialized(earliest.where("first < last"), "strings")
-            spans = spans.unionByName(places.join(earliest, "string").where("uid > first").select("uid", "span"))
+            spans = spans.unionByName(places.join(earliest, "string").where(earlier("first")).select("uid", "span"))
     first = sizes.groupBy("key").agg(F.min("uid").alias("first"), F.max("uid").alias("last")).where("first < last")
     # stored, so that both sides of the join are plain shuffles, of which Spark can split hot parts
     first = materialized(first, "first")
-    copies = sizes.join(first, "key").where("uid > first").select("uid", F.lit(_WHOLE).cast("bigint").alias("span"))
+    copies = sizes.join(first, "key").where(earlier("first")).select("uid", F.lit(_WHOLE).cast("bigint").alias("span"))
     gone = spans.unionByName(copies).groupBy("uid").agg(F.collect_list("span").alias("gone"))
     gone = gone.withColumnRenamed("uid", "_uid")
     joined = rows.join(gone, F.col("uid") == F.col("_uid"), "left").select("id", "text", "gone")
