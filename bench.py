@@ -48,6 +48,11 @@ HEADLINE = (
     "stream_alert_dedupe",
     "raw_text_scan",
     "dead_letters",
+    "rul_closed_form",
+    "bootstrap_confidence",
+    "latency_rule",
+    "store_compacted",
+    "stream_telemetry",
 )
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vanewatch.functions import scalars
-from vanewatch.spec import CRITICAL_RUL, GATE, RUL_BUCKETS, SCOREBOARD
+from vanewatch.spec import CRITICAL_RUL, GATE, SCOREBOARD
 
 CLASSES = ("Non-Critical", "Critical")
 
