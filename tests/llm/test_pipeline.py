@@ -25,7 +25,7 @@ def test_queries_equal_their_sql(spark, sf_dir, name):
 
 def test_all_are_registered():
     names = __spark_entry__.queries()
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
     assert set(__spark_entry__.oracle_sql()) <= set(names)
 
 
@@ -54,3 +54,20 @@ def test_pipeline_stages(spark, sf_dir):
     packed = stage["packing"](spark, mixed, sf_dir).collect()
     assert Counter(r.doc_id for r in packed if r.piece == 0) == copies
     assert set(copies) <= set(texts)
+
+
+def test_stages_on_awkward_rows(spark, sf_dir):
+    """Nulls in every column, repeated rows, clashing and further columns; then nothing at all."""
+    rows = helpers.with_repeats(helpers.awkward_documents(spark)).cache()
+    stage = dict(corpus_pipeline.STAGES)
+    for name in ("quality_rules", "exact_dedup", "near_dedup", "mixing"):
+        left = stage[name](spark, rows, sf_dir).cache()
+        assert left.columns == rows.columns and set(map(repr, left.collect())) <= set(map(repr, rows.collect())), name
+        if name != "mixing":
+            assert left.count() <= rows.count()
+    packed = stage["packing"](spark, rows, sf_dir).collect()
+    assert sum(r.piece == 0 for r in packed) == rows.count()
+    assert sorted((r.sequence_id, r.offset) for r in packed) == sorted({(r.sequence_id, r.offset) for r in packed})
+    none = rows.limit(0)
+    for _, run in corpus_pipeline.STAGES:
+        assert run(spark, none, sf_dir).count() == 0

@@ -32,13 +32,6 @@ def unboxed(df: DataFrame, columns: Iterable[str], name: str = "_row") -> list[C
     return [F.col(name).getField(c).alias(c) for c in columns]
 
 
-def row_key(columns: Iterable[Column]) -> Column:
-    """128 bits that tell rows apart by the given columns; nulls count as values of their own."""
-    parts = [F.coalesce(c.cast("string"), F.lit("\x00null")) for c in columns]
-    lengths = [F.length(p).cast("string") for p in parts]
-    return F.md5(F.concat_ws("\x1f", *lengths, *parts))
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
