@@ -279,6 +279,21 @@ def test_sketches_of_hours_merge(spark):
             assert abs(sum(v <= got for v in values) / len(values) - q) < 0.01
 
 
+def test_batch_scores_of_misfit_windows(spark):
+    """Lengths count over all rows of a window; missing values give NaN, missing windows and rows NULL or less."""
+    windows = [
+        [[1.0, 2.0], [3.0, 4.0]], None, [], [[1.0, 2.0]], [[1.0], [2.0, 3.0, 4.0]], [[1.0, None], [3.0, 4.0]], [None, [1.0, 2.0, 3.0, 4.0]],
+        [[1.0, 2.0], [3.0, 4.0], []], [None],
+    ]
+    df = spark.createDataFrame(list(enumerate(windows)), "i int, w array<array<float>>").coalesce(1)
+    y = scoring.batch_score("w", [1.0, 10.0, 100.0, 1000.0], 0.5)
+    for some in (df, df.where("i >= 3"), df.where("i in (0, 4)"), df.where("i in (1, 2)")):
+        got = {r.i: r.y for r in some.select("i", y.alias("y")).collect()}
+        want = {0: 4321.5, 4: 4321.5, 6: 4321.5, 7: 4321.5}
+        for i, value in got.items():
+            assert math.isnan(value) if i == 5 else value == want.get(i), i
+
+
 def test_silence_between_and_at_the_ends(spark):
     rows = [("a", 0), ("a", 1), ("a", 5), ("b", 3), ("c", 0), ("c", 7), ("d", 7)]
     df = spark.createDataFrame(rows, "s string, m int").withColumn("ts", F.timestamp_seconds(F.col("m") * 60 + 7))
