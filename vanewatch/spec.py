@@ -62,3 +62,7 @@ MISSING_KEYS = "Missing required sensor keys: "
 ROWS_PER_SLICE = 1_000_000
 # Sliding windows multiply their rows, so one task gets fewer of them at a time.
 ROWS_PER_CHUNK = 100_000
+# Engines of a stream share keyed states of this number, so that Python is called per state and not per engine.
+STATE_BUCKETS = 1024
+# Feature windows in a stored file: what a task of a model fit holds as vectors.
+ROWS_PER_FILE = 65_536
