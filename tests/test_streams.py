@@ -248,3 +248,33 @@ def test_kafka_options():
         "kafka.group.id": "g",
         "maxOffsetsPerTrigger": "200",
     }
+
+
+def test_engines_share_states(spark, tmp_path):
+    """Python is called per bucket: the states of 60 engines are at most 4, and rows do not depend on their number."""
+    texts = [event(f"E{i % 60}", i // 60 + 1, float(i % 37)) for i in range(360)]
+    sent = [(i, t) for i, t in enumerate(texts)]
+    columns = ["concat('E', id % 60) engine_id", "timestamp_millis(id * 1000) written_at", "id arrival", "id cycle", "id event_time_ms"]
+
+    def both(buckets):
+        root, found = f"{tmp_path}/{buckets}", {}
+        for low, high in ((0, 150), (150, 360)):  # the second run goes on from the states of the first
+            spark.createDataFrame(sent[low:high], SCHEMA).write.mode("append").parquet(f"{root}/messages")
+            spark.range(low, high).selectExpr(*columns).write.mode("append").parquet(f"{root}/writes")
+            messages = spark.readStream.schema(SCHEMA).parquet(f"{root}/messages")
+            readings = spark.readStream.schema("engine_id string, written_at timestamp, arrival long, cycle long, event_time_ms long").parquet(f"{root}/writes")
+            for name, rows in (
+                ("features", rolling_features(normalized_events(messages, LIMITS), len(LIMITS), 3, buckets=buckets)),
+                ("ticks", telemetry_ticks(readings, 20_000, 70_000, "1 second", buckets=buckets)),
+            ):
+                query = (
+                    rows.writeStream.format("parquet").option("path", f"{root}/{name}")
+                    .option("checkpointLocation", f"{root}/cp-{name}").trigger(availableNow=True).start()
+                )
+                query.awaitTermination()
+                found[name] = query.recentProgress[0]["stateOperators"][0]["numRowsTotal"]
+        assert all(0 < n <= buckets for n in found.values())
+        return [sorted(map(str, spark.read.parquet(f"{root}/{name}").collect())) for name in found]
+
+    few, many = both(4), both(1000)
+    assert few == many and len(few[0]) == 60 * 4 and len(few[1]) > 300
