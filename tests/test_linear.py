@@ -4,7 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from vanewatch.operators import linear
+from vanewatch.operators import linear, training
+from vanewatch.session import materialized
 
 D = 3
 SCHEMA = "id long, vector array<float>, y double, weight double, held_out boolean"
@@ -98,3 +99,21 @@ def test_poisson_numbers(spark):
 def test_no_rows(data):
     with pytest.raises(ValueError, match="no training rows"):
         linear.fit_closed_form(data[0].limit(0), D)
+
+
+def test_a_fit_reads_a_file_per_task(spark):
+    """Files that are small on disk are not packed into one task, and the setting is as before afterwards."""
+    rows = spark.range(4000, numPartitions=1).select(F.col("id").cast("double").alias("x"))
+    stored = materialized(rows, "windows", rows_per_file=500)
+    key = "spark.sql.files.openCostInBytes"
+    before = spark.conf.get(key)
+
+    def largest():
+        return stored.groupBy(F.spark_partition_id().alias("p")).count().agg(F.max("count")).first()[0]
+
+    assert largest() > 500
+    with training.bounded_tasks(stored, 500):
+        assert largest() == 500
+    assert spark.conf.get(key) == before and largest() > 500
+    with training.bounded_tasks(stored, 4000):
+        assert spark.conf.get(key) == before

@@ -25,7 +25,7 @@ from vanewatch.plans.series import (
 )
 from vanewatch.plans.testviews import messages, sql, telemetry
 from vanewatch.session import fresh_dir, materialized
-from vanewatch.spec import KEEP_SENSORS
+from vanewatch.spec import KEEP_SENSORS, ROWS_PER_FILE
 from vanewatch.streaming.alerts import opened_alerts
 from vanewatch.streaming.jobs import offline_table, online_view, score_fleet, store_features
 from vanewatch.streaming.rolling import normalized_events, rolling_features
@@ -163,7 +163,7 @@ def gold(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     scaled = prepare.minmax_apply(rows.select("unit", "cycle", "rul", *KEEP_SENSORS), params, KEEP_SENSORS)
     rows = scaled.select("unit", "cycle", "rul", sensor_row(KEEP_SENSORS).alias("row"))
     frames = windows.sliding_frames(rows, "unit", ["cycle"], "row", contiguous=True)
-    stored = materialized(frames.drop("row"), "gold")
+    stored = materialized(frames.drop("row"), "gold", rows_per_file=ROWS_PER_FILE)
     return prepare.train_validation(stored)
 
 
@@ -181,7 +181,7 @@ def forest_confidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, _ = gold(spark, sf_dir)
     model = training.fit_forest(training.training_rows(train, "features", "rul", 60.0), depth=4)
     last = windows.last_frames(scaled_rows(spark, sf_dir), "unit", ["cycle"], "row", WIDTH)
-    as_doubles = F.transform(F.flatten("features"), lambda x: x.cast("double"))
+    as_doubles = F.flatten("features").cast("array<double>")
     scored = training.with_member_scores(last.withColumn("vector", array_to_vector(as_doubles)), model)
     summary = scoring.ensemble_summary(scored, "members")
     return rounded(summary.select("unit", "y", "y_std", "confidence"), "y", "y_std")

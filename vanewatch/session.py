@@ -82,12 +82,14 @@ def scratch(spark: SparkSession) -> Iterator[None]:
             target.getFileSystem(conf).delete(target, True)
 
 
-def materialized(df: DataFrame, name: str = "step", partition_by: Sequence[str] = ()) -> DataFrame:
+def materialized(df: DataFrame, name: str = "step", partition_by: Sequence[str] = (), rows_per_file: int = 0) -> DataFrame:
     """Write ``df`` once to the shared folder, in folders by ``partition_by``, and read it back.
 
+    A file gets at most ``rows_per_file`` rows (0: any number).
+
     Cuts the lineage, survives lost executors, and gives Catalyst the true size of the result,
     so that later joins pick broadcast or shuffle from measured bytes.
     """
     path = fresh_dir(df.sparkSession, name)
-    df.write.partitionBy(*partition_by).parquet(path)
+    df.write.partitionBy(*partition_by).option("maxRecordsPerFile", rows_per_file).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vanewatch.spec import ROWS_PER_FILE
+
 LOG_SCHEMA = (
     "timestamp STRING, level STRING, logger STRING, message STRING, module STRING, "
     "function STRING, line INT, engine_id STRING, rul DOUBLE, risk DOUBLE, risk_level STRING, "
@@ -21,7 +23,7 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
 def write_sequences(splits: dict[str, DataFrame], path: str) -> None:
     """Feature windows of all splits as one table with a folder per split."""
     for name, df in splits.items():
-        df.write.mode("overwrite").parquet(f"{path}/split={name}")
+        df.write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).parquet(f"{path}/split={name}")
 
 
 def read_sequences(spark: SparkSession, path: str, split: str) -> DataFrame:
