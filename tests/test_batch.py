@@ -232,3 +232,24 @@ def test_window_counts_and_padding(spark, size):
     last = {r.unit: r for r in windows.last_frames(df, "unit", ["cycle"], "row", 1).collect()}
     assert [v[0] for v in last[1].features] == [0.0] + [1000.0 + c for c in range(1, 30)]
     assert last[1].n_rows == 29 and last[4].features[-1][0] == 4300.0
+
+
+def test_bad_tokens_are_counted_by_one_cast(spark):
+    """Words, empty tokens and odd numbers count as before, without a function that is called for each token."""
+    tokens = [["1", "x", "", "2.5"], ["NaN", "Infinity", "1e3", "-"], [], ["1_0", None, " 7 ", "0x1"]]
+    rows = spark.createDataFrame([(t,) for t in tokens], "tokens array<string>")
+    one_by_one = F.size(F.filter("tokens", lambda t: t.try_cast("double").isNull()))
+    got = rows.select(quality._bad_tokens().alias("n"), one_by_one.alias("m")).collect()
+    assert [r.n for r in got] == [r.m for r in got] and got[0].n == 2
+    assert "lambda" not in rows.select(quality._bad_tokens())._jdf.queryExecution().analyzed().toString().split("array_compact")[0]
+
+
+def test_transform_parses_a_line_once(spark, files, tmp_path, monkeypatch):
+    """Limits, lifetimes and the silver tables read stored rows; each landed file is parsed by one plan."""
+    written = []
+    kept = jobs.materialized
+    monkeypatch.setattr(jobs, "materialized", lambda df, name="step", **more: written.append(name) or kept(df, name, **more))
+    job = job_for(files, tmp_path)
+    jobs.run(spark, job, "transform")
+    assert written == ["parsed", "parsed"]
+    assert spark.read.parquet(job.at("silver/train")).count() == len(files[1])

@@ -10,7 +10,7 @@ from vanewatch.plans.registry import query
 from vanewatch.plans.series import rounded
 from vanewatch.plans.testviews import raw_tokens, sql, telemetry
 from vanewatch.session import fresh_dir, materialized
-from vanewatch.spec import GATE
+from vanewatch.spec import GATE, RAW_COLUMNS
 
 
 def key() -> list[Column]:
@@ -20,7 +20,7 @@ def key() -> list[Column]:
 def raw_job(spark: SparkSession, sf_dir: str, **settings) -> jobs.Job:
     """A job on all readings as training and as test file."""
     path = fresh_dir(spark, "job")
-    rows = telemetry(spark, sf_dir)
+    rows = materialized(telemetry(spark, sf_dir).select(*RAW_COLUMNS), "readings")  # read for each file
     lines = raw_tokens(rows).orderBy("unit", "cycle").select(F.array_join("tokens", " "))
     units = rows.select("unit").distinct().orderBy("unit")
     for name in ("train", "test"):

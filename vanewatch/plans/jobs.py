@@ -20,7 +20,7 @@ from vanewatch.functions import scalars
 from vanewatch.functions.vectors import sensor_row
 from vanewatch.operators import evaluation, prepare, quality, training, windows
 from vanewatch.plans import manifest
-from vanewatch.session import build_session
+from vanewatch.session import build_session, materialized
 from vanewatch.sources import tables, text
 from vanewatch.spec import CLIP, DROP_COLUMNS, GATE, KEEP_SENSORS, RAW_COLUMNS, WINDOW
 
@@ -62,11 +62,15 @@ def validate(spark: SparkSession, job: Job) -> None:
 
 
 def transform(spark: SparkSession, job: Job) -> None:
-    """Bronze text to the scaled, labelled silver tables, and the scaler limits."""
+    """Bronze text to the scaled, labelled silver tables, and the scaler limits.
+
+    The parsed rows are written once: limits, lifetimes, units and the scaled tables all read them.
+    """
 
     def rows(name: str) -> DataFrame:
         lines = text.read_landed(spark, job.at(f"bronze/{name}"))
-        return prepare.drop_unused(text.telemetry_rows(lines).select(*RAW_COLUMNS), DROP_COLUMNS)
+        parsed = prepare.drop_unused(text.telemetry_rows(lines).select(*RAW_COLUMNS), DROP_COLUMNS)
+        return materialized(parsed, "parsed")
 
     train, test = rows("train"), rows("test")
     tables.write_scaler(
