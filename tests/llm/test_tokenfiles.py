@@ -11,7 +11,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import helpers
 from vanewatch.llm import tokenfiles
-from vanewatch.llm.addressable import Codes, widths
+from vanewatch.llm.addressable import WIDEST, Codes, packed_bits, unpacked_bits, widths
 from vanewatch.llm.queries import QUERIES, VOCABULARY
 from vanewatch.session import fresh_dir
 
@@ -25,6 +25,39 @@ def test_any_place_of_the_codes(values, random):
     assert (codes.take(some) == values[some]).all()
 
 
+@settings(max_examples=100, deadline=None)
+@given(hnp.arrays(np.uint32, st.integers(0, 1500), elements=st.sampled_from([0, 1, 7, 255, 256, 49407, 2**24, 2**32 - 1])), st.randoms())
+def test_any_stretch_of_the_codes(values, random):
+    codes = Codes.from_bytes(b"xyz" + Codes.of(values).to_bytes(), 3)
+    for _ in range(10):
+        start, end = sorted(random.randint(0, len(values)) for _ in range(2))
+        assert (codes.between(start, end) == values[start:end]).all()
+    assert (codes.between(0, len(values)) == values).all()
+
+
+@pytest.mark.parametrize("width", range(1, WIDEST + 1))
+def test_bits_lie_in_a_row(width):
+    """Next to a plain string of bits, over more values than are packed at once."""
+    values = np.random.default_rng(width).integers(0, 1 << width, (1 << 16) + 13).astype(np.uint32)
+    bits = "".join(f"{v:0{width}b}" for v in values.tolist())
+    bits += "0" * (-len(bits) % 8)
+    data = packed_bits(values, width)
+    assert data.tobytes() == int(bits, 2).to_bytes(len(bits) // 8, "big") + bytes(3)
+    for start, end in ((0, len(values)), (3, 3), (5, 70), (65_530, 65_549), (len(values) - 1, len(values))):
+        assert (unpacked_bits(data, width, start, end) == values[start:end]).all()
+
+
+def test_whole_files_are_read_in_stretches(monkeypatch):
+    """Reading all documents of a file asks for no single places, which cost several times as much."""
+    rng = np.random.default_rng(3)
+    rows = [(rng.random(n) ** 4 * 49_000).astype(np.uint32) for n in (1, 0, 700, 2, 300_000, 5, 9000)]
+    shard = tokenfiles.Shard(tokenfiles.Shard.to_bytes(4, 2, [7, None, 8, 8, 9, 10, -3], rows) + b"\n")
+    monkeypatch.setattr(Codes, "take", None)
+    found = shard.documents().to_pydict()
+    assert found["id"] == [7, None, 8, 8, 9, 10, -3] and found["n_tokens"] == [len(r) for r in rows]
+    assert found["ids_crc32"] == [zlib.crc32(r.tobytes()) for r in rows]
+
+
 def test_widths_are_the_cheapest():
     rng = np.random.default_rng(1)
     values = (rng.random(3000) ** 6 * 900).astype(np.uint32)

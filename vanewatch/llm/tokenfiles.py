@@ -71,10 +71,10 @@ class Shard:
         crc, ends, k = np.zeros(len(self.ids), np.int64), self.starts + self.lengths, 0
         while k < len(self.ids):
             until = max(int(np.searchsorted(ends, self.starts[k] + _AT_ONCE, side="right")), k + 1)
-            tokens = self.codes.take(np.arange(self.starts[k], ends[until - 1])).astype("<u4")
+            tokens = self.codes.between(int(self.starts[k]), int(ends[until - 1])).astype("<u4", copy=False)
             for i in range(k, until):
                 at = self.starts[i] - self.starts[k]
-                crc[i] = zlib.crc32(tokens[at : at + self.lengths[i]].tobytes())
+                crc[i] = zlib.crc32(tokens[at : at + self.lengths[i]])
             k = until
         n = len(self.ids)
         return pa.RecordBatch.from_arrays(
