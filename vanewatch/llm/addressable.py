@@ -49,10 +49,10 @@ def _spans(width: int) -> Iterator[tuple[int, int, int, int]]:
 
 
 def packed_bits(values: np.ndarray, width: int) -> np.ndarray:
-    """Values of ``width`` bits in a row, high bit first, and three bytes for reads past the end."""
+    """The low ``width`` bits of the values in a row, high bit first, and three bytes for reads past the end."""
     parts = [np.zeros(0, np.uint8)]
     for at in range(0, len(values), _AT_ONCE):  # a multiple of 8 values fills whole bytes
-        some = values[at : at + _AT_ONCE]
+        some = values[at : at + _AT_ONCE] & np.uint32((1 << width) - 1)
         eights = np.zeros((-(-len(some) // 8), 8), np.uint32)
         eights.ravel()[: len(some)] = some
         eights = np.ascontiguousarray(eights.T)
@@ -116,11 +116,11 @@ class Codes:
         levels = []
         plan = widths(rest)
         for k, width in enumerate(plan):
-            chunks = packed_bits(rest & np.uint32((1 << width) - 1), width)
+            chunks = packed_bits(rest, width)
             if k == len(plan) - 1:
                 levels.append((width, chunks, np.zeros(0, np.uint64), np.zeros(0, np.uint32)))
                 break
-            more = (rest >> np.uint32(width)) > 0
+            more = rest > np.uint32((1 << width) - 1)
             padded = np.zeros(-(-len(more) // BLOCK) * BLOCK, np.uint8)
             padded[: len(more)] = more
             words = np.packbits(padded, bitorder="little").view("<u8")

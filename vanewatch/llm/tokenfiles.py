@@ -55,16 +55,17 @@ class Shard:
 
     @staticmethod
     def to_bytes(part: int, number: int, ids: list[int | None], rows: list[np.ndarray]) -> bytes:
-        body = b"".join(
-            (
-                struct.pack("<III", len(ids), part, number),
-                np.array([i or 0 for i in ids], "<i8").tobytes(),
-                np.array([i is None for i in ids], np.int8).tobytes(),
-                np.array([len(r) for r in rows], "<i8").tobytes(),
-                Codes.of(np.concatenate(rows)).to_bytes(),
-            )
+        parts = (
+            struct.pack("<III", len(ids), part, number),
+            np.array([i or 0 for i in ids], "<i8").tobytes(),
+            np.array([i is None for i in ids], np.int8).tobytes(),
+            np.array([len(r) for r in rows], "<i8").tobytes(),
+            Codes.of(np.concatenate(rows)).to_bytes(),
         )
-        return MARK + struct.pack("<I", zlib.crc32(body)) + body
+        crc = 0
+        for p in parts:
+            crc = zlib.crc32(p, crc)
+        return b"".join((MARK, struct.pack("<I", crc), *parts))
 
     def documents(self) -> pa.RecordBatch:
         """Rows of DOCUMENTS; tokens are read some documents at a time."""
